@@ -14,7 +14,7 @@ def _number(c: Column) -> Column:
 
 
 def _numbers(c: Column | str, pattern: str) -> Column:
-    found = F.regexp_extract_all(_filled(c), F.lit(pattern), F.lit(1))
+    found = F.regexp_extract_all(_filled(c), F.lit(P.unicode(pattern)), F.lit(1))
     return F.transform(found, _number)
 
 
@@ -65,7 +65,7 @@ def coerce_rating(c: Column | str) -> Column:
     The check comes first because Spark's cast also takes ``4.7d``.
     """
     c = _column(c)
-    return F.when(c.rlike(P.NUMERIC), strip(c).try_cast("double"))
+    return F.when(c.rlike(P.unicode(P.NUMERIC, "i")), strip(c).try_cast("double"))
 
 
 def normalize_photos(c: Column | str) -> Column:

@@ -16,8 +16,8 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _sub(c: Column, pattern: str, replacement: str) -> Column:
-    return F.regexp_replace(c, F.lit(pattern), F.lit(replacement))
+def _sub(c: Column, pattern: str, replacement: str, flags: str = "") -> Column:
+    return F.regexp_replace(c, F.lit(P.unicode(pattern, flags)), F.lit(replacement))
 
 
 def _filled(c: Column | str) -> Column:
@@ -39,7 +39,7 @@ def basic_clean(c: Column | str) -> Column:
 
 
 def remove_emojis(c: Column | str) -> Column:
-    return _sub(_filled(c), P.EMOJI, "")
+    return _sub(_filled(c), f"(?={P.EMOJI_RANGE}){P.EMOJI}", "")
 
 
 def clean_message(c: Column | str, strip_emojis: bool = True) -> Column:
@@ -50,7 +50,7 @@ def clean_message(c: Column | str, strip_emojis: bool = True) -> Column:
     """
     s = remove_emojis(c) if strip_emojis else _filled(c)
     s = _sub(s, rf"[{P.WS}]*/[{P.WS}]*", " / ")
-    s = _sub(s, f"(?iu){P.SUBRATING_BLOCK}", "")
+    s = _sub(s, P.SUBRATING_BLOCK, "", "i")
     s = _sub(s, P.ANY_URL, " ")
     return strip(_collapse(s))
 
@@ -83,11 +83,11 @@ def text_length(c: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """Number of whitespace-separated words, 0 for null."""
-    return F.regexp_count(_filled(c), F.lit(f"[^{P.WS}]+"))
+    return F.regexp_count(_filled(c), F.lit(P.unicode(f"[^{P.WS}]+")))
 
 
 def has_url(c: Column | str) -> Column:
-    return F.coalesce(_column(c).rlike(P.HAS_URL), F.lit(False))
+    return F.coalesce(_column(c).rlike(P.unicode(P.HAS_URL, "i")), F.lit(False))
 
 
 def normalize_dump(c: Column | str) -> Column:
@@ -100,7 +100,7 @@ def clean_dump_message(c: Column | str, fmt: P.DumpFormat = P.DumpFormat()) -> C
     """Drop the format's noise, squeeze blanks and empty lines, trim."""
     s = _column(c)
     for pattern in fmt.noise:
-        s = _sub(s, f"(?ius)(?:{pattern})", "")
+        s = _sub(s, pattern, "", "is")
     s = _sub(s, r"[ \t]+", " ")
     return strip(_sub(s, r"\n{2,}", "\n"))
 

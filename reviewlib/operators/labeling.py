@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewlib.functions.ratings import message_ratings, parse_rating, rating_label, rating_median
 from reviewlib.functions.text import clean_message
+from reviewlib.operators.once import compute_once
 
 
 def rating_number(rating: Column | str, message: Column | str) -> Column:
@@ -17,11 +18,12 @@ def rating_number(rating: Column | str, message: Column | str) -> Column:
 def _labeled(df: DataFrame, strip_emojis: bool, ratings_from: str) -> DataFrame:
     if ratings_from not in ("clean", "raw"):
         raise ValueError("ratings_from must be 'clean' or 'raw'")
-    cleaned = df.withColumns(
-        {"_raw": F.col("message"), "message": clean_message("message", strip_emojis)}
-    )
-    searched = "message" if ratings_from == "clean" else "_raw"
-    rated = cleaned.withColumn("rating_num", rating_number("rating", searched)).drop("_raw")
+    cleaned = {"message": clean_message("message", strip_emojis)}
+    number = rating_number("rating", "message")
+    if ratings_from == "raw":
+        rated = compute_once(df, {**cleaned, "rating_num": number})
+    else:
+        rated = compute_once(compute_once(df, cleaned), {"rating_num": number})
     return rated.withColumn("label", rating_label("rating_num"))
 
 

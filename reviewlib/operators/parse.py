@@ -11,35 +11,50 @@ from reviewlib.functions.text import clean_dump_message, normalize_dump, sanitiz
 from reviewlib.operators.ranking import id_block, running_total
 
 
+# A normalised dump has a blank on each side of every "|", so this cannot occur in it, nor
+# arise where the text before it ends in "|".
+_MARK = "|\n|"
+
+
+def _cut(text: Column, fmt: DumpFormat) -> Column:
+    """Cut a normalised dump at its headers: an array of (``header``, ``body``), the first
+    with a null header and the text that precedes all headers. One pass of the pattern."""
+    marked = F.regexp_replace(text, F.lit(fmt.header_regex), F.lit(f"{_MARK}$0{_MARK}"))
+    parts = F.split(marked, r"\|\n\|", -1)
+    pairs = F.transform(
+        parts,
+        lambda part, i: F.struct(
+            i.alias("i"), F.get(parts, i - 1).alias("header"), part.alias("body")
+        ),
+    )
+    return F.filter(pairs, lambda p: p["i"] % 2 == 0)
+
+
+def _header_group(header: Column | str, k: int, fmt: DumpFormat) -> Column:
+    return F.regexp_extract(header, fmt.header_regex, k)
+
+
 def find_headers(text: Column | str, fmt: DumpFormat = DumpFormat()) -> Column:
     """Array of ``(name, reviews, photos)`` for the headers of a normalised dump, with
     ``""`` for an absent photo count."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.arrays_zip(
-        F.transform(_group(text, fmt, 1), strip).alias("name"),
-        _group(text, fmt, 2).alias("reviews"),
-        _group(text, fmt, 3).alias("photos"),
+    found = F.regexp_extract_all(text, F.lit(fmt.header_regex), F.lit(0))
+    return F.transform(
+        found,
+        lambda h: F.struct(
+            strip(_header_group(h, 1, fmt)).alias("name"),
+            _header_group(h, 2, fmt).alias("reviews"),
+            _header_group(h, 3, fmt).alias("photos"),
+        ),
     )
 
 
-def _group(text: Column, fmt: DumpFormat, k: int) -> Column:
-    return F.regexp_extract_all(text, F.lit(fmt.header_regex), F.lit(k))
-
-
 def _pieces(df: DataFrame, keep: list[str | Column], fmt: DumpFormat) -> DataFrame:
-    """Cut ``_text`` at its headers: piece 0 is what precedes the first of them, piece k
-    what follows the k-th, along with the k-th name and photo count."""
-    text = F.col("_text")
-    cut = df.select(
-        *keep,
-        F.concat(F.array(F.lit(None).cast("string")), _group(text, fmt, 1)).alias("_name"),
-        F.concat(F.array(F.lit(None).cast("string")), _group(text, fmt, 3)).alias("_photos"),
-        F.split(text, fmt.header_regex, -1).alias("_body"),
-    )
-    names = [c for c in cut.columns if c not in ("_name", "_photos", "_body")]
-    zipped = F.arrays_zip("_name", "_photos", "_body")
-    return cut.select(*names, F.posexplode(zipped).alias("_k", "_z")).select(
-        *names, "_k", F.col("_z._name"), F.col("_z._photos"), F.col("_z._body")
+    """A row per piece of ``_text``: ``_k`` 0 is what precedes the first header, ``_k`` k
+    the k-th ``_header`` and the ``_body`` that follows it."""
+    cut = df.select(*keep, F.posexplode(_cut(F.col("_text"), fmt)).alias("_k", "_z"))
+    return cut.select(
+        *cut.columns[:-1], F.col("_z.header").alias("_header"), F.col("_z.body").alias("_body")
     )
 
 
@@ -47,13 +62,13 @@ def _review(df: DataFrame, keep: list[str], fmt: DumpFormat) -> DataFrame:
     """Fields of a review. The rating is read before noise goes, so a rating quoted in an
     owner's reply counts."""
     body = df.select(
-        *keep, "_name", "_photos", strip(F.ltrim(F.col("_body"), F.lit(" |"))).alias("_body")
+        *keep, "_header", strip(F.ltrim(F.col("_body"), F.lit(" |"))).alias("_body")
     )
     return body.select(
         *keep,
-        sanitize_field(strip("_name")).alias("name"),
+        sanitize_field(strip(_header_group("_header", 1, fmt))).alias("name"),
         sanitize_field(extract_rating_text("_body")).alias("rating"),
-        sanitize_field("_photos").alias("number_of_photos"),
+        sanitize_field(_header_group("_header", 3, fmt)).alias("number_of_photos"),
         sanitize_field(clean_dump_message("_body", fmt)).alias("message"),
     )
 
@@ -106,8 +121,7 @@ def parse_comments(
         pieces.filter(F.col("review_no") > 0)
         .groupBy(source, "review_no")
         .agg(
-            F.max("_name").alias("_name"),
-            F.max("_photos").alias("_photos"),
+            F.max("_header").alias("_header"),
             F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("_body"),
         )
     )

@@ -150,7 +150,7 @@ def histogram(df: DataFrame, column: str = "len_words", bins: int = 30) -> DataF
     """Counts of an integer column in ``bins`` equal bins from its minimum to its maximum:
     ``bin``, ``low``, ``high``, ``n``, empty bins included; the last bin holds the maximum.
     When all values are equal the range is widened by a half on each side."""
-    values = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    values = df.groupBy(column).agg(F.count("*").alias("n"))
     lo, hi = values.agg(F.min(column)).scalar(), values.agg(F.max(column)).scalar()
     offset = (F.col(column).cast("long") - lo) * bins
     bin_ = F.when(hi == lo, F.lit(bins // 2)).otherwise(
@@ -179,8 +179,8 @@ def box_statistics(df: DataFrame, by: str = "rating", column: str = "len_words")
 
     Works on counts per distinct (``by``, ``column``), so hot ratings shrink before the shuffle.
     """
-    known = df.filter(F.col(by).isNotNull() & F.col(column).isNotNull())
-    values = known.groupBy(by, column).agg(F.count("*").alias("n"))
+    known = df.filter(F.col(by).isNotNull())
+    values = known.groupBy(by, column).agg(F.count(column).alias("n"))
     quartiles = F.percentile(column, F.array(*map(F.lit, _QUARTILES)), F.col("n"))
     boxes = (
         values.groupBy(by)

@@ -32,7 +32,7 @@ def parse_job(
 ) -> None:
     """Dump files to a piped review table. ``large_files`` splits files over tasks."""
     if large_files:
-        pieces = sources.read_dump_pieces(spark, dumps, fmt)
+        pieces = sources.read_dump_pieces(spark, dumps)
         reviews = parse.parse_comments(pieces, "source_file", block="block", fmt=fmt)
     else:
         reviews = parse.parse_dumps(sources.read_dumps(spark, dumps, fmt), fmt=fmt)

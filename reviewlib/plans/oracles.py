@@ -21,8 +21,12 @@ _VIEWS = {
 # -- SQL fragments ---------------------------------------------------------------------
 
 
+# RE2 has no Unicode \\s: the whitespace set spelled out.
+_WS = r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
 def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+    return "'" + s.replace(P.WS, _WS).replace("'", "''") + "'"
 
 
 def _sub(e: str, pattern: str, to: str, flags: str = "g") -> str:
@@ -81,7 +85,7 @@ def _label(v: str) -> str:
 
 
 def _coerce(e: str) -> str:
-    ok = f"regexp_matches({e}, {_q(P.NUMERIC)})"
+    ok = f"regexp_matches({e}, {_q(P.NUMERIC)}, 'i')"
     return f"CASE WHEN {ok} THEN TRY_CAST({_strip(e)} AS DOUBLE) END"
 
 
@@ -107,8 +111,7 @@ def _headers(e: str, k: int) -> str:
 
 
 def _dump_rating(e: str) -> str:
-    pattern = P.DUMP_RATING.replace(r"(?U:\b)", r"\b")
-    found = f"list_transform(regexp_extract_all({e}, {_q(pattern)}, 1), lambda z: {_number('z')})"
+    found = f"list_transform(regexp_extract_all({e}, {_q(P.DUMP_RATING)}, 1), lambda z: {_number('z')})"
     return (
         f"CASE WHEN len({found}) > 0 THEN printf('%.1f', list_sum({found}) / len({found})) "
         "|| '/5' ELSE '' END"
@@ -178,7 +181,7 @@ _LABELED_RAW = _LABELED.replace("SEARCHED", "raw")
 _EDA = f"""SELECT review_id, name, rating, number_of_photos, message, rating_raw,
   {_photos("number_of_photos")} AS number_of_photos_norm,
   CAST(length(message) AS INTEGER) AS len_chars, {_words("message")} AS len_words,
-  coalesce(regexp_matches(message, {_q(P.HAS_URL)}), false) AS has_url
+  coalesce(regexp_matches(message, {_q(P.HAS_URL)}, 'i'), false) AS has_url
 FROM (SELECT review_id, {_strip(_filled("name"))} AS name, {_coerce("rating")} AS rating,
         number_of_photos, {_strip(_filled("message"))} AS message, rating AS rating_raw
       FROM reviews)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlib.functions.patterns import WS, DumpFormat
+from reviewlib.functions.patterns import WS, DumpFormat, unicode
 from reviewlib.functions.text import flatten_comment
 from reviewlib.operators.ranking import first_per_group
 
@@ -25,13 +25,13 @@ def read_dumps(spark: SparkSession, path: str, fmt: DumpFormat = DumpFormat()) -
     return files.select(F.col("_metadata.file_path").alias("source_file"), text.alias("dump"))
 
 
-def read_dump_pieces(spark: SparkSession, path: str, fmt: DumpFormat = DumpFormat()) -> DataFrame:
+def read_dump_pieces(spark: SparkSession, path: str) -> DataFrame:
     """UTF-8 dumps of any size, cut at the separator so that Spark can split the files.
 
     ``block`` is the file split a piece was read from and ``ord`` its place in the split, as
     :func:`reviewlib.operators.parse.parse_comments` wants them.
     """
-    pieces = spark.read.text(path, lineSep=fmt.separator)
+    pieces = spark.read.text(path, lineSep="|")
     return pieces.select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -85,6 +85,6 @@ def page_elements(
     """Texts of a page's ``<tag class="css_class">`` elements: tags stripped, on one line,
     trimmed, blanks dropped, the first ``max_comments``. Elements must not nest."""
     pattern = rf'(?s)<{tag}[{WS}]+class="{css_class}"[^>]*>(.*?)</{tag}>'
-    raw = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    raw = F.regexp_extract_all(html, F.lit(unicode(pattern)), F.lit(1))
     texts = F.transform(raw, lambda e: flatten_comment(F.regexp_replace(e, "<[^>]*>", "")))
     return F.slice(F.filter(texts, lambda t: t != ""), 1, max_comments)

@@ -240,7 +240,7 @@ def write_reviews(
 ) -> None:
     """The review columns as a piped table."""
     require_columns(df, REVIEW_COLUMNS)
-    write_csv(df.select(*REVIEW_COLUMNS), path, sep=fmt.separator, mode=mode)
+    write_csv(df.select(*REVIEW_COLUMNS), path, sep=fmt.csv_separator, mode=mode)
 
 
 def preview(df: DataFrame) -> DataFrame:
