@@ -11,6 +11,7 @@ from reviewlib.functions.ratings import (
 )
 from reviewlib.functions.text import (
     basic_clean,
+    blank_links,
     clean_dump_message,
     clean_message,
     clean_model_text,
@@ -27,6 +28,7 @@ from reviewlib.functions.text import (
 
 __all__ = [
     "basic_clean",
+    "blank_links",
     "clean_dump_message",
     "clean_message",
     "clean_model_text",

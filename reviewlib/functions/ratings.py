@@ -23,9 +23,12 @@ def extract_rating_text(c: Column | str) -> Column:
 
     ``format_number`` rounds the binary value, as ``%.1f`` does.
     """
-    values = _numbers(c, P.DUMP_RATING)
-    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-    mean = F.when(F.size(values) > 0, total / F.size(values))
+    mean = F.aggregate(
+        _numbers(c, P.DUMP_RATING),
+        F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
+        lambda acc, v: F.struct((acc["sum"] + v).alias("sum"), (acc["n"] + 1).alias("n")),
+        lambda acc: F.when(acc["n"] > 0, acc["sum"] / acc["n"]),
+    )
     text = F.concat(F.call_function("format_number", mean, F.lit("0.0")), F.lit("/5"))
     return F.coalesce(text, F.lit(""))
 
@@ -43,10 +46,14 @@ def message_ratings(c: Column | str) -> Column:
 
 def rating_median(ratings: Column | str) -> Column:
     """Median of an array of ratings, null when it is empty."""
-    ordered = F.array_sort(_column(ratings))
-    n = F.size(ordered)
-    low, high = ((n - 1) / 2).cast("int"), (n / 2).cast("int")
-    return F.when(n > 0, (F.get(ordered, low) + F.get(ordered, high)) / 2)
+
+    def median(ordered: Column) -> Column:
+        n = F.size(ordered)
+        low, high = ((n - 1) / 2).cast("int"), (n / 2).cast("int")
+        return F.when(n > 0, (F.get(ordered, low) + F.get(ordered, high)) / 2)
+
+    # the array is used four times; going through transform it is computed once
+    return F.get(F.transform(F.array(F.array_sort(_column(ratings))), median), F.lit(0))
 
 
 def rating_label(c: Column | str) -> Column:

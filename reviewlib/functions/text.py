@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -68,12 +68,18 @@ def nfkc(c: Column | str) -> Column:
     return F.coalesce(_nfkc_batch(F.when(changes, c)), c)
 
 
-def clean_model_text(c: Column | str) -> Column:
-    """Links, mentions and hashtags to spaces, NFKC, trimmed. Null stays null."""
+def blank_links(c: Column | str) -> Column:
+    """Links, mentions and hashtags to spaces."""
     s = _column(c)
     for pattern in (P.ANY_URL, P.MENTION, P.HASHTAG):
         s = _sub(s, pattern, " ")
-    return strip(nfkc(s))
+    return s
+
+
+def clean_model_text(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with links, mentions and hashtags of ``text`` to spaces, NFKC, trimmed. Null
+    stays null. Two projections, since NFKC uses its input more than once."""
+    return df.withColumn(text, blank_links(text)).withColumn(text, strip(nfkc(text)))
 
 
 def text_length(c: Column | str) -> Column:

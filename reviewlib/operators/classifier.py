@@ -71,8 +71,11 @@ def train_classifier(
 ) -> PipelineModel:
     """Fit on labelled rows. Several passes run over ``train``, so it should be a table or
     cheap to compute. ``cleaned`` says that the text column is already model text."""
-    text = F.col(cfg.text_col) if cleaned else clean_model_text(cfg.text_col)
-    rows = train.select(text.alias(_TEXT), encode_label(cfg.label_col).alias("label_id"))
+    rows = train.select(
+        F.col(cfg.text_col).alias(_TEXT), encode_label(cfg.label_col).alias("label_id")
+    )
+    if not cleaned:
+        rows = clean_model_text(rows, _TEXT)
     rows = rows.filter(F.col(_TEXT).isNotNull() & F.col("label_id").isNotNull())
     if cfg.class_weight:
         # one row per label
@@ -90,8 +93,8 @@ def predict_proba(
     """``df`` plus ``p``, the class probabilities in label order."""
     if model is None:
         raise ValueError("no model: train or load one first")
-    source = F.col(text) if cleaned else clean_model_text(text)
-    scored = model.transform(df.withColumn(_TEXT, F.coalesce(source, F.lit(""))))
+    rows = df.withColumn(_TEXT, F.coalesce(F.col(text), F.lit("")))
+    scored = model.transform(rows if cleaned else clean_model_text(rows, _TEXT))
     return scored.select(*df.columns, vector_to_array("probability").alias("p"))
 
 

@@ -11,23 +11,9 @@ from reviewlib.functions.text import clean_dump_message, normalize_dump, sanitiz
 from reviewlib.operators.ranking import id_block, running_total
 
 
-# A normalised dump has a blank on each side of every "|", so this cannot occur in it, nor
-# arise where the text before it ends in "|".
-_MARK = "|\n|"
-
-
-def _cut(text: Column, fmt: DumpFormat) -> Column:
-    """Cut a normalised dump at its headers: an array of (``header``, ``body``), the first
-    with a null header and the text that precedes all headers. One pass of the pattern."""
-    marked = F.regexp_replace(text, F.lit(fmt.header_regex), F.lit(f"{_MARK}$0{_MARK}"))
-    parts = F.split(marked, r"\|\n\|", -1)
-    pairs = F.transform(
-        parts,
-        lambda part, i: F.struct(
-            i.alias("i"), F.get(parts, i - 1).alias("header"), part.alias("body")
-        ),
-    )
-    return F.filter(pairs, lambda p: p["i"] % 2 == 0)
+# Put before and after each header. A normalised dump has a blank on each side of every
+# "|", so neither occurs in it, nor arises where text ends in "|".
+_START, _END = "|\n|", "|\n\n|"
 
 
 def _header_group(header: Column | str, k: int, fmt: DumpFormat) -> Column:
@@ -50,11 +36,16 @@ def find_headers(text: Column | str, fmt: DumpFormat = DumpFormat()) -> Column:
 
 
 def _pieces(df: DataFrame, keep: list[str | Column], fmt: DumpFormat) -> DataFrame:
-    """A row per piece of ``_text``: ``_k`` 0 is what precedes the first header, ``_k`` k
-    the k-th ``_header`` and the ``_body`` that follows it."""
-    cut = df.select(*keep, F.posexplode(_cut(F.col("_text"), fmt)).alias("_k", "_z"))
+    """A row per piece of the normalised ``_text``: ``_k`` 0 is what precedes the first
+    header, ``_k`` k the k-th ``_header`` and the ``_body`` that follows it. One pass of
+    the header pattern, which must not match a ``|``."""
+    marked = F.regexp_replace("_text", F.lit(fmt.header_regex), F.lit(f"{_START}$0{_END}"))
+    cut = df.select(*keep, F.posexplode(F.split(marked, r"\|\n\|", -1)).alias("_k", "_piece"))
+    header, body = (F.split_part("_piece", F.lit(_END), F.lit(i)) for i in (1, 2))
     return cut.select(
-        *cut.columns[:-1], F.col("_z.header").alias("_header"), F.col("_z.body").alias("_body")
+        *cut.columns[:-1],
+        F.when(F.col("_k") > 0, header).alias("_header"),
+        F.when(F.col("_k") > 0, body).otherwise(F.col("_piece")).alias("_body"),
     )
 
 

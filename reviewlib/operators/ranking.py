@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Consecutive ids that make one block.
-BLOCK = 16_384
+# 2^14 consecutive ids make one block.
+_BLOCK_BITS = 14
 
 
-def id_block(ord: Column | str, size: int = BLOCK) -> Column:
+def id_block(ord: str, bits: int = _BLOCK_BITS) -> Column:
     """Block number of an integer id. Ids are unique per group, so a block of a group has
-    at most ``size`` rows however many rows the group has."""
-    return F.floor((F.col(ord) if isinstance(ord, str) else ord) / size)
+    at most ``2**bits`` rows however many rows the group has."""
+    return F.shiftright(ord, bits)
 
 
 def running_total(

@@ -122,7 +122,7 @@ def split_and_clean(
     sides = split.stratified_split(
         known, cfg.label_col, cfg.id_col, cfg.val_size, cfg.test_size, cfg.seed
     )
-    return sides.withColumn(cfg.text_col, clean_model_text(cfg.text_col))
+    return clean_model_text(sides, cfg.text_col)
 
 
 def train_and_evaluate(

@@ -192,7 +192,7 @@ def clean_message(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def clean_model_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _on_reviews(spark, sf_dir, message=R.clean_model_text("message"))
+    return R.clean_model_text(_on_reviews(spark, sf_dir, message=F.col("message")), "message")
 
 
 @query
