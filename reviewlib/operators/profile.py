@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,25 +150,41 @@ def histogram(df: DataFrame, column: str = "len_words", bins: int = 30) -> DataF
     """Counts of an integer column in ``bins`` equal bins from its minimum to its maximum:
     ``bin``, ``low``, ``high``, ``n``, empty bins included; the last bin holds the maximum.
     When all values are equal the range is widened by a half on each side."""
+    # one row per distinct value from here on, so neither the window over all of them nor the
+    # single row of bins grows with the number of messages
+    every = Window.partitionBy(F.lit(0))
     values = df.groupBy(column).agg(F.count("*").alias("n"))
-    lo, hi = values.agg(F.min(column)).scalar(), values.agg(F.max(column)).scalar()
-    offset = (F.col(column).cast("long") - lo) * bins
-    bin_ = F.when(hi == lo, F.lit(bins // 2)).otherwise(
-        F.least(F.floor(offset / (hi - lo)), F.lit(bins - 1))
+    ranged = values.select(
+        F.col(column).cast("long").alias("x"),
+        "n",
+        F.min(column).over(every).cast("long").alias("lo"),
+        F.max(column).over(every).cast("long").alias("hi"),
     )
-    counted = values.groupBy(bin_.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
-
-    wide = F.when(hi == lo, F.lit(1.0)).otherwise((hi - lo).cast("double"))
-    start = F.when(hi == lo, lo - F.lit(0.5)).otherwise(lo.cast("double"))
-    edges = df.sparkSession.range(bins).select(
-        F.col("id").cast("int").alias("bin"),
-        (start + F.col("id") * wide / bins).alias("low"),
-        (start + (F.col("id") + 1) * wide / bins).alias("high"),
+    lo, hi = F.col("lo"), F.col("hi")
+    placed = F.least(F.expr(f"(x - lo) * {bins} div (hi - lo)"), F.lit(bins - 1))
+    bin_ = F.when(F.col("x").isNotNull(), F.when(hi == lo, bins // 2).otherwise(placed))
+    filled = (
+        ranged.groupBy("lo", "hi", bin_.cast("int").alias("bin"))
+        .agg(F.sum("n").alias("n"))
+        .groupBy("lo", "hi")
+        .agg(
+            F.map_from_entries(
+                F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))
+            ).alias("counts")
+        )
+        .filter(lo.isNotNull())
     )
+    width = F.when(hi == lo, F.lit(1.0)).otherwise((hi - lo).cast("double"))
+    start = F.when(hi == lo, lo - F.lit(0.5)).otherwise(lo.cast("double"))
+    bin_no = F.col("bin")
     return (
-        edges.filter(F.col("low").isNotNull())
-        .join(counted, "bin", "left")
-        .select("bin", "low", "high", F.coalesce("n", F.lit(0)).alias("n"))
+        filled.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        .select(
+            "bin",
+            (start + bin_no * width / bins).alias("low"),
+            (start + (bin_no + 1) * width / bins).alias("high"),
+            F.coalesce(F.try_element_at("counts", bin_no), F.lit(0)).alias("n"),
+        )
         .orderBy("bin")
     )
 
