@@ -6,12 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewlib.operators.ranking import running_total
+
 # Groups of copies with at least this many rows are looked up map-side. There are at most
 # (rows / HOT_COPIES) of them: a hundred thousand 32-byte digests for 10^11 rows.
 HOT_COPIES = 1_000_000
 
 _QUARTILES = [0.25, 0.5, 0.75]
 
+# Into how many ranges distinct values are cut to rank them.
+_RANGES = 256
+
 
 def _is_missing(df: DataFrame, c: str) -> Column:
     missing = F.col(c).isNull()
@@ -44,7 +49,6 @@ def describe(df: DataFrame, max_columns: int = 30) -> DataFrame:
 
     Among equally frequent values ``top`` is the one with the smallest MD5, so that only
     digests are counted and shuffled; the texts of the winners are looked up afterwards.
-    Quantile state grows with the number of distinct values of a column.
     """
     columns = df.columns[:max_columns]
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
@@ -104,30 +108,95 @@ def _describe_values(df: DataFrame, position: dict[str, int]) -> DataFrame:
 
 
 def _describe_numbers(df: DataFrame, position: dict[str, int]) -> DataFrame:
-    aggregates = []
-    for c, i in position.items():
+    numbers = {}
+    for c in position:
         x = F.col(c).cast("double")
-        x = F.when(~F.isnan(x), x)
-        quartiles = F.percentile(x, F.array(*map(F.lit, _QUARTILES)))
-        aggregates.append(
+        numbers[c] = F.when(~F.isnan(x), x)
+    stats = df.agg(
+        *(
             F.struct(
                 F.lit(i).alias("position"),
                 F.lit(c).alias("column"),
-                F.count(x).alias("count"),
-                F.lit(None).cast("long").alias("unique"),
-                F.lit(None).cast("string").alias("top"),
-                F.lit(None).cast("long").alias("freq"),
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"),
-                F.get(quartiles, F.lit(0)).alias("q25"),
-                F.get(quartiles, F.lit(1)).alias("q50"),
-                F.get(quartiles, F.lit(2)).alias("q75"),
-                F.max(x).alias("max"),
+                F.count(numbers[c]).alias("count"),
+                F.avg(numbers[c]).alias("mean"),
+                F.stddev_samp(numbers[c]).alias("std"),
+                F.min(numbers[c]).alias("min"),
+                F.max(numbers[c]).alias("max"),
             ).alias(f"s{i}")
+            for c, i in position.items()
         )
-    stats = df.agg(*aggregates)
-    return stats.select(F.inline(F.array(*stats.columns)))
+    )
+    rows = stats.select(F.inline(F.array(*stats.columns)))
+    cells = df.select(
+        F.inline(
+            F.array(
+                *(
+                    F.struct(F.lit(i).alias("position"), numbers[c].alias("x"))
+                    for c, i in position.items()
+                )
+            )
+        )
+    )
+    quartiles = quantiles(cells, "position", "x", _QUARTILES)
+    return rows.join(quartiles, "position", "left").select(
+        "position",
+        "column",
+        "count",
+        F.lit(None).cast("long").alias("unique"),
+        F.lit(None).cast("string").alias("top"),
+        F.lit(None).cast("long").alias("freq"),
+        "mean",
+        "std",
+        "min",
+        *(F.get("quantiles", F.lit(i)).alias(c) for i, c in enumerate(("q25", "q50", "q75"))),
+        "max",
+    )
+
+
+def quantiles(df: DataFrame, by: str, x: str, probabilities: list[float]) -> DataFrame:
+    """Exact ``quantiles`` (linearly interpolated) of a number column per ``by``, for a small
+    number of groups of any size.
+
+    Spark's ``percentile`` holds every distinct value of a group in one task. Here values
+    are counted, and ranked by running totals over value ranges. A sketch picks the
+    ranges; it only decides how even they are, not the result.
+    """
+    values = (
+        df.filter(F.col(x).isNotNull())
+        .groupBy(by, F.col(x).alias("_x"))
+        .agg(F.count("*").alias("_n"))
+    )
+    cuts = [i / _RANGES for i in range(1, _RANGES)]
+    shape = values.groupBy(by).agg(
+        F.sum("_n").alias("_total"), F.percentile_approx("_x", cuts).alias("_cuts")
+    )
+    ranges = F.size(F.filter("_cuts", lambda cut: cut < F.col("_x")))
+    ranged = values.join(shape, by).withColumn("_range", ranges).drop("_cuts")
+    ranked = running_total(ranged, [by], "_range", ["_x"], "_n", "_upto")
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("_upto") > rank, F.col("_x")))
+
+    places = [(F.col("_total") - 1) * p for p in probabilities]
+    found = ranked.groupBy(by).agg(
+        F.array(
+            *(
+                F.struct(
+                    at(F.floor(place)).alias("low"),
+                    at(F.ceil(place)).alias("high"),
+                    F.max(place - F.floor(place)).alias("part"),
+                )
+                for place in places
+            )
+        ).alias("q")
+    )
+    between = F.transform(
+        "q",
+        lambda q: F.when(q["part"] == 0, q["low"]).otherwise(
+            q["low"] + (q["high"] - q["low"]) * q["part"]
+        ),
+    )
+    return found.select(by, between.alias("quantiles"))
 
 
 def _by_position(df: DataFrame, position: dict[str, int]) -> DataFrame:
@@ -193,7 +262,8 @@ def box_statistics(df: DataFrame, by: str = "rating", column: str = "len_words")
     """Box-plot numbers of ``column`` per ``by``: ``n``, ``q1``, ``median``, ``q3`` and the
     whiskers, the furthest values within 1.5 interquartile ranges of the box.
 
-    Works on counts per distinct (``by``, ``column``), so hot ratings shrink before the shuffle.
+    Works on counts per distinct (``by``, ``column``), so hot ratings shrink before the
+    shuffle and the state per rating is one entry per distinct word count.
     """
     known = df.filter(F.col(by).isNotNull())
     values = known.groupBy(by, column).agg(F.count(column).alias("n"))

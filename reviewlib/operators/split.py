@@ -30,6 +30,11 @@ def shuffle_key(id: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}-"), F.col(id).cast("string")))
 
 
+def shuffle_rows(df: DataFrame, id: str = "review_id", seed: int = 42) -> DataFrame:
+    """``df`` in the order of its seeded hash."""
+    return df.orderBy(shuffle_key(id, seed))
+
+
 def _apportion(df: DataFrame, weight: str, draws: str, label: str, out: str) -> DataFrame:
     """Share ``draws`` out over the classes in proportion to ``weight``: whole parts first,
     the rest to the largest remainders, ties in label order. A row per class."""

@@ -411,14 +411,16 @@ _add(
         tuple(f"{c}_length" for c in _TEXTS),
     ),
 )
-_add(
-    "write_preview",
+ORACLES["read_with_fallback"] = f"SELECT source, lang, {_null_tokens('text')} AS text FROM documents"
+_PREVIEW = (
     _read_back(
         _EDA,
         ("name", "number_of_photos_norm", "message"),
         ("rating", "len_chars", "len_words", "has_url"),
-    ),
+    )
 )
+_add("write_preview", _PREVIEW)
+_add("eda_job", _PREVIEW)
 
 # -- reports ---------------------------------------------------------------------------
 
@@ -508,6 +510,7 @@ _add(
     f"SELECT doc_id, label, {_IDS} AS label_id, label AS decoded FROM sentences",
 )
 _add("stratified_split", f"SELECT doc_id, label, split FROM ({_SPLIT})")
+_add("shuffle_rows", "SELECT doc_id, md5('42-' || doc_id) AS key FROM sentences")
 _add(
     "split_quotas",
     f"""SELECT label, n, CAST(n_train AS BIGINT) AS n_train, CAST(n_val AS BIGINT) AS n_val,

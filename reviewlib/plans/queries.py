@@ -340,6 +340,25 @@ def load_raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def read_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Latin-1 table, asked for as UTF-8."""
+    path = scratch_dir(spark)
+    rows = views.table(spark, sf_dir, "documents").select("source", "lang", "text")
+    rows.write.option("header", True).option("escape", '"').option(
+        "encoding", "ISO-8859-1"
+    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return sources.read_with_fallback(spark, path)
+
+
+@query
+def eda_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exploration job over a folder of piped files; the preview it writes."""
+    out = scratch_dir(spark)
+    jobs.eda_job(spark, _review_files(spark, sf_dir), out)
+    return sources.read_labeled(spark, out, "message", "name")
+
+
 @query
 def read_labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled table written with commas and read for training."""
@@ -447,6 +466,13 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _split(spark, sf_dir).select("doc_id", "label", "split")
 
 
+@query
+def shuffle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows in shuffled order, with the key they are ordered by."""
+    rows = split.shuffle_rows(_sentences(spark, sf_dir), "doc_id")
+    return rows.select("doc_id", split.shuffle_key("doc_id").alias("key"))
+
+
 @query
 def split_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = _sentences(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n"))

@@ -13,6 +13,7 @@ from reviewlib.sources.tables import (
     preview,
     read_labeled,
     read_reviews,
+    read_with_fallback,
     require_columns,
     write_csv,
     write_metrics,
@@ -30,6 +31,7 @@ __all__ = [
     "read_dumps",
     "read_labeled",
     "read_reviews",
+    "read_with_fallback",
     "require_columns",
     "save_model",
     "write_csv",

@@ -165,60 +165,87 @@ def _files_with_long_rows(df: DataFrame, columns: Sequence[str], sep: str) -> se
     return {unquote(r[0]) for r in long.select("_path").distinct().collect()}
 
 
-def load_raw_reviews(
-    spark: SparkSession, folder: str, sep: str = ",", multi_line: bool = True
-) -> DataFrame:
-    """Every ``*.csv`` of a folder in one frame, with ``__source_file``.
+def _open(
+    spark: SparkSession, path: str, sep: str, encoding: str, multi_line: bool
+) -> tuple[list[DataFrame], list[str]]:
+    """A frame per distinct header, and the files that fit none.
 
-    Files that are not UTF-8 are read as Latin-1. Files with a record longer than their
-    header are read again with ``;``; if that does not fit either (or the file is
-    Latin-1) they are left out with a warning. Columns a file lacks are null. No file
-    gives an empty frame.
-
-    Files are sorted out by two distributed passes; the driver sees one line per file (as
-    it does when it lists them) and makes one reader per distinct header, not per file.
+    Two distributed passes sort the files out; the driver sees one line per file (as it
+    does when it lists them) and makes one reader per distinct header, not per file.
     """
-    pattern = f"{folder.rstrip('/')}/*.csv"
-    try:
-        files = _inspect(spark, pattern).collect()
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        warnings.warn(f"no CSV files in {folder}", stacklevel=2)
-        return spark.createDataFrame([], T.StructType([]))
-
     groups: dict[tuple, list[str]] = defaultdict(list)
-    for f in files:
-        encoding = "UTF-8" if f.utf8 else "ISO-8859-1"
-        groups[f.header, encoding, sep].append(unquote(f.path))
+    for f in _inspect(spark, path).collect():
+        fits = encoding != "UTF-8" or f.utf8
+        groups[f.header, encoding if fits else "ISO-8859-1", sep].append(unquote(f.path))
 
-    frames = []
+    frames, left_out = [], []
     while groups:
-        (header, encoding, used), paths = groups.popitem()
-        columns = _columns_of(header, used)
-        df = _csv(spark, paths, columns, used, encoding, multi_line)
-        bad = _files_with_long_rows(df, columns, used)
+        (header, used, by), paths = groups.popitem()
+        columns = _columns_of(header, by)
+        df = _csv(spark, paths, columns, by, used, multi_line)
+        bad = _files_with_long_rows(df, columns, by)
         good = [p for p in paths if p not in bad]
-        if bad and encoding == "UTF-8" and used != ";":
+        if bad and used == encoding and by != ";":
             groups[header, encoding, ";"].extend(sorted(bad))
-        elif bad:
-            warnings.warn(f"left out, records do not fit the header: {sorted(bad)}", stacklevel=2)
+        else:
+            left_out += sorted(bad)
         if good:
-            frame = _csv(spark, good, columns, used, encoding, multi_line)
-            frames.append(
-                frame.select(
-                    *(_missing_to_null(c) for c in columns),
-                    F.col("_metadata.file_name").alias("__source_file"),
-                )
-            )
-    if not frames:
-        return spark.createDataFrame([], T.StructType([]))
+            frame = _csv(spark, good, columns, by, used, multi_line)
+            name = F.col("_metadata.file_name").alias("__source_file")
+            frames.append(frame.select(*(_missing_to_null(c) for c in columns), name))
+    return frames, left_out
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)
     return out
 
 
+def read_with_fallback(
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    encoding: str = "UTF-8",
+    multi_line: bool = True,
+) -> DataFrame:
+    """A CSV table whose encoding and separator may differ from what is expected.
+
+    A file that is not valid UTF-8 is read as Latin-1; one with a record longer than its
+    header is read with ``;`` instead. When that does not fit either, or the file is
+    Latin-1, it is an error.
+    """
+    try:
+        frames, left_out = _open(spark, path, sep, encoding, multi_line)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"no input at {path}") from e
+        raise
+    if left_out:
+        raise ValueError(f"records do not fit the header in {left_out}")
+    return _union(frames).drop("__source_file")
+
+
+def load_raw_reviews(
+    spark: SparkSession, folder: str, sep: str = ",", multi_line: bool = True
+) -> DataFrame:
+    """Every ``*.csv`` of a folder in one frame, read as by :func:`read_with_fallback`, with
+    ``__source_file``. Files that cannot be read are left out with a warning, columns a file
+    lacks are null, and no file at all gives an empty frame.
+    """
+    try:
+        frames, left_out = _open(spark, f"{folder.rstrip('/')}/*.csv", sep, "UTF-8", multi_line)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        warnings.warn(f"no CSV files in {folder}", stacklevel=2)
+        frames, left_out = [], []
+    if left_out:
+        warnings.warn(f"left out, records do not fit the header: {left_out}", stacklevel=2)
+    return _union(frames) if frames else spark.createDataFrame([], T.StructType([]))
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "error") -> None:
     """Header, minimal quoting, no trimming; null and ``""`` both as nothing."""
     (

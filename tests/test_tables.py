@@ -102,6 +102,18 @@ def test_raw_folder(spark, tmp_path):
     assert "d.csv" in left_out and "e.csv" in left_out
 
 
+def test_fallback_for_one_file(spark, tmp_path):
+    (tmp_path / "b.csv").write_bytes("name,message\nbê,olá\n".encode("latin-1"))
+    assert cells(sources.read_with_fallback(spark, str(tmp_path / "b.csv"))) == [("bê", "olá")]
+    (tmp_path / "c.csv").write_text("name;rating\nc, d e;3\n", encoding="utf-8")
+    assert cells(sources.read_with_fallback(spark, str(tmp_path / "c.csv"))) == [("c, d e", "3")]
+    (tmp_path / "d.csv").write_text("name,message\nlonga,1,2;3;4\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="d.csv"):
+        sources.read_with_fallback(spark, str(tmp_path / "d.csv"))
+    with pytest.raises(FileNotFoundError):
+        sources.read_with_fallback(spark, str(tmp_path / "e.csv"))
+
+
 def test_empty_folder(spark, tmp_path):
     with pytest.warns(UserWarning, match="no CSV"):
         df = sources.load_raw_reviews(spark, str(tmp_path))
