@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reviewlib.functions import patterns as P
-from reviewlib.functions.text import _column, _filled, strip
+from reviewlib.functions.text import _column, _filled, _let, strip
 
 
 def _number(c: Column) -> Column:
@@ -52,8 +52,7 @@ def rating_median(ratings: Column | str) -> Column:
         low, high = ((n - 1) / 2).cast("int"), (n / 2).cast("int")
         return F.when(n > 0, (F.get(ordered, low) + F.get(ordered, high)) / 2)
 
-    # the array is used four times; going through transform it is computed once
-    return F.get(F.transform(F.array(F.array_sort(_column(ratings))), median), F.lit(0))
+    return _let(F.array_sort(_column(ratings)), median)
 
 
 def rating_label(c: Column | str) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,18 @@ def _sub(c: Column, pattern: str, replacement: str, flags: str = "") -> Column:
     return F.regexp_replace(c, F.lit(P.unicode(pattern, flags)), F.lit(replacement))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _around(c: Column, mark: str) -> Column:
+    """One blank on each side of ``mark``. Most texts have no mark, and a byte search tells
+    that much faster than the pattern does."""
+    spaced = _sub(c, rf"[{P.WS}]*{re.escape(mark)}[{P.WS}]*", f" {mark} ")
+    return F.when(F.contains(c, F.lit(mark)), spaced).otherwise(c)
+
+
 def _filled(c: Column | str) -> Column:
     return F.coalesce(_column(c), F.lit(""))
 
@@ -49,7 +63,7 @@ def clean_message(c: Column | str, strip_emojis: bool = True) -> Column:
     ``/ / x.y`` behind.
     """
     s = remove_emojis(c) if strip_emojis else _filled(c)
-    s = _sub(s, rf"[{P.WS}]*/[{P.WS}]*", " / ")
+    s = _let(s, lambda t: _around(t, "/"))
     s = _sub(s, P.SUBRATING_BLOCK, "", "i")
     s = _sub(s, P.ANY_URL, " ")
     return strip(_collapse(s))
@@ -98,8 +112,8 @@ def has_url(c: Column | str) -> Column:
 
 def normalize_dump(c: Column | str) -> Column:
     """Line ends to LF and one space on each side of every separator."""
-    lf = _sub(_column(c), r"\r\n?", "\n")
-    return _sub(lf, rf"[{P.WS}]*\|[{P.WS}]*", " | ")
+    lf = F.replace(_column(c), F.lit("\r\n"), F.lit("\n"))
+    return _around(F.replace(lf, F.lit("\r"), F.lit("\n")), "|")
 
 
 def clean_dump_message(c: Column | str, fmt: P.DumpFormat = P.DumpFormat()) -> Column:

@@ -35,17 +35,24 @@ def find_headers(text: Column | str, fmt: DumpFormat = DumpFormat()) -> Column:
     )
 
 
-def _pieces(df: DataFrame, keep: list[str | Column], fmt: DumpFormat) -> DataFrame:
-    """A row per piece of the normalised ``_text``: ``_k`` 0 is what precedes the first
-    header, ``_k`` k the k-th ``_header`` and the ``_body`` that follows it. One pass of
-    the header pattern, which must not match a ``|``."""
-    marked = F.regexp_replace("_text", F.lit(fmt.header_regex), F.lit(f"{_START}$0{_END}"))
-    cut = df.select(*keep, F.posexplode(F.split(marked, r"\|\n\|", -1)).alias("_k", "_piece"))
-    header, body = (F.split_part("_piece", F.lit(_END), F.lit(i)) for i in (1, 2))
-    return cut.select(
-        *cut.columns[:-1],
+def _cut(text: Column, fmt: DumpFormat) -> Column:
+    """Cut a normalised dump before each header, in one pass of the header pattern (which
+    must not match a ``|``). Part 0 is what precedes the first header."""
+    marked = F.regexp_replace(text, F.lit(fmt.header_regex), F.lit(f"{_START}$0{_END}"))
+    return F.split(marked, r"\|\n\|", -1)
+
+
+def _pieces(df: DataFrame) -> DataFrame:
+    """A row per part of ``_parts``: ``_k``, the ``_header`` part k > 0 starts with, and
+    the ``_body`` after it."""
+    keep = [c for c in df.columns if c != "_parts"]
+    parts = df.select(*keep, F.posexplode("_parts").alias("_k", "_part"))
+    header, body = (F.split_part("_part", F.lit(_END), F.lit(i)) for i in (1, 2))
+    return parts.select(
+        *keep,
+        "_k",
         F.when(F.col("_k") > 0, header).alias("_header"),
-        F.when(F.col("_k") > 0, body).otherwise(F.col("_piece")).alias("_body"),
+        F.when(F.col("_k") > 0, body).otherwise(F.col("_part")).alias("_body"),
     )
 
 
@@ -72,8 +79,8 @@ def parse_dumps(df: DataFrame, dump: str = "dump", fmt: DumpFormat = DumpFormat(
     belongs to the review before it.
     """
     keys = [c for c in df.columns if c != dump]
-    text = df.select(*keys, normalize_dump(dump).alias("_text"))
-    pieces = _pieces(text, keys, fmt).filter(F.col("_k") > 0)
+    cut = df.select(*keys, _cut(normalize_dump(dump), fmt).alias("_parts"))
+    pieces = _pieces(cut).filter(F.col("_k") > 0)
     return _review(pieces.withColumnRenamed("_k", "review_no"), [*keys, "review_no"], fmt)
 
 
@@ -95,17 +102,16 @@ def parse_comments(
     a comment's first header goes to the last review before it. Blanks that open a dump
     are trimmed.
     """
-    blocked = df.select(
+    blocked = df.filter(F.col(comment).isNotNull()).select(
         F.col(source),
         (F.col(block) if block else id_block(ord)).alias("_block"),
         F.col(ord).alias("_ord"),
-        strip(normalize_dump(comment)).alias("_text"),
-    ).withColumn("_headers", F.regexp_count("_text", F.lit(fmt.header_regex)))
+        _cut(strip(normalize_dump(comment)), fmt).alias("_parts"),
+    ).withColumn("_headers", F.size("_parts") - 1)
     numbered = running_total(blocked, [source], "_block", ["_ord"], "_headers", "_last")
 
-    first = (F.col("_last") - F.col("_headers")).alias("_before")
-    pieces = _pieces(numbered, [source, "_block", "_ord", first], fmt)
-    pieces = pieces.withColumn("review_no", (F.col("_before") + F.col("_k")).cast("int"))
+    before = F.col("_last") - F.col("_headers")
+    pieces = _pieces(numbered).withColumn("review_no", (before + F.col("_k")).cast("int"))
     joined = F.when(F.col("_k") == 0, F.concat(F.lit(" | "), "_body")).otherwise(F.col("_body"))
     parts = F.array_sort(F.collect_list(F.struct("_block", "_ord", "_k", joined.alias("text"))))
     reviews = (

@@ -157,7 +157,16 @@ def _inspect(spark: SparkSession, pattern: str) -> DataFrame:
 
 def _columns_of(header: str | None, sep: str) -> tuple[str, ...]:
     names = next(csv.reader([(header or "").lstrip("﻿")], delimiter=sep), [])
-    return tuple(n or f"Unnamed: {i}" for i, n in enumerate(names))
+    columns, seen = [], set()
+    for i, name in enumerate(names):
+        base = name = name or f"Unnamed: {i}"
+        n = 0
+        while name.lower() in seen:
+            n += 1
+            name = f"{base}.{n}"
+        seen.add(name.lower())
+        columns.append(name)
+    return tuple(columns)
 
 
 def _files_with_long_rows(df: DataFrame, columns: Sequence[str], sep: str) -> set[str]:
