@@ -101,16 +101,14 @@ class DumpFormat:
     """How a raw dump is read and its table written: encoding, header pattern, noise to drop,
     separator of the table. Comments in a dump are always separated by ``|``.
 
-    ``header`` must have three groups: author, number of reviews, number of photos. It is
-    tried at the start of a line, after a separator and where the last header ended;
-    a header found further along such a stretch would also match from its start, so
-    nothing is missed and long texts are scanned once instead of once per character.
-    Patterns ignore case.
+    A header is an author's name and what tells it from other text. ``header`` matches the
+    latter, blanks before it included; it has two groups, number of reviews and number of
+    photos, and must not match a ``|``. The name is what stands before it (at least one
+    character) since the last line end, separator or header. Patterns ignore case.
     """
 
     # Header and noise of the dumps this reads by default.
     header: str = (
-        r"([^|\n]+?)"
         rf"[{WS}]+(?:Local Guide·[{WS}]*)?"
         rf"([0-9]+)[{WS}]+avaliaç(?:ões|ão)"
         rf"(?:·([0-9]+)[{WS}]+fotos)?"
@@ -124,4 +122,7 @@ class DumpFormat:
 
     @property
     def header_regex(self) -> str:
-        return unicode(rf"(?:\G|(?<=[|\n]))(?:{self.header})", "i")
+        """``header`` where a name can precede it: not where the last match ended, and not
+        after a line end or separator. Looking for this part finds the headers that looking
+        for names would find, without trying every character as the start of a name."""
+        return unicode(rf"(?<=[^|\n])(?!\G)(?:{self.header})", "i")

@@ -103,7 +103,8 @@ def _normalize_dump(e: str) -> str:
 
 
 _FORMAT = P.DumpFormat()
-_HEADER = "(?i)" + _FORMAT.header
+# the whole header, name first, as one pattern
+_HEADER = r"(?i)([^|\n]+?)" + _FORMAT.header
 
 
 def _headers(e: str, k: int) -> str:

@@ -1,8 +1,10 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from reviewlib import sources
+from reviewlib.functions import normalize_dump
 from reviewlib.functions.patterns import DumpFormat
 from reviewlib.operators import parse
 from reviewlib.operators.ranking import first_per_group, running_total
@@ -71,7 +73,7 @@ def test_find_headers(spark):
 
 
 def test_own_header(spark):
-    fmt = DumpFormat(header=r"([^|\n]+?) +([0-9]+) reviews(?: ([0-9]+) photos)?", noise=())
+    fmt = DumpFormat(header=r" +([0-9]+) reviews(?: ([0-9]+) photos)?", noise=())
     assert parsed(spark, "Ann 2 Reviews 3 photos good", fmt=fmt) == [("Ann", "", "3", "good")]
 
 
@@ -81,6 +83,33 @@ def _random_comment(rng):
     return "".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(1, 9)))
 
 
+def test_headers_are_those_of_a_name_first_search(spark):
+    """Against a plain search for name and rest together."""
+    rng = random.Random(3)
+    texts = ["".join(_random_comment(rng) for _ in range(rng.randint(1, 3))) for _ in range(3000)]
+    texts += [" 5 avaliações", "  5 avaliações", "\n  5 avaliações", "a\n\n 5 avaliações",
+              "a 5 avaliações 6 avaliações", "a 5 avaliações  6 avaliações", "a 1 2 avaliações"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    text = df.select("i", normalize_dump("s").alias("t"))
+    whole = re.compile(
+        r"([^|\n]+?)\s+(?:Local Guide·\s*)?(\d+)\s+avaliaç(?:ões|ão)(?:·(\d+)\s+fotos)?", re.I
+    )
+    found = text.select("i", "t", parse.find_headers("t").alias("h")).collect()
+    assert sum(len(r.h) for r in found) > 1000
+    for r in found:
+        want = [(m[1].strip(), m[2], m[3] or "") for m in whole.finditer(r.t)]
+        assert [tuple(h) for h in r.h] == want, r.t
+    bodies = {}
+    for r in parse.parse_dumps(text.withColumnRenamed("t", "dump")).collect():
+        bodies.setdefault(r.i, []).append(r.message)
+    for r in found:
+        ms = list(whole.finditer(r.t))
+        ends = [m.start() for m in ms[1:]] + [len(r.t)]
+        raw = [r.t[m.end() : e].lstrip(" |").strip() for m, e in zip(ms, ends)]
+        squeezed = [re.sub(r"\n{2,}", "\n", re.sub(r"[ \t]+", " ", b)).strip() for b in raw]
+        assert bodies.get(r.i, []) == [b.replace("|", " / ").strip() for b in squeezed]
+
+
 def test_comments_parse_like_their_dump(spark):
     """Separately parsed comments against the joined dump, block borders everywhere."""
     rng = random.Random(7)
