@@ -108,67 +108,55 @@ def _describe_values(df: DataFrame, position: dict[str, int]) -> DataFrame:
 
 
 def _describe_numbers(df: DataFrame, position: dict[str, int]) -> DataFrame:
-    numbers = {}
-    for c in position:
-        x = F.col(c).cast("double")
-        numbers[c] = F.when(~F.isnan(x), x)
-    stats = df.agg(
-        *(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(c).alias("column"),
-                F.count(numbers[c]).alias("count"),
-                F.avg(numbers[c]).alias("mean"),
-                F.stddev_samp(numbers[c]).alias("std"),
-                F.min(numbers[c]).alias("min"),
-                F.max(numbers[c]).alias("max"),
-            ).alias(f"s{i}")
-            for c, i in position.items()
-        )
-    )
-    rows = stats.select(F.inline(F.array(*stats.columns)))
     cells = df.select(
         F.inline(
             F.array(
                 *(
-                    F.struct(F.lit(i).alias("position"), numbers[c].alias("x"))
+                    F.struct(F.lit(i).alias("position"), F.col(c).cast("double").alias("x"))
                     for c, i in position.items()
                 )
             )
         )
     )
-    quartiles = quantiles(cells, "position", "x", _QUARTILES)
-    return rows.join(quartiles, "position", "left").select(
-        "position",
-        "column",
-        "count",
-        F.lit(None).cast("long").alias("unique"),
-        F.lit(None).cast("string").alias("top"),
-        F.lit(None).cast("long").alias("freq"),
-        "mean",
-        "std",
-        "min",
-        *(F.get("quantiles", F.lit(i)).alias(c) for i, c in enumerate(("q25", "q50", "q75"))),
-        "max",
+    found = number_summary(cells, "position", "x", _QUARTILES)
+    return (
+        _by_position(df, position)
+        .join(found, "position", "left")
+        .select(
+            "position",
+            "column",
+            F.coalesce("count", F.lit(0)).alias("count"),
+            F.lit(None).cast("long").alias("unique"),
+            F.lit(None).cast("string").alias("top"),
+            F.lit(None).cast("long").alias("freq"),
+            "mean",
+            "std",
+            "min",
+            *(F.get("quantiles", F.lit(i)).alias(c) for i, c in enumerate(("q25", "q50", "q75"))),
+            "max",
+        )
     )
 
 
-def quantiles(df: DataFrame, by: str, x: str, probabilities: list[float]) -> DataFrame:
-    """Exact ``quantiles`` (linearly interpolated) of a number column per ``by``, for a small
-    number of groups of any size.
+def number_summary(df: DataFrame, by: str, x: str, probabilities: list[float]) -> DataFrame:
+    """``count``, ``mean``, ``std``, ``min``, ``max`` and exact, linearly interpolated
+    ``quantiles`` of a double column per ``by``, for few groups of any size. One pass.
 
     Spark's ``percentile`` holds every distinct value of a group in one task. Here values
     are counted, and ranked by running totals over value ranges. A sketch picks the
     ranges; it only decides how even they are, not the result.
     """
     values = (
-        df.filter(F.col(x).isNotNull())
+        df.filter(~F.isnan(x) & F.col(x).isNotNull())
         .groupBy(by, F.col(x).alias("_x"))
         .agg(F.count("*").alias("_n"))
     )
     cuts = [i / _RANGES for i in range(1, _RANGES)]
+    # a row per group
     shape = values.groupBy(by).agg(
-        F.sum("_n").alias("_total"), F.percentile_approx("_x", cuts).alias("_cuts")
+        F.sum("_n").alias("_total"),
+        (F.sum(F.col("_x") * F.col("_n")) / F.sum("_n")).alias("_mean"),
+        F.percentile_approx("_x", cuts).alias("_cuts"),
     )
     ranges = F.size(F.filter("_cuts", lambda cut: cut < F.col("_x")))
     ranged = values.join(shape, by).withColumn("_range", ranges).drop("_cuts")
@@ -177,8 +165,15 @@ def quantiles(df: DataFrame, by: str, x: str, probabilities: list[float]) -> Dat
     def at(rank: Column) -> Column:
         return F.min(F.when(F.col("_upto") > rank, F.col("_x")))
 
+    total = F.max("_total")
+    squares = F.sum(F.col("_n") * F.pow(F.col("_x") - F.col("_mean"), 2))
     places = [(F.col("_total") - 1) * p for p in probabilities]
     found = ranked.groupBy(by).agg(
+        total.alias("count"),
+        F.max("_mean").alias("mean"),
+        F.sqrt(F.when(total > 1, squares / (total - 1))).alias("std"),
+        F.min("_x").alias("min"),
+        F.max("_x").alias("max"),
         F.array(
             *(
                 F.struct(
@@ -188,7 +183,7 @@ def quantiles(df: DataFrame, by: str, x: str, probabilities: list[float]) -> Dat
                 )
                 for place in places
             )
-        ).alias("q")
+        ).alias("q"),
     )
     between = F.transform(
         "q",
@@ -196,7 +191,7 @@ def quantiles(df: DataFrame, by: str, x: str, probabilities: list[float]) -> Dat
             q["low"] + (q["high"] - q["low"]) * q["part"]
         ),
     )
-    return found.select(by, between.alias("quantiles"))
+    return found.withColumn("quantiles", between).drop("q")
 
 
 def _by_position(df: DataFrame, position: dict[str, int]) -> DataFrame:

@@ -84,28 +84,28 @@ def eda_job(
 ) -> EdaReport | None:
     """Explore every CSV of a folder and write the preview; ``None`` without any data.
 
-    The features are written once to the session's scratch folder and every report
-    reads its own columns of that table.
+    The files are parsed once: rows as read and their features go to a table in the
+    session's scratch folder, and every report reads its own columns of it.
     """
     raw = sources.load_raw_reviews(spark, folder, sep)
     if not raw.columns:
         return None
     table = scratch_dir(spark)
-    prepare.eda_features(raw).withColumn("row_id", F.monotonically_increasing_id()).write.parquet(
-        table
-    )
+    as_read = F.struct(*(F.col(f"`{c}`") for c in raw.columns)).alias("as_read")
+    features = prepare.eda_features(raw.select("*", as_read))
+    features.withColumn("row_id", F.monotonically_increasing_id()).write.parquet(table)
     df = spark.read.parquet(table)
+    raw = df.select("as_read.*")
     sources.write_preview(df, out, mode)
-    rows = df.drop("row_id")
     return EdaReport(
-        rows=rows,
+        rows=df.drop("row_id", "as_read"),
         null_counts=profile.null_counts(raw),
         describe=profile.describe(raw),
         rating_distribution=profile.rating_distribution(df),
         words_histogram=profile.histogram(df),
         words_by_rating=profile.box_statistics(df),
         top_authors=profile.top_authors(df),
-        suspects=profile.suspect_reviews(df).orderBy("row_id").limit(10).drop("row_id"),
+        suspects=profile.suspect_reviews(df).orderBy("row_id").limit(10).drop("row_id", "as_read"),
         duplicates=profile.duplicate_messages(df)
         .orderBy("message", "row_id")
         .limit(20)

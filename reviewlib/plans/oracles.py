@@ -445,10 +445,10 @@ FROM (SELECT {c} AS v, count(*) AS n FROM eda WHERE {c} IS NOT NULL GROUP BY {c}
 
 
 def _describe_number(i: int, c: str) -> str:
-    q = ", ".join(f"round(quantile_cont({c}, {p}), 9) AS q{p[2:]}" for p in ("0.25", "0.50", "0.75"))
+    q = ", ".join(f"round(quantile_cont({c}, {p}), 6) AS q{p[2:]}" for p in ("0.25", "0.50", "0.75"))
     return f"""SELECT {i} AS position, '{c}' AS "column", count({c}) AS count,
   NULL::BIGINT AS "unique", NULL::VARCHAR AS top, NULL::BIGINT AS freq,
-  round(avg({c}), 9) AS mean, round(stddev_samp({c}), 9) AS std, CAST(min({c}) AS DOUBLE) AS min,
+  round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min,
   {q}, CAST(max({c}) AS DOUBLE) AS max FROM eda"""
 
 

@@ -1,7 +1,7 @@
 """The registered queries: each operator over the test tables, whole.
 
 Queries that write and read back use a new folder in the session's scratch space.
-Averages are rounded to nine places, since summing in another order changes the last ones.
+Averages are rounded to nine places or six, since summing in another order changes the last ones.
 """
 
 from __future__ import annotations
@@ -72,8 +72,8 @@ def _on_reviews(spark: SparkSession, sf_dir: str, **columns: Column) -> DataFram
     return rows.select("review_id", *(c.alias(n) for n, c in columns.items()))
 
 
-def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 9) for c in columns})
+def _rounded(df: DataFrame, *columns: str, places: int = 9) -> DataFrame:
+    return df.withColumns({c: F.round(c, places) for c in columns})
 
 
 # -- dumps -----------------------------------------------------------------------------
@@ -399,7 +399,7 @@ def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def describe_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _eda(spark, sf_dir).select("name", "rating", "number_of_photos", "message", "len_words")
-    return _rounded(profile.describe(rows), "mean", "std", "q25", "q50", "q75")
+    return _rounded(profile.describe(rows), "mean", "std", "q25", "q50", "q75", places=6)
 
 
 @query

@@ -86,7 +86,7 @@ def test_quantiles_of_many_values_and_a_hot_one(spark):
     rows = [("a", float(v)) for v in x] + [("b", 1.0), ("b", 2.0), ("c", 5.0), ("c", None), ("d", None)]
     df = spark.createDataFrame(rows, "g string, x double").repartition(5)
     probabilities = [0.0, 0.25, 0.5, 0.631, 0.99, 1.0]
-    got = {r.g: r.quantiles for r in profile.quantiles(df, "g", "x", probabilities).collect()}
+    got = {r.g: r.quantiles for r in profile.number_summary(df, "g", "x", probabilities).collect()}
     assert got["a"] == pytest.approx(np.quantile(x, probabilities).tolist())
     assert got["b"] == pytest.approx([1.0, 1.25, 1.5, 1.631, 1.99, 2.0])
     assert got["c"] == [5.0] * 6 and "d" not in got
