@@ -15,7 +15,10 @@ def rating_number(rating: Column | str, message: Column | str) -> Column:
     return F.coalesce(parse_rating(rating), rating_median(message_ratings(message)))
 
 
-def _labeled(df: DataFrame, strip_emojis: bool, ratings_from: str) -> DataFrame:
+def rate_reviews(
+    df: DataFrame, strip_emojis: bool = True, ratings_from: str = "clean"
+) -> DataFrame:
+    """Cleaned message, ``rating_num`` and ``label`` of every row, null where there is none."""
     if ratings_from not in ("clean", "raw"):
         raise ValueError("ratings_from must be 'clean' or 'raw'")
     cleaned = {"message": clean_message("message", strip_emojis)}
@@ -27,7 +30,8 @@ def _labeled(df: DataFrame, strip_emojis: bool, ratings_from: str) -> DataFrame:
     return rated.withColumn("label", rating_label("rating_num"))
 
 
-def _usable() -> Column:
+def usable() -> Column:
+    """Whether a rated row has a message and a label."""
     return (F.length("message") > 0) & F.col("label").isNotNull()
 
 
@@ -40,15 +44,15 @@ def label_reviews(
     Cleaning cuts a trailing block of sub-ratings, so with ``ratings_from="clean"`` such
     a block gives no rating; ``"raw"`` searches the message as it came.
     """
-    return _labeled(df, strip_emojis, ratings_from).filter(_usable())
+    return rate_reviews(df, strip_emojis, ratings_from).filter(usable())
 
 
 def labeling_summary(
     df: DataFrame, strip_emojis: bool = True, ratings_from: str = "clean"
 ) -> DataFrame:
     """One row: ``rows_in`` and ``rows_usable``."""
-    return _labeled(df, strip_emojis, ratings_from).agg(
-        F.count("*").alias("rows_in"), F.count_if(_usable()).alias("rows_usable")
+    return rate_reviews(df, strip_emojis, ratings_from).agg(
+        F.count("*").alias("rows_in"), F.count_if(usable()).alias("rows_usable")
     )
 
 

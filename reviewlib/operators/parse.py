@@ -115,7 +115,7 @@ def parse_dumps(df: DataFrame, dump: str = "dump", fmt: DumpFormat = DumpFormat(
     return _review(pieces.withColumnRenamed("_k", "review_no"), [*keys, "review_no"], fmt)
 
 
-def parse_comments(
+def cut_comments(
     df: DataFrame,
     source: str = "source",
     ord: str = "ord",
@@ -123,24 +123,25 @@ def parse_comments(
     block: str | None = None,
     fmt: DumpFormat = DumpFormat(),
 ) -> DataFrame:
-    """What :func:`parse_dumps` gives for the dump ``comment``s of a source make when
-    joined in ``ord`` order, without ever joining them.
+    """First half of :func:`parse_comments`: comments cut at their headers. All the
+    pattern matching that depends on no other comment."""
+    return (
+        df.filter(F.col(comment).isNotNull())
+        .select(
+            F.col(source),
+            (F.col(block) if block else id_block(ord)).alias("_block"),
+            F.col(ord).alias("_ord"),
+            _cut(strip(normalize_dump(comment)), fmt).alias("_parts"),
+        )
+        .withColumn("_headers", F.size("_parts") - 1)
+    )
 
-    Headers cannot reach across a separator, so each comment is cut by itself. A running
-    count of headers numbers the reviews of a source; it restarts from carried totals in
-    each ``block`` (by default a range of ``ord``, which must then be an integer unique
-    in its source), so a large source is spread over many tasks. What precedes
-    a comment's first header goes to the last review before it. Blanks that open a dump
-    are trimmed.
-    """
-    blocked = df.filter(F.col(comment).isNotNull()).select(
-        F.col(source),
-        (F.col(block) if block else id_block(ord)).alias("_block"),
-        F.col(ord).alias("_ord"),
-        _cut(strip(normalize_dump(comment)), fmt).alias("_parts"),
-    ).withColumn("_headers", F.size("_parts") - 1)
-    numbered = running_total(blocked, [source], "_block", ["_ord"], "_headers", "_last")
 
+def join_comments(
+    cut: DataFrame, source: str = "source", fmt: DumpFormat = DumpFormat()
+) -> DataFrame:
+    """Second half of :func:`parse_comments`: reviews numbered and put together."""
+    numbered = running_total(cut, [source], "_block", ["_ord"], "_headers", "_last")
     before = F.col("_last") - F.col("_headers")
     pieces = _pieces(numbered, fmt).withColumn("review_no", (before + F.col("_k")).cast("int"))
     joined = F.when(F.col("_k") == 0, F.concat(F.lit(" | "), "_body")).otherwise(F.col("_body"))
@@ -155,3 +156,27 @@ def parse_comments(
         )
     )
     return _review(reviews, [source, "review_no"], fmt)
+
+
+def parse_comments(
+    df: DataFrame,
+    source: str = "source",
+    ord: str = "ord",
+    comment: str = "comment",
+    block: str | None = None,
+    fmt: DumpFormat = DumpFormat(),
+) -> DataFrame:
+    """What :func:`parse_dumps` gives for the dump ``comment``s of a source make when
+    joined in ``ord`` order, without ever joining them.
+
+    Headers cannot reach across a separator, so each comment is cut by itself. A running
+    count of headers numbers the reviews of a source; it restarts from carried totals in
+    each ``block`` (by default a range of ``ord``, which must then be an integer unique
+    in its source), so a large source is spread over many tasks. What precedes
+    a comment's first header goes to the last review before it. Blanks that open a dump
+    are trimmed.
+
+    The totals and the reviews each need the cut comments. A job may keep those in a table
+    between :func:`cut_comments` and :func:`join_comments`, to cut only once.
+    """
+    return join_comments(cut_comments(df, source, ord, comment, block, fmt), source, fmt)

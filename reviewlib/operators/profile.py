@@ -152,14 +152,15 @@ def number_summary(df: DataFrame, by: str, x: str, probabilities: list[float]) -
         .agg(F.count("*").alias("_n"))
     )
     cuts = [i / _RANGES for i in range(1, _RANGES)]
-    # a row per group
+    # a row of 2 KB per group: joined by broadcast, since a shuffle on the group would put
+    # all values of a column in one task
     shape = values.groupBy(by).agg(
         F.sum("_n").alias("_total"),
         (F.sum(F.col("_x") * F.col("_n")) / F.sum("_n")).alias("_mean"),
         F.percentile_approx("_x", cuts).alias("_cuts"),
     )
     ranges = F.size(F.filter("_cuts", lambda cut: cut < F.col("_x")))
-    ranged = values.join(shape, by).withColumn("_range", ranges).drop("_cuts")
+    ranged = values.join(F.broadcast(shape), by).withColumn("_range", ranges).drop("_cuts")
     ranked = running_total(ranged, [by], "_range", ["_x"], "_n", "_upto")
 
     def at(rank: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlib import sources
@@ -30,19 +30,26 @@ def parse_job(
     large_files: bool = False,
     mode: str = "overwrite",
 ) -> None:
-    """Dump files to a piped review table. ``large_files`` splits files over tasks."""
+    """Dump files to a piped review table. ``large_files`` splits files over tasks and keeps
+    the cut comments in the scratch folder while reviews are put together."""
     if large_files:
         pieces = sources.read_dump_pieces(spark, dumps)
-        reviews = parse.parse_comments(pieces, "source_file", block="block", fmt=fmt)
+        table = scratch_dir(spark)
+        parse.cut_comments(pieces, "source_file", block="block", fmt=fmt).write.parquet(table)
+        reviews = parse.join_comments(spark.read.parquet(table), "source_file", fmt)
     else:
         reviews = parse.parse_dumps(sources.read_dumps(spark, dumps, fmt), fmt=fmt)
     sources.write_reviews(reviews, out, fmt, mode)
 
 
-def preprocess_job(spark: SparkSession, reviews: str, out: str, mode: str = "overwrite") -> None:
-    """Piped review table to a comma-separated one with cleaned columns and lengths."""
+def preprocess_job(spark: SparkSession, reviews: str, out: str, mode: str = "overwrite") -> int:
+    """Piped review table to a comma-separated one with cleaned columns and lengths. Returns
+    the number of rows, counted while they are written."""
     df = sources.read_reviews(spark, reviews, error=KeyError)
-    sources.write_csv(prepare.preprocess_reviews(df), out, mode=mode)
+    written = Observation()
+    counted = prepare.preprocess_reviews(df).observe(written, F.count(F.lit(1)).alias("rows"))
+    sources.write_csv(counted, out, mode=mode)
+    return written.get["rows"]
 
 
 def label_job(
@@ -52,16 +59,22 @@ def label_job(
     strip_emojis: bool = True,
     ratings_from: str = "clean",
     mode: str = "overwrite",
-) -> tuple[DataFrame, DataFrame]:
-    """Piped review table to a comma-separated labelled one. Returns the row counts and
-    the label distribution, not yet computed."""
-    df = sources.read_reviews(spark, reviews)
-    labeled = labeling.label_reviews(df, strip_emojis, ratings_from)
-    sources.write_csv(labeled, out, mode=mode)
-    return (
-        labeling.labeling_summary(df, strip_emojis, ratings_from),
-        labeling.label_distribution(labeled),
+) -> dict[str, int]:
+    """Piped review table to a comma-separated labelled one. Returns ``rows_in``,
+    ``rows_usable`` and the rows per label, counted while they are written."""
+    rated = labeling.rate_reviews(
+        sources.read_reviews(spark, reviews), strip_emojis, ratings_from
+    )
+    usable = labeling.usable()
+    seen = Observation()
+    counted = rated.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(usable).alias("rows_usable"),
+        *(F.count_if(usable & (F.col("label") == name)).alias(name) for name in LABELS),
     )
+    sources.write_csv(counted.filter(usable), out, mode=mode)
+    return seen.get
 
 
 @dataclass(frozen=True)

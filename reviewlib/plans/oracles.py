@@ -373,12 +373,12 @@ FROM reviews""",
 )
 _add(
     "read_irregular_reviews",
-    f"""SELECT source AS name,
-  CASE doc_id % 5 WHEN 0 THEN '4/5' WHEN 1 THEN '3/5' END AS rating,
+    f"""SELECT source AS name, CASE lang WHEN 'en' THEN '4/5' WHEN 'de' THEN '3/5' END AS rating,
   CAST(NULL AS VARCHAR) AS number_of_photos,
-  CASE doc_id % 5 WHEN 0 THEN {_strip("replace(text, chr(10), ' ')")} || ' | fim'
-                  WHEN 4 THEN 'fim' END AS message
-FROM documents WHERE doc_id % 5 NOT IN (2, 3)""",
+  CASE WHEN lang = 'en' THEN flat || ' | fim' WHEN lang <> 'de' THEN {_null_tokens("flat")} END
+  AS message
+FROM (SELECT *, {_strip("replace(text, chr(10), ' ')")} AS flat FROM documents)
+WHERE lang <> 'fr'""",
 )
 _add(
     "load_raw_reviews",

@@ -291,16 +291,17 @@ def read_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def read_irregular_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A piped file where some records are short, some too long and some quoted."""
+    """A piped file where German records are short, French ones too long, and English ones
+    have a quoted separator."""
     message = F.replace(R.flatten_comment("text"), F.lit('"'), F.lit('""'))
     quoted = F.concat(F.lit('"'), message, F.lit(' | fim"'))
-    kind = F.col("doc_id") % 5
+    message = F.concat(F.lit('"'), message, F.lit('"'))
+    lang = F.col("lang")
     record = (
-        F.when(kind == 0, F.concat_ws("|", "source", F.lit("4/5"), F.lit("NA"), quoted))
-        .when(kind == 1, F.concat_ws("|", "source", F.lit("3/5")))
-        .when(kind == 2, F.concat_ws("|", "source", F.lit("3/5"), F.lit("1"), quoted, F.lit("x")))
-        .when(kind == 3, F.concat(F.col("source"), F.lit("|1/5|2|ok||")))
-        .otherwise(F.concat_ws("|", "source", F.lit("null"), F.lit(""), F.lit("fim")))
+        F.when(lang == "en", F.concat_ws("|", "source", F.lit("4/5"), F.lit("NA"), quoted))
+        .when(lang == "de", F.concat_ws("|", "source", F.lit("3/5")))
+        .when(lang == "fr", F.concat(F.concat_ws("|", "source", F.lit("1"), F.lit("2"), quoted), F.lit("||")))
+        .otherwise(F.concat_ws("|", "source", F.lit("null"), F.lit(""), message))
     )
     path = scratch_dir(spark)
     records = views.table(spark, sf_dir, "documents").select(
