@@ -159,7 +159,11 @@ def number_summary(df: DataFrame, by: str, x: str, probabilities: list[float]) -
         (F.sum(F.col("_x") * F.col("_n")) / F.sum("_n")).alias("_mean"),
         F.percentile_approx("_x", cuts).alias("_cuts"),
     )
-    ranges = F.size(F.filter("_cuts", lambda cut: cut < F.col("_x")))
+    # always true; naming the total here keeps Spark from pruning it for the running totals,
+    # and so from counting the values a second time
+    ranges = F.when(
+        F.col("_total") > 0, F.size(F.filter("_cuts", lambda cut: cut < F.col("_x")))
+    )
     ranged = values.join(F.broadcast(shape), by).withColumn("_range", ranges).drop("_cuts")
     ranked = running_total(ranged, [by], "_range", ["_x"], "_n", "_upto")
 
