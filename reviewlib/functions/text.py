@@ -18,6 +18,11 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _sub(c: Column, pattern: str, replacement: str, flags: str = "") -> Column:
     return F.regexp_replace(c, F.lit(P.unicode(pattern, flags)), F.lit(replacement))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewlib.functions.text import named
 from reviewlib.operators.ranking import running_total
 
 # Groups of copies with at least this many rows are looked up map-side. There are at most
@@ -19,9 +20,9 @@ _RANGES = 256
 
 
 def _is_missing(df: DataFrame, c: str) -> Column:
-    missing = F.col(c).isNull()
+    missing = named(c).isNull()
     if isinstance(df.schema[c].dataType, T.DoubleType | T.FloatType):
-        missing = missing | F.isnan(c)
+        missing = missing | F.isnan(named(c))
     return missing
 
 
@@ -34,7 +35,7 @@ def null_counts(df: DataFrame) -> DataFrame:
                 F.lit(i).alias("position"),
                 F.lit(c).alias("column"),
                 F.lit(dtype).alias("dtype"),
-                F.col(f"`{c}`").alias("nulls"),
+                named(c).alias("nulls"),
             )
             for i, (c, dtype) in enumerate(df.dtypes)
         )
@@ -70,7 +71,7 @@ def _describe_values(df: DataFrame, position: dict[str, int]) -> DataFrame:
         F.inline(
             F.array(
                 *(
-                    F.struct(F.lit(i).alias("position"), F.col(c).cast("string").alias("value"))
+                    F.struct(F.lit(i).alias("position"), named(c).cast("string").alias("value"))
                     for c, i in position.items()
                 )
             )
@@ -91,12 +92,12 @@ def _describe_values(df: DataFrame, position: dict[str, int]) -> DataFrame:
         .agg(F.min("value").alias("top"))
     )
     found = winners.join(top, "position")
-    named = _by_position(df, position).join(found, "position", "left")
+    every = _by_position(df, position).join(found, "position", "left")
     nothing = [
         F.lit(None).cast("double").alias(c)
         for c in ("mean", "std", "min", "q25", "q50", "q75", "max")
     ]
-    return named.select(
+    return every.select(
         "position",
         "column",
         F.coalesce("count", F.lit(0)).alias("count"),
@@ -112,7 +113,7 @@ def _describe_numbers(df: DataFrame, position: dict[str, int]) -> DataFrame:
         F.inline(
             F.array(
                 *(
-                    F.struct(F.lit(i).alias("position"), F.col(c).cast("double").alias("x"))
+                    F.struct(F.lit(i).alias("position"), named(c).cast("double").alias("x"))
                     for c, i in position.items()
                 )
             )

@@ -115,8 +115,8 @@ def stratified_split(
             )
         ),
     )
-    upto = Window.partitionBy(label).orderBy("_slot")
-    filled = slots.withColumn("_end", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    upto = Window.partitionBy(label).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+    filled = slots.withColumn("_end", F.sum("n").over(upto))
     cut_slots = (
         filled.join(F.broadcast(cuts), label)
         .filter((F.col("rank") > F.col("_end") - F.col("n")) & (F.col("rank") <= F.col("_end")))

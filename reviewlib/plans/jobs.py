@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewlib import sources
 from reviewlib.functions.patterns import LABELS, DumpFormat
-from reviewlib.functions.text import clean_model_text
+from reviewlib.functions.text import clean_model_text, named
 from reviewlib.operators import (
     classifier,
     evaluation,
@@ -104,7 +104,7 @@ def eda_job(
     if not raw.columns:
         return None
     table = scratch_dir(spark)
-    as_read = F.struct(*(F.col(f"`{c}`") for c in raw.columns)).alias("as_read")
+    as_read = F.struct(*(named(c) for c in raw.columns)).alias("as_read")
     features = prepare.eda_features(raw.select("*", as_read))
     features.withColumn("row_id", F.monotonically_increasing_id()).write.parquet(table)
     df = spark.read.parquet(table)

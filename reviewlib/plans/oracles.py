@@ -112,7 +112,8 @@ def _headers(e: str, k: int) -> str:
 
 
 def _dump_rating(e: str) -> str:
-    found = f"list_transform(regexp_extract_all({e}, {_q(P.DUMP_RATING)}, 1), lambda z: {_number('z')})"
+    found = f"regexp_extract_all({e}, {_q(P.DUMP_RATING)}, 1)"
+    found = f"list_transform({found}, lambda z: {_number('z')})"
     return (
         f"CASE WHEN len({found}) > 0 THEN printf('%.1f', list_sum({found}) / len({found})) "
         "|| '/5' ELSE '' END"
@@ -412,7 +413,10 @@ _add(
         tuple(f"{c}_length" for c in _TEXTS),
     ),
 )
-ORACLES["read_with_fallback"] = f"SELECT source, lang, {_null_tokens('text')} AS text FROM documents"
+_add(
+    "read_with_fallback",
+    f"SELECT source, lang, {_null_tokens('text')} AS text FROM documents",
+)
 _PREVIEW = (
     _read_back(
         _EDA,
@@ -445,7 +449,7 @@ FROM (SELECT {c} AS v, count(*) AS n FROM eda WHERE {c} IS NOT NULL GROUP BY {c}
 
 
 def _describe_number(i: int, c: str) -> str:
-    q = ", ".join(f"round(quantile_cont({c}, {p}), 6) AS q{p[2:]}" for p in ("0.25", "0.50", "0.75"))
+    q = ", ".join(f"round(quantile_cont({c}, 0.{p}), 6) AS q{p}" for p in (25, 50, 75))
     return f"""SELECT {i} AS position, '{c}' AS "column", count({c}) AS count,
   NULL::BIGINT AS "unique", NULL::VARCHAR AS top, NULL::BIGINT AS freq,
   round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min,

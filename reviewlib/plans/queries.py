@@ -124,7 +124,8 @@ def parse_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def flatten_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.dump_comments(_comments(spark, sf_dir), "source", "doc_id", "comment", FLATTEN_MAX)
+    comments = _comments(spark, sf_dir)
+    return sources.dump_comments(comments, "source", "doc_id", "comment", FLATTEN_MAX)
 
 
 @query
@@ -296,11 +297,11 @@ def read_irregular_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = F.replace(R.flatten_comment("text"), F.lit('"'), F.lit('""'))
     quoted = F.concat(F.lit('"'), message, F.lit(' | fim"'))
     message = F.concat(F.lit('"'), message, F.lit('"'))
-    lang = F.col("lang")
+    lang, empty = F.col("lang"), (F.lit(""), F.lit(""))
     record = (
         F.when(lang == "en", F.concat_ws("|", "source", F.lit("4/5"), F.lit("NA"), quoted))
         .when(lang == "de", F.concat_ws("|", "source", F.lit("3/5")))
-        .when(lang == "fr", F.concat(F.concat_ws("|", "source", F.lit("1"), F.lit("2"), quoted), F.lit("||")))
+        .when(lang == "fr", F.concat_ws("|", "source", F.lit("1"), F.lit("2"), quoted, *empty))
         .otherwise(F.concat_ws("|", "source", F.lit("null"), F.lit(""), message))
     )
     path = scratch_dir(spark)
@@ -500,7 +501,8 @@ def encode_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = vocabulary.encode_sequences(
         _sentences(spark, sf_dir), _vocabulary(spark, sf_dir), "doc_id"
     )
-    return encoded.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select("doc_id", ids.alias("ids"))
 
 
 @cache

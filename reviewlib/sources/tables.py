@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlib.functions.patterns import NA_TOKENS, REVIEW_COLUMNS, DumpFormat
+from reviewlib.functions.text import named
 
 _RECORD = "_record"
 PREVIEW_COLUMNS = (
@@ -32,7 +33,7 @@ def require_columns(
 
 
 def _missing_to_null(c: str) -> Column:
-    cell = F.col(f"`{c}`")
+    cell = named(c)
     return F.when(~cell.isin(*NA_TOKENS), cell).alias(c)
 
 
@@ -46,7 +47,7 @@ def _too_long(columns: Sequence[str], sep: str) -> Column:
     bare = F.regexp_replace(F.col(_RECORD), r'"[^"]*+"', "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
     # Spark refuses to read the record alone, so name a column too; this part is always true
-    first = F.col(f"`{columns[0]}`")
+    first = named(columns[0])
     return F.coalesce(fields > len(columns), F.lit(False)) & (
         first.isNull() | (F.length(first) >= 0)
     )

@@ -57,6 +57,14 @@ def test_null_counts(spark):
     assert got == [(0, "x", "double", 2), (1, "s", "string", 2)]
 
 
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, None)], "`s.1` string, `x``y` double")
+    assert [(r["column"], r.nulls) for r in profile.null_counts(df).collect()] == [
+        ("s.1", 1), ("x`y", 1)]
+    assert [(r["column"], r["count"]) for r in profile.describe(df).collect()] == [
+        ("s.1", 1), ("x`y", 1)]
+
+
 def test_describe_like_pandas(spark):
     rng = np.random.default_rng(3)
     frame = pd.DataFrame(
