@@ -74,9 +74,12 @@ def clean_message(c: Column | str, strip_emojis: bool = True) -> Column:
     return strip(_collapse(s))
 
 
-@F.pandas_udf(StringType())
-def _nfkc_batch(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+def _nfkc_udf():
+    # a local function is shipped to the workers itself, so they need not have this package
+    def normalize(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+
+    return F.pandas_udf(normalize, StringType())
 
 
 def nfkc(c: Column | str) -> Column:
@@ -84,7 +87,7 @@ def nfkc(c: Column | str) -> Column:
     only text with a character that could change; the rest travels as null."""
     c = _column(c)
     changes = c.rlike(f"[^{P.NFKC_STABLE}]")
-    return F.coalesce(_nfkc_batch(F.when(changes, c)), c)
+    return F.coalesce(_nfkc_udf()(F.when(changes, c)), c)
 
 
 def blank_links(c: Column | str) -> Column:
