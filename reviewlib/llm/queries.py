@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlib.llm import decontamination, pieces
+from reviewlib.llm import decontamination, histogram_shards, ngram_jaccard, pieces
 from reviewlib.llm.common import id_and_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,36 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` of every document."""
+    return ngram_jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s AS a JOIN s AS b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach AS r JOIN links AS l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(d.doc_id, m.b), d.doc_id) AS component_id
+FROM documents AS d LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a) AS m USING (doc_id)
+"""
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item: ``doc_id``, ``item_id``, ``n_item``, ``n_common``."""
@@ -54,6 +84,12 @@ GROUP BY ALL HAVING 100 * count(*) >= 80 * n_item
 """
 
 
+@query
+def op5_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return histogram_shards.shard(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document as digests, and a checksum of the pieces' ends."""
