@@ -5,10 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlib.llm import decontamination, histogram_shards, ngram_jaccard, pieces
+from reviewlib.llm import (
+    decontamination,
+    histogram_shards,
+    language_id,
+    licenses,
+    ngram_jaccard,
+    outliers,
+    pieces,
+    quality,
+)
 from reviewlib.llm.common import id_and_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +99,28 @@ def op5_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_shards.shard(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
+def _fold(n: int) -> Column:
+    """The part of ``n`` that a document is in, by its id."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; those of fold 1 of 3 are held out of learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.filter(_fold(3) != 1))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document as digests, and a checksum of the pieces' ends."""
@@ -103,3 +134,24 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"),
         F.crc32(F.array_join(F.col("ends").cast("array<string>"), ",")).alias("ends_crc32"),
     )
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; those of fold 0 of 5 are held out of learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.fit(docs, labels.filter(_fold(5) != 0))
+    found = quality.score(docs, model)
+    return found.select(
+        "doc_id",
+        F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical digest, licence and notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))

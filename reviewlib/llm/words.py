@@ -49,9 +49,10 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Coder:
-    """Codes words; make one per task. ``lower`` folds A-Z."""
+    """Codes words; make one per task. ``lower`` folds A-Z. With ``split`` a word also ends where
+    letters (and all bytes of other characters), digits and punctuation meet."""
 
-    def __init__(self, lower: bool = True):
+    def __init__(self, lower: bool = True, split: bool = False):
         values = np.random.default_rng(_SEED).integers(1, 2**63, 256, dtype=np.uint64) * 2 + 1
         table = np.arange(256)
         if lower:
@@ -59,6 +60,12 @@ class Coder:
         self._byte = values[table]
         self._space = np.zeros(256, bool)
         self._space[[32, *range(9, 14)]] = True
+        self._kind = np.where(self._space, 0, 1)
+        if split:
+            self._kind[33:128] = 3
+            self._kind[48:58] = 2
+            self._kind[[*range(65, 91), *range(97, 123)]] = 1
+        self._kind = self._kind.astype(np.uint8)
         self._base = np.uint64(0x9E3779B97F4A7C15)
         self._inverse = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
         self._powers(_CHUNK + 4096)
@@ -74,16 +81,13 @@ class Coder:
         that a text begins."""
         if len(data) > len(self._up):
             self._powers(2 * len(data))
-        space = self._space[data]
-        before = np.ones(len(data) + 1, bool)
-        before[1:] = space
-        before[first] = True
-        word = ~space
-        starts = np.flatnonzero(word & before[:-1])
-        after = np.ones(len(data) + 1, bool)
-        after[:-1] = space
-        after[first] = True
-        ends = np.flatnonzero(word & after[1:]) + 1
+        kind = self._kind[data]
+        edge = np.ones(len(data) + 1, bool)
+        np.not_equal(kind[1:], kind[:-1], out=edge[1:-1])
+        edge[first] = True
+        word = kind > 0
+        starts = np.flatnonzero(word & edge[:-1])
+        ends = np.flatnonzero(word & edge[1:]) + 1
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self._byte[data] * self._up[: len(data)], out=sums[1:])
         codes = (sums[ends] - sums[starts]) * self._down[starts]
