@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SETTING = "spark.checkpoint.dir"
+# High bits of ids are folded onto low ones, this far below, to place them in a bitmap.
+_FOLD = 29
 
 
 def scratch(spark: SparkSession) -> str:
@@ -101,3 +103,40 @@ def check_columns(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; found {df.columns}")
+
+
+def bitmap(df: DataFrame, column: str) -> np.ndarray:
+    """Bits set for the values of a long column, at least sixteen to a value up to a bound of
+    16 MB. It may go to all tasks: when it is full it only lets more rows pass."""
+    count = df.count()
+    bits = min(27, max(16, (16 * count).bit_length()))
+    folded = F.col(column).bitwiseXOR(F.shiftrightunsigned(column, _FOLD))
+    slot = folded.bitwiseAND(F.lit((1 << bits) - 1))
+    words = df.select(
+        F.shiftright(slot, 6).cast("int").alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int")).alias("bit"),
+    )
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out
+
+
+def maybe_in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """False only for values that :func:`bitmap` has not seen."""
+    folded = values.view(np.uint64) ^ (values.view(np.uint64) >> np.uint64(_FOLD))
+    slot = (folded & np.uint64(64 * len(bits) - 1)).astype(np.int64)
+    return (bits[slot >> 6] >> (slot & 63)) & 1 == 1
+
+
+def bin_of(key: Column, probes: list[int]) -> Column:
+    """How many of the ascending ``probes`` are at or below ``key``, by binary search."""
+    array = F.lit(probes)
+    top = 1 << max(0, len(probes).bit_length() - 1)
+    steps = F.lit([top >> i for i in range(top.bit_length())])
+
+    def further(low: Column, step: Column) -> Column:
+        passed = F.coalesce(F.get(array, low + step - 1) <= key, F.lit(False))
+        return low + F.when(passed, step).otherwise(F.lit(0))
+
+    return F.aggregate(steps, F.lit(0), further)

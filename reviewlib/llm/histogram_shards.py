@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlib.llm.common import stored
+from reviewlib.llm.common import bin_of, stored
 
 LAW = "bytes"
 N_SHARDS = 24
@@ -27,7 +27,7 @@ _LOW, _HIGH = -(1 << 63), (1 << 63) - 1
 def _below(rows: DataFrame, key: str, size: str, probes: list[int]) -> list[int]:
     """Exact bytes of the rows whose key is below each probe. Only counts per bin move, and
     there are no more bins than probes."""
-    bins = rows.groupBy(_bin(F.col(key), probes).alias("bin")).agg(F.sum(size).alias("bytes"))
+    bins = rows.groupBy(bin_of(F.col(key), probes).alias("bin")).agg(F.sum(size).alias("bytes"))
     found = dict(bins.collect())  # at most len(probes) + 1 rows
     total, out = 0, []
     for i in range(len(probes)):
@@ -36,19 +36,6 @@ def _below(rows: DataFrame, key: str, size: str, probes: list[int]) -> list[int]
     return out
 
 
-def _bin(key: Column, probes: list[int]) -> Column:
-    """How many of the ascending ``probes`` are at or below ``key``, by binary search."""
-    array = F.lit(probes)
-    top = 1 << max(0, len(probes).bit_length() - 1)
-    steps = F.lit([top >> i for i in range(top.bit_length())])
-
-    def further(low: Column, step: Column) -> Column:
-        passed = F.coalesce(F.get(array, low + step - 1) <= key, F.lit(False))
-        return low + F.when(passed, step).otherwise(F.lit(0))
-
-    return F.aggregate(steps, F.lit(0), further)
-
-
 def splitters(
     rows: DataFrame,
     key: str = "key",
@@ -125,7 +112,7 @@ def shard(
         for low, high in zip(edges, edges[1:])
         for i in range(per_shard)
     ]
-    binned = rows.withColumn("bin", _bin(F.col("key"), bounds[1:]))
+    binned = rows.withColumn("bin", bin_of(F.col("key"), bounds[1:]))
     counts = dict(binned.groupBy("bin").agg(F.count("*").alias("n")).collect())  # a row per bin
     first, seen = [], 0
     for b in range(len(bounds)):

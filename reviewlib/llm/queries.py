@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from reviewlib.llm import (
     decontamination,
     histogram_shards,
@@ -17,8 +21,10 @@ from reviewlib.llm import (
     outliers,
     pieces,
     quality,
+    secret_automata,
+    token_files,
 )
-from reviewlib.llm.common import id_and_text, table
+from reviewlib.llm.common import id_and_text, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +66,42 @@ LEFT JOIN (SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a) AS m USING (do
 """
 
 
+def _crc32_of_ids(rows: pa.Array) -> pa.Array:
+    found = [zlib.crc32(row.values.to_numpy().astype("<u4").tobytes()) for row in rows]
+    return pa.array(np.array(found, np.int64))
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded, written as files and read back: place, length and checksum of each."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    path = scratch(spark)
+    token_files.write(table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
+    found = token_files.read(spark, path)
+    crc = F.arrow_udf(_crc32_of_ids, "long")
+    return found.select("doc_id", "start", "n_tokens", crc("ids").alias("ids_crc32"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, as counts of the fixed kinds and spans."""
+    docs = id_and_text(table(spark, sf_dir, "documents"))
+    found = secret_automata.find(docs, secret_automata.learn(docs))
+    base = F.filter("secrets", lambda s: s["kind"] != secret_automata.LEARNED)
+    kinds = F.transform("secrets", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in secret_automata.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secret_automata.joined(base), 256).alias("base_sha256"),
+        secret_automata.joined(F.col("secrets")).alias("spans"),
+    )
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item: ``doc_id``, ``item_id``, ``n_item``, ``n_common``."""
@@ -155,3 +197,6 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical digest, licence and notices of every document."""
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run

@@ -42,7 +42,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and bytes of a string array, null as empty."""
-    texts = texts.cast(pa.large_string()).fill_null("")
+    if pa.types.is_binary(texts.type):
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+    else:
+        texts = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
     return offsets, np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
@@ -58,9 +61,9 @@ class Coder:
         if lower:
             table[65:91] += 32
         self._byte = values[table]
-        self._space = np.zeros(256, bool)
-        self._space[[32, *range(9, 14)]] = True
-        self._kind = np.where(self._space, 0, 1)
+        self.space = np.zeros(256, bool)
+        self.space[[32, *range(9, 14)]] = True
+        self._kind = np.where(self.space, 0, 1)
         if split:
             self._kind[33:128] = 3
             self._kind[48:58] = 2
@@ -79,8 +82,6 @@ class Coder:
     def _code(self, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, ends and codes of the words of a stretch; a word also ends where ``first`` says
         that a text begins."""
-        if len(data) > len(self._up):
-            self._powers(2 * len(data))
         kind = self._kind[data]
         edge = np.ones(len(data) + 1, bool)
         np.not_equal(kind[1:], kind[:-1], out=edge[1:-1])
@@ -88,17 +89,23 @@ class Coder:
         word = kind > 0
         starts = np.flatnonzero(word & edge[:-1])
         ends = np.flatnonzero(word & edge[1:]) + 1
+        return starts, ends, self.codes(data, starts, ends)
+
+    def codes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The code of each stretch of bytes: of equal bytes the same wherever they are."""
+        if len(data) > len(self._up):
+            self._powers(2 * len(data))
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self._byte[data] * self._up[: len(data)], out=sums[1:])
         codes = (sums[ends] - sums[starts]) * self._down[starts]
-        return starts, ends, mix(codes + (ends - starts).astype(np.uint64) * self._base)
+        return mix(codes + (ends - starts).astype(np.uint64) * self._base)
 
     def _pieces(self, data: np.ndarray, lo: int, hi: int) -> Iterator[tuple[int, int]]:
         """Stretches of a long text that end at white space."""
         while hi - lo > _CHUNK:
             cut = lo + _CHUNK
-            while cut < hi and not self._space[data[cut]]:
-                near = np.flatnonzero(self._space[data[cut : min(hi, cut + 4096)]])
+            while cut < hi and not self.space[data[cut]]:
+                near = np.flatnonzero(self.space[data[cut : min(hi, cut + 4096)]])
                 cut = cut + int(near[0]) if len(near) else min(hi, cut + 4096)
             yield lo, cut
             lo = cut
