@@ -45,11 +45,10 @@ def _tokens_sql() -> str:
 
 
 def classifier_stages(cfg: TrainConfig = TrainConfig()) -> Pipeline:
-    """Untrained stages over ``_text``, ``label_id`` and ``weight``. The vocabulary holds at
+    """Untrained stages over ``_tokens``, ``label_id`` and ``weight``. The vocabulary holds at
     most ``num_words - 2`` words, which bounds the model and what the driver sees of it."""
     return Pipeline(
         stages=[
-            SQLTransformer(statement=f"SELECT *, {_tokens_sql()} AS _tokens FROM __THIS__"),
             CountVectorizer(
                 inputCol="_tokens", outputCol="_counts", vocabSize=cfg.num_words - 2
             ),
@@ -67,10 +66,14 @@ def classifier_stages(cfg: TrainConfig = TrainConfig()) -> Pipeline:
 
 
 def train_classifier(
-    train: DataFrame, cfg: TrainConfig = TrainConfig(), cleaned: bool = False
+    train: DataFrame,
+    cfg: TrainConfig = TrainConfig(),
+    cleaned: bool = False,
+    scratch: str | None = None,
 ) -> PipelineModel:
-    """Fit on labelled rows. Several passes run over ``train``, so it should be a table or
-    cheap to compute. ``cleaned`` says that the text column is already model text."""
+    """Fit on labelled rows. ``cleaned`` says that the text column is already model text. Several
+    passes run over the words; with ``scratch``, a folder that does not exist yet, texts are cut once
+    and their words kept there meanwhile."""
     rows = train.select(
         F.col(cfg.text_col).alias(_TEXT), encode_label(cfg.label_col).alias("label_id")
     )
@@ -84,7 +87,13 @@ def train_classifier(
     else:
         rows = rows.withColumn("weight", F.lit(1.0))
     rows = rows.withColumn("label_id", F.col("label_id").cast("double"))
-    return classifier_stages(cfg).fit(rows)
+    cut = SQLTransformer(statement=f"SELECT *, {_tokens_sql()} AS _tokens FROM __THIS__")
+    words = cut.transform(rows).drop(_TEXT)
+    if scratch:
+        words.write.parquet(scratch)
+        words = train.sparkSession.read.schema(words.schema).parquet(scratch)
+    fitted = classifier_stages(cfg).fit(words)
+    return PipelineModel([cut, *fitted.stages])
 
 
 def predict_proba(

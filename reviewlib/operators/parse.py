@@ -112,7 +112,8 @@ def parse_dumps(df: DataFrame, dump: str = "dump", fmt: DumpFormat = DumpFormat(
     keys = [c for c in df.columns if c != dump]
     cut = df.select(*keys, _cut(normalize_dump(dump), fmt).alias("_parts"))
     pieces = _pieces(cut, fmt).filter(F.col("_k") > 0)
-    return _review(pieces.withColumnRenamed("_k", "review_no"), [*keys, "review_no"], fmt)
+    numbered = pieces.withColumn("review_no", F.col("_k").cast("long"))
+    return _review(numbered, [*keys, "review_no"], fmt)
 
 
 def cut_comments(
@@ -143,7 +144,7 @@ def join_comments(
     """Second half of :func:`parse_comments`: reviews numbered and put together."""
     numbered = running_total(cut, [source], "_block", ["_ord"], "_headers", "_last")
     before = F.col("_last") - F.col("_headers")
-    pieces = _pieces(numbered, fmt).withColumn("review_no", (before + F.col("_k")).cast("int"))
+    pieces = _pieces(numbered, fmt).withColumn("review_no", before + F.col("_k"))
     joined = F.when(F.col("_k") == 0, F.concat(F.lit(" | "), "_body")).otherwise(F.col("_body"))
     parts = F.array_sort(F.collect_list(F.struct("_block", "_ord", "_k", joined.alias("text"))))
     reviews = (

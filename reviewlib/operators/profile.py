@@ -9,15 +9,8 @@ from pyspark.sql import types as T
 from reviewlib.functions.text import named
 from reviewlib.operators.ranking import running_total
 
-# Groups of copies with at least this many rows are looked up map-side. There are at most
-# (rows / HOT_COPIES) of them: a hundred thousand 32-byte digests for 10^11 rows.
-HOT_COPIES = 1_000_000
-
 _QUARTILES = [0.25, 0.5, 0.75]
 
-# Into how many ranges distinct values are cut to rank them.
-_RANGES = 256
-
 
 def _is_missing(df: DataFrame, c: str) -> Column:
     missing = named(c).isNull()
@@ -43,8 +36,8 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def describe(df: DataFrame, max_columns: int = 30) -> DataFrame:
-    """Summary of the first ``max_columns`` columns: ``count``; ``unique``, ``top``, ``freq``
+def describe(df: DataFrame, max_columns: int | None = None) -> DataFrame:
+    """Summary of all columns or the first ``max_columns``: ``count``; ``unique``, ``top``, ``freq``
     for those that are not numbers; ``mean``, ``std``, ``min``, ``q25``, ``q50``, ``q75``,
     ``max`` (exact) for numbers.
 
@@ -145,15 +138,17 @@ def number_summary(df: DataFrame, by: str, x: str, probabilities: list[float]) -
 
     Spark's ``percentile`` holds every distinct value of a group in one task. Here values
     are counted, and ranked by running totals over value ranges. A sketch picks the
-    ranges; it only decides how even they are, not the result.
+    ranges, of which there are more with more shuffle partitions; it only decides how even they
+    are, not the result.
     """
     values = (
         df.filter(~F.isnan(x) & F.col(x).isNotNull())
         .groupBy(by, F.col(x).alias("_x"))
         .agg(F.count("*").alias("_n"))
     )
-    cuts = [i / _RANGES for i in range(1, _RANGES)]
-    # a row of 2 KB per group: joined by broadcast, since a shuffle on the group would put
+    ranges = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = [i / ranges for i in range(1, ranges)]
+    # a row per group with twice as many numbers as there are tasks: joined by broadcast, since a shuffle on the group would put
     # all values of a column in one task
     shape = values.groupBy(by).agg(
         F.sum("_n").alias("_total"),
@@ -162,10 +157,10 @@ def number_summary(df: DataFrame, by: str, x: str, probabilities: list[float]) -
     )
     # always true; naming the total here keeps Spark from pruning it for the running totals,
     # and so from counting the values a second time
-    ranges = F.when(
+    place = F.when(
         F.col("_total") > 0, F.size(F.filter("_cuts", lambda cut: cut < F.col("_x")))
     )
-    ranged = values.join(F.broadcast(shape), by).withColumn("_range", ranges).drop("_cuts")
+    ranged = values.join(F.broadcast(shape), by).withColumn("_range", place).drop("_cuts")
     ranked = running_total(ranged, [by], "_range", ["_x"], "_n", "_upto")
 
     def at(rank: Column) -> Column:
@@ -220,15 +215,15 @@ def histogram(df: DataFrame, column: str = "len_words", bins: int = 30) -> DataF
     """Counts of an integer column in ``bins`` equal bins from its minimum to its maximum:
     ``bin``, ``low``, ``high``, ``n``, empty bins included; the last bin holds the maximum.
     When all values are equal the range is widened by a half on each side."""
-    # one row per distinct value from here on, so neither the window over all of them nor the
-    # single row of bins grows with the number of messages
-    every = Window.partitionBy(F.lit(0))
     values = df.groupBy(column).agg(F.count("*").alias("n"))
-    ranged = values.select(
+    ends = df.agg(
+        F.struct(F.min(column).cast("long").alias("lo"), F.max(column).cast("long").alias("hi"))
+    )
+    ranged = values.withColumn("_ends", ends.scalar()).select(
         F.col(column).cast("long").alias("x"),
         "n",
-        F.min(column).over(every).cast("long").alias("lo"),
-        F.max(column).over(every).cast("long").alias("hi"),
+        F.col("_ends.lo").alias("lo"),
+        F.col("_ends.hi").alias("hi"),
     )
     lo, hi = F.col("lo"), F.col("hi")
     placed = F.least(F.expr(f"(x - lo) * {bins} div (hi - lo)"), F.lit(bins - 1))
@@ -264,18 +259,13 @@ def box_statistics(df: DataFrame, by: str = "rating", column: str = "len_words")
     whiskers, the furthest values within 1.5 interquartile ranges of the box.
 
     Works on counts per distinct (``by``, ``column``), so hot ratings shrink before the
-    shuffle and the state per rating is one entry per distinct word count.
+    shuffle; quartiles are ranked as in :func:`number_summary`.
     """
     known = df.filter(F.col(by).isNotNull())
     values = known.groupBy(by, column).agg(F.count(column).alias("n"))
-    quartiles = F.percentile(column, F.array(*map(F.lit, _QUARTILES)), F.col("n"))
-    boxes = (
-        values.groupBy(by)
-        .agg(quartiles.alias("q"))
-        .select(
-            by,
-            *(F.get("q", F.lit(i)).alias(c) for i, c in enumerate(("q1", "median", "q3"))),
-        )
+    cells = known.select(by, F.col(column).cast("double").alias("_value"))
+    boxes = number_summary(cells, by, "_value", _QUARTILES).select(
+        by, *(F.get("quantiles", F.lit(i)).alias(c) for i, c in enumerate(("q1", "median", "q3")))
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     x = F.col(column).cast("double")
@@ -310,20 +300,14 @@ def suspect_reviews(df: DataFrame, max_words: int = 3) -> DataFrame:
     return df.filter((F.col("len_words") <= max_words) | F.col("has_url"))
 
 
-def duplicate_messages(
-    df: DataFrame, message: str = "message", hot_copies: int = HOT_COPIES
-) -> DataFrame:
+def duplicate_messages(df: DataFrame, message: str = "message") -> DataFrame:
     """Every row whose message occurs more than once, empty messages included.
 
-    Messages are compared by SHA-256. Small groups of copies are found by a shuffled
-    semi-join. The rows of large groups never shuffle: their digests are broadcast,
-    and ``hot_copies`` bounds how many there can be.
+    Messages are compared by SHA-256. Digests are counted before they are shuffled; a semi-join,
+    whose hot keys Spark splits at run time, finds the rows.
     """
     digest = F.unhex(F.sha2(F.coalesce(F.col(message), F.lit("")), 256))
     rows = df.withColumn("_digest", digest)
     groups = rows.groupBy("_digest").agg(F.count("*").alias("_copies"))
-    hot = F.broadcast(groups.filter(F.col("_copies") >= hot_copies).select("_digest"))
-    few = groups.filter(F.col("_copies").between(2, hot_copies - 1)).select("_digest")
-    in_hot = rows.join(hot, "_digest", "left_semi")
-    in_few = rows.join(hot, "_digest", "left_anti").join(few, "_digest", "left_semi")
-    return in_hot.unionByName(in_few).drop("_digest")
+    several = groups.filter(F.col("_copies") > 1).select("_digest")
+    return rows.join(several, "_digest", "left_semi").drop("_digest")

@@ -7,6 +7,8 @@ descending bytes; id 0 pads, id 1 stands for an unknown word.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,20 @@ def build_vocabulary(df: DataFrame, text: str = "message", num_words: int = 20_0
     return kept.select("token", (nth + UNKNOWN_ID).alias("token_id"), "n")
 
 
+def _ids_of(known: list[str], ids: list[int]):
+    # a local function is shipped to the workers itself, so they need not have this package
+    table, numbers = pa.array(known, pa.string()), pa.array(ids, pa.int32())
+
+    def look_up(words: pa.Array) -> pa.Array:
+        flat = words.flatten()
+        found = numbers.take(pc.index_in(flat, value_set=table)).fill_null(UNKNOWN_ID)
+        sizes = pc.list_value_length(words).fill_null(0)
+        ends = pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(sizes.cast(pa.int64()))])
+        return pa.ListArray.from_arrays(ends.cast(pa.int32()), found)
+
+    return F.arrow_udf(look_up, "array<int>")
+
+
 def encode_sequences(
     df: DataFrame,
     vocabulary: DataFrame,
@@ -42,18 +58,11 @@ def encode_sequences(
 ) -> DataFrame:
     """``id`` and ``ids``: the ids of the first ``seq_len`` words, padded to that length.
 
-    ``vocabulary`` comes from :func:`build_vocabulary`, whose ``num_words`` bounds what is
-    broadcast; ``seq_len`` bounds what a row of the result gathers. ``id`` must be unique.
+    ``vocabulary`` comes from :func:`build_vocabulary`, whose ``num_words`` bounds what goes to the
+    tasks. Each row is encoded by itself: words are cut in the JVM, and looked up in batches.
     """
-    words = df.select(id, F.posexplode_outer(F.slice(tokens(text), 1, seq_len)))
-    known = F.broadcast(vocabulary.select(F.col("token").alias("col"), "token_id"))
-    word_id = F.when(F.col("col").isNotNull(), F.coalesce("token_id", F.lit(UNKNOWN_ID)))
-    found = words.join(known, "col", "left").groupBy(id)
-    ordered = F.array_sort(
-        F.collect_list(
-            F.when(F.col("pos").isNotNull(), F.struct("pos", word_id.alias("token_id")))
-        )
-    )
-    ids = found.agg(F.transform(ordered, lambda s: s["token_id"]).alias("ids"))
+    known = vocabulary.select("token", "token_id").collect()
+    look_up = _ids_of([r[0] for r in known], [r[1] for r in known])
+    ids = df.select(id, look_up(F.slice(tokens(text), 1, seq_len)).alias("ids"))
     padding = F.array_repeat(F.lit(PAD_ID), F.lit(seq_len) - F.size("ids"))
     return ids.select(id, F.concat("ids", padding).alias("ids"))

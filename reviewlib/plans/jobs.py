@@ -27,18 +27,16 @@ def parse_job(
     dumps: str,
     out: str,
     fmt: DumpFormat = DumpFormat(),
-    large_files: bool = False,
+    source: str = "file",
     mode: str = "overwrite",
 ) -> None:
-    """Dump files to a piped review table. ``large_files`` splits files over tasks and keeps
-    the cut comments in the scratch folder while reviews are put together."""
-    if large_files:
-        pieces = sources.read_dump_pieces(spark, dumps)
-        table = scratch_dir(spark)
-        parse.cut_comments(pieces, "source_file", block="block", fmt=fmt).write.parquet(table)
-        reviews = parse.join_comments(spark.read.parquet(table), "source_file", fmt)
-    else:
-        reviews = parse.parse_dumps(sources.read_dumps(spark, dumps, fmt), fmt=fmt)
+    """Dump files to a piped review table; a dump is a file or, by ``source``, a folder. Files are
+    split over tasks, and the cut comments wait in the scratch folder while reviews are put
+    together."""
+    pieces = sources.read_dump_pieces(spark, dumps, fmt, source)
+    table = scratch_dir(spark)
+    parse.cut_comments(pieces, "source_file", block="block", fmt=fmt).write.parquet(table)
+    reviews = parse.join_comments(spark.read.parquet(table), "source_file", fmt)
     sources.write_reviews(reviews, out, fmt, mode)
 
 
@@ -157,7 +155,7 @@ def train_and_evaluate(
     rows = spark.read.parquet(table)
     train, test = (rows.filter(F.col("split") == side) for side in ("train", "test"))
 
-    model = classifier.train_classifier(train, cfg, cleaned=True)
+    model = classifier.train_classifier(train, cfg, cleaned=True, scratch=scratch_dir(spark))
     if out:
         sources.save_model(model, f"{out}/model")
     scored = classifier.predict_labels(model, test, cfg.text_col, cleaned=True)
@@ -180,9 +178,10 @@ def train_and_evaluate(
         weight_map.alias("class_weight"),
         F.lit(list(LABELS)).alias("labels"),
     )
-    if out:
-        sources.write_metrics(metrics, f"{out}/metrics", "overwrite")
-    return metrics
+    if not out:
+        return metrics
+    sources.write_metrics(metrics, f"{out}/metrics", "overwrite")
+    return spark.read.schema(metrics.schema).json(f"{out}/metrics")
 
 
 def train_job(
@@ -209,4 +208,4 @@ def evaluate_job(df: DataFrame, out: str, name: str, mode: str = "overwrite") ->
     sources.write_csv(
         evaluation.confusion_matrix(df), f"{out}/{name}_confusion_matrix", mode=mode
     )
-    return metrics
+    return df.sparkSession.read.schema(metrics.schema).json(f"{out}/{name}_metrics")

@@ -152,7 +152,7 @@ WHERE comment <> ''"""
 def _parsed(keys: str, dumps: str) -> str:
     """Reviews of (keys, dump) rows."""
     text = _normalize_dump("dump")
-    return f"""SELECT {keys}, CAST(review_no AS INTEGER) AS review_no,
+    return f"""SELECT {keys}, review_no,
   {_sanitize(_strip("nm"))} AS name, {_dump_rating("body")} AS rating,
   {_sanitize("ph")} AS number_of_photos, {_sanitize(_clean_dump("body"))} AS message
 FROM (SELECT {keys}, review_no, nm, coalesce(ph, '') AS ph,
@@ -167,8 +167,7 @@ FROM (SELECT {keys}, review_no, nm, coalesce(ph, '') AS ph,
 _SOURCE_DUMPS = f"""SELECT source, string_agg(comment, ' | ' ORDER BY doc_id) AS dump
 FROM (SELECT source, doc_id, {_strip("comment")} AS comment FROM comments) GROUP BY source"""
 _FLAT_DUMPS = f"""SELECT source, string_agg(comment, ' | ' ORDER BY doc_id) AS dump
-FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS nth FROM ({_FLAT}))
-WHERE nth <= 1600 GROUP BY source"""
+FROM ({_FLAT}) GROUP BY source"""
 
 _LABELED = f"""SELECT review_id, name, rating, number_of_photos, message, rating_num, label FROM (
   SELECT *, {_label("rating_num")} AS label FROM (
@@ -287,16 +286,15 @@ _add(
     SELECT page_id, list_filter(list_transform(
         regexp_extract_all(html, '(?s)<div class="ad"[^>]*>(.*?)</div>', 1),
         lambda x: {_strip("replace(regexp_replace(x, '<[^>]*>', '', 'g'), chr(10), ' ')")}),
-      lambda x: x <> '')[1:1600] AS es FROM pages))""",
+      lambda x: x <> '') AS es FROM pages))""",
 )
 _add("dump_files", _parsed("source", _FLAT_DUMPS))
 _add("dump_file_pieces", _parsed("source", _FLAT_DUMPS))
-_add(
-    "parse_job",
-    f"""SELECT {_null_tokens("name")} AS name, {_null_tokens("rating")} AS rating,
+_PARSE_JOB = f"""SELECT {_null_tokens("name")} AS name, {_null_tokens("rating")} AS rating,
   {_null_tokens("number_of_photos")} AS number_of_photos, {_null_tokens("message")} AS message
-FROM ({_parsed("source", _FLAT_DUMPS)})""",
-)
+FROM ({_parsed("source", _FLAT_DUMPS)})"""
+_add("parse_job", _PARSE_JOB)
+_add("parse_job_latin1", _PARSE_JOB)
 
 # -- cleaning --------------------------------------------------------------------------
 
@@ -432,7 +430,8 @@ _add("eda_job", _PREVIEW)
 _add(
     "null_counts",
     " UNION ALL ".join(
-        f"SELECT {i} AS position, '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls "
+        f"SELECT {i} AS position, '{c}' AS \"column\", '{'string' if i else 'bigint'}' AS dtype, "
+        f"count(*) FILTER ({c} IS NULL) AS nulls "
         "FROM reviews"
         for i, c in enumerate(("review_id", *P.REVIEW_COLUMNS))
     ),
@@ -515,7 +514,11 @@ _add(
     f"SELECT doc_id, label, {_IDS} AS label_id, label AS decoded FROM sentences",
 )
 _add("stratified_split", f"SELECT doc_id, label, split FROM ({_SPLIT})")
-_add("shuffle_rows", "SELECT doc_id, md5('42-' || doc_id) AS key FROM sentences")
+_add(
+    "shuffle_rows",
+    """SELECT doc_id, md5('42-' || doc_id) AS key,
+  row_number() OVER (ORDER BY md5('42-' || doc_id), doc_id) - 1 AS position FROM sentences""",
+)
 _add(
     "split_quotas",
     f"""SELECT label, n, CAST(n_train AS BIGINT) AS n_train, CAST(n_val AS BIGINT) AS n_val,
@@ -528,6 +531,27 @@ _add(
 FROM (SELECT label, count(*) AS n FROM ({_SPLIT}) WHERE split = 'train' GROUP BY label)""",
 )
 _add("build_vocabulary", _VOCABULARY)
+_WEIGHTS = f"""SELECT label, n, round(CAST(sum(n) OVER () AS BIGINT) / CAST(3 * n AS DOUBLE), 9) AS weight
+FROM (SELECT label, count(*) AS n FROM ({_SPLIT}) WHERE split = 'train' GROUP BY label)"""
+_add(
+    "train_classifier",
+    f"""SELECT label, n, weight, true AS finite_intercept, true AS all_words_used FROM ({_WEIGHTS})""",
+)
+_add(
+    "predict_proba",
+    """SELECT doc_id, label, CAST(3 AS INTEGER) AS classes, true AS in_range, true AS sums_to_one
+FROM sentences""",
+)
+_add("predict_labels", "SELECT doc_id, label, true AS pred_is_argmax FROM sentences")
+_add(
+    "train_metrics",
+    "SELECT 'negative neutral positive' AS labels, "
+    + ", ".join(
+        f"max(weight) FILTER (label = '{c}') AS w_{c}" for c in ("negative", "neutral", "positive")
+    )
+    + f""", true AS epochs_in_range, true AS loss_finite, true AS accuracy_near_majority_or_above
+FROM ({_WEIGHTS})""",
+)
 _add(
     "encode_sequences",
     f"""SELECT d.doc_id, array_to_string(
@@ -581,3 +605,32 @@ _add(
   round(avg(f1), 9) AS macro_f1, round(sum(f1 * support) / sum(support), 9) AS weighted_f1,
   CAST(sum(support) AS BIGINT) AS n FROM ({_REPORT})""",
 )
+_CONFUSION = f"""SELECT c.label, count(*) FILTER (p.pred = 'negative') AS pred_negative,
+  count(*) FILTER (p.pred = 'neutral') AS pred_neutral,
+  count(*) FILTER (p.pred = 'positive') AS pred_positive
+FROM (VALUES {_NAMES}) AS c(label) LEFT JOIN predictions AS p ON p.label = c.label
+GROUP BY c.label"""
+_add(
+    "evaluate_job",
+    f"""SELECT *, (SELECT round(avg(CASE WHEN label = pred THEN 1.0::DOUBLE ELSE 0 END), 9)
+  FROM predictions) AS accuracy FROM ({_CONFUSION})""",
+)
+_READ = f"""SELECT {", ".join(f"{_null_tokens(c)} AS {c}" for c in P.REVIEW_COLUMNS)} FROM reviews"""
+_add(
+    "eda_report_null_counts",
+    " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS \"column\", 'string' AS dtype, "
+        f"count(*) FILTER ({c} IS NULL) AS nulls FROM ({_READ})"
+        for i, c in enumerate(P.REVIEW_COLUMNS)
+    )
+    + """ UNION ALL SELECT 4 AS position, '__source_file' AS "column", 'string' AS dtype,
+  CAST(0 AS BIGINT) AS nulls""",
+)
+_add(
+    "eda_report_ratings",
+    f"SELECT rating, count(*) AS n FROM ({_EDA}) WHERE rating IS NOT NULL GROUP BY rating",
+)
+_add(
+    "eda_report_authors",
+    f"SELECT name, count(*) AS n FROM ({_EDA}) GROUP BY name ORDER BY n DESC, name LIMIT 20",
+)

@@ -6,14 +6,16 @@ Averages are rounded to nine places or six, since summing in another order chang
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewlib import functions as R
 from reviewlib import sources
+from reviewlib.functions.patterns import LABELS, DumpFormat
 from reviewlib.operators import (
     classifier,
     evaluation,
@@ -148,23 +150,43 @@ def _source_of(file: str) -> Column:
 
 @query
 def dump_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dumps written to files, read back whole, parsed."""
-    dumps = sources.read_dumps(spark, f"{_dump_files(spark, sf_dir)}/*/*.txt")
-    return parse.parse_dumps(dumps.select(_source_of("source_file"), "dump"))
+    """Dumps written to files, read back by folder, parsed."""
+    files = f"{_dump_files(spark, sf_dir)}/*/*.txt"
+    pieces = sources.read_dump_pieces(spark, files, source="folder")
+    rows = parse.parse_comments(pieces, "source_file", block="block")
+    return rows.select(_source_of("source_file"), *rows.columns[1:])
 
 
 @query
 def dump_file_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files read in pieces."""
-    pieces = sources.read_dump_pieces(spark, f"{_dump_files(spark, sf_dir)}/*/*.txt")
-    rows = parse.parse_comments(pieces, "source_file", block="block")
+    """The same, with the cut comments kept in a table in between."""
+    files = f"{_dump_files(spark, sf_dir)}/*/*.txt"
+    pieces = sources.read_dump_pieces(spark, files, source="folder")
+    cut = scratch_dir(spark)
+    parse.cut_comments(pieces, "source_file", block="block").write.parquet(cut)
+    rows = parse.join_comments(spark.read.parquet(cut), "source_file")
     return rows.select(_source_of("source_file"), *rows.columns[1:])
 
 
 @query
 def parse_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark)
-    jobs.parse_job(spark, f"{_dump_files(spark, sf_dir)}/*/*.txt", out)
+    jobs.parse_job(spark, f"{_dump_files(spark, sf_dir)}/*/*.txt", out, source="folder")
+    return sources.read_reviews(spark, out)
+
+
+@query
+def parse_job_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parse job over Latin-1 dumps, of comments that Latin-1 can hold."""
+    comments, path, out = _comments(spark, sf_dir), scratch_dir(spark), scratch_dir(spark)
+    flat = sources.dump_comments(comments, "source", "doc_id", "comment")
+    # a string column can hold the bytes of any encoding, and the text writer writes them as they are
+    encoded = F.encode(F.concat(F.lit(" "), "comment", F.lit(" ")), "ISO-8859-1").cast("string")
+    spaced = flat.select("source", "doc_id", encoded.alias("value"))
+    ordered = spaced.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id")
+    ordered.drop("doc_id").write.partitionBy("source").option("lineSep", "|").text(path)
+    latin = DumpFormat(encoding="ISO-8859-1")
+    jobs.parse_job(spark, f"{path}/*/*.txt", out, latin, source="folder")
     return sources.read_reviews(spark, out)
 
 
@@ -395,7 +417,7 @@ def write_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.null_counts(_reviews(spark, sf_dir)).drop("dtype")
+    return profile.null_counts(_reviews(spark, sf_dir))
 
 
 @query
@@ -470,9 +492,20 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def shuffle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training rows in shuffled order, with the key they are ordered by."""
+    """Training rows in shuffled order: their places, as they are read back from ordered files, and
+    the key they are ordered by."""
+    path = scratch_dir(spark)
     rows = split.shuffle_rows(_sentences(spark, sf_dir), "doc_id")
-    return rows.select("doc_id", split.shuffle_key("doc_id").alias("key"))
+    rows.select("doc_id", split.shuffle_key("doc_id").alias("key")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    place = stored.select(
+        "doc_id", "key", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    sizes = place.groupBy("file").agg(F.count("*").alias("n"))
+    # a row per file: as many as there are shuffle partitions
+    before = Window.partitionBy(F.lit(0)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return place.join(first, "file").select("doc_id", "key", (F.col("first") + F.col("row")).alias("position"))
 
 
 @query
@@ -522,29 +555,44 @@ _CONFIG = classifier.TrainConfig(id_col="doc_id", max_iter=10)
 
 @query
 def train_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Intercept and training rows of each class of a saved and loaded model."""
+    """Training rows and weight of each class, and whether the saved model came back whole: a finite
+    intercept for each class, and coefficients for all words of the vocabulary."""
     model = sources.load_model(_model_path(spark, sf_dir))
-    intercepts = model.stages[-1].interceptVector.toArray().tolist()
+    fitted, words = model.stages[-1], len(model.stages[1].vocabulary)
+    finite = [math.isfinite(x) for x in fitted.interceptVector.toArray()]
     train = _split(spark, sf_dir).filter(F.col("split") == "train")
-    return split.class_weights(train).select(
-        "label", "n", F.get(F.lit(intercepts), F.col("label_id")).alias("intercept")
+    weights = _rounded(split.class_weights(train), "weight")
+    return weights.select(
+        "label",
+        "n",
+        "weight",
+        F.get(F.lit(finite), F.col("label_id")).alias("finite_intercept"),
+        F.lit(fitted.numFeatures == words).alias("all_words_used"),
     )
 
 
 @query
 def predict_proba(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per row: are the probabilities one per class, in 0..1, with sum 1."""
     model = sources.load_model(_model_path(spark, sf_dir))
     scored = classifier.predict_proba(model, _sentences(spark, sf_dir))
+    total = F.aggregate("p", F.lit(0.0), lambda t, x: t + x)
     return scored.select(
-        "doc_id", *(F.get("p", F.lit(i)).alias(name) for i, name in enumerate(_P))
+        "doc_id",
+        "label",
+        F.size("p").alias("classes"),
+        F.forall("p", lambda x: x.between(0, 1)).alias("in_range"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
     )
 
 
 @query
 def predict_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per row: is the predicted label a known one, that of the largest probability."""
     model = sources.load_model(_model_path(spark, sf_dir))
     scored = classifier.predict_labels(model, _sentences(spark, sf_dir))
-    return scored.select("doc_id", "label", "pred")
+    own = F.get("p", F.array_position(F.lit(list(LABELS)), F.col("pred")).cast("int") - 1)
+    return scored.select("doc_id", "label", (own == F.array_max("p")).alias("pred_is_argmax"))
 
 
 @query
@@ -556,10 +604,28 @@ def most_likely_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trained, scored, and the metrics document read back."""
+    """Trained, scored, and the metrics document read back: labels, weights, and whether the scores
+    are what they must be at least."""
     out = scratch_dir(spark)
     jobs.train_and_evaluate(_sentences(spark, sf_dir), _CONFIG, out)
-    return spark.read.json(f"{out}/metrics")
+    metrics = spark.read.schema(_METRICS).json(f"{out}/metrics")
+    test = _split(spark, sf_dir).filter(F.col("split") == "test").groupBy("label").count()
+    majority = test.agg((F.max("count") / F.sum("count")).alias("share"))
+    weights = [F.round(F.col("class_weight")[str(i)], 9).alias(f"w_{c}") for i, c in enumerate(LABELS)]
+    return metrics.select(
+        F.array_join("labels", " ").alias("labels"),
+        *weights,
+        (F.col("epochs_trained").between(1, _CONFIG.max_iter)).alias("epochs_in_range"),
+        (F.col("test_loss").between(0, 20)).alias("loss_finite"),
+        # where all classes weigh alike, rare ones may cost the frequent one a few rows
+        (F.col("test_acc") >= majority.scalar() - 0.1).alias("accuracy_near_majority_or_above"),
+    )
+
+
+_METRICS = (
+    "test_loss double, test_acc double, epochs_trained int, class_weight map<string,double>, "
+    "labels array<string>"
+)
 
 
 # -- scores ----------------------------------------------------------------------------
@@ -586,3 +652,34 @@ def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = evaluation.compute_metrics(_predictions(spark, sf_dir))
     return _rounded(metrics, "accuracy", "macro_f1", "weighted_f1")
+
+
+@query
+def evaluate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics document of the evaluation job, beside its confusion matrix."""
+    out = scratch_dir(spark)
+    metrics = jobs.evaluate_job(_predictions(spark, sf_dir), out, "run")
+    matrix = spark.read.option("header", True).csv(f"{out}/run_confusion_matrix")
+    cells = [F.col(f"pred_{c}").cast("long").alias(f"pred_{c}") for c in LABELS]
+    both = matrix.select("label", *cells).withColumn("accuracy", metrics.select("accuracy").scalar())
+    return _rounded(both, "accuracy")
+
+
+def _report(spark: SparkSession, sf_dir: str) -> jobs.EdaReport:
+    """The reports of the exploration job over a folder of piped files."""
+    return jobs.eda_job(spark, _review_files(spark, sf_dir), scratch_dir(spark))
+
+
+@query
+def eda_report_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, sf_dir).null_counts
+
+
+@query
+def eda_report_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, sf_dir).rating_distribution
+
+
+@query
+def eda_report_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, sf_dir).top_authors

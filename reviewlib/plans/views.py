@@ -78,17 +78,9 @@ FROM ({SENTENCES}) AS s
 """
 
 
-_KEYS = {"documents": "doc_id", "pages": "page_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. A text table read in fewer tasks than there are cores (a single
-    small file) is spread over them by its key; a large one is left alone."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _KEYS and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, _KEYS[name])
-    return df
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

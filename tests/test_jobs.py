@@ -2,17 +2,18 @@ import pandas as pd
 import pytest
 
 from reviewlib import sources
+from reviewlib.functions.patterns import DumpFormat
 from reviewlib.operators import labeling
 from reviewlib.plans import jobs
 from reviewlib.scratch import scratch_dir
 from reviewlib.streaming import label_stream, parse_stream, preprocess_stream
 
 RAW = """name|rating|number_of_photos|message
-ana|4.7/5|2|Ótimo! http://x.y
-bia||0|Avaliação geral. Comida: 3/5 / Serviço: 5/5 / Ambiente: 4/5
-caio||1|sem nota aqui
-duda|5/5|0|
-enzo|100|0|texto qualquer
+ana|4,5|2|Pão bom! http://a.b
+bia||0|Voltarei sempre. Comida: 2/5 / Serviço: 5/5 / Ambiente: 4/5
+caio||1|nada a dizer
+duda|3/5|0|
+enzo|98|0|lugar bonito
 """
 
 
@@ -31,15 +32,15 @@ def test_label_job(spark, raw, tmp_path):
     counts = jobs.label_job(spark, raw, str(tmp_path / "out"))
     out = written(tmp_path / "out").set_index("name")
     assert out.index.tolist() == ["ana", "enzo"]
-    assert out.rating_num.tolist() == [4.7, 5.0] and set(out.label) == {"positive"}
-    assert out.message["ana"] == "Ótimo! / / x.y"
+    assert out.rating_num.tolist() == [4.5, 4.9] and set(out.label) == {"positive"}
+    assert out.message["ana"] == "Pão bom! / / a.b"
     assert counts == {"rows_in": 5, "rows_usable": 2, "negative": 0, "neutral": 0, "positive": 2}
 
 
 def test_label_job_with_raw_ratings(spark, raw, tmp_path):
     jobs.label_job(spark, raw, str(tmp_path / "out"), ratings_from="raw")
     out = written(tmp_path / "out").set_index("name")
-    assert out.rating_num["bia"] == 4.0 and out.message["bia"] == "Avaliação geral."
+    assert out.rating_num["bia"] == 4.0 and out.message["bia"] == "Voltarei sempre."
 
 
 def test_unknown_rating_source(spark, raw):
@@ -58,16 +59,17 @@ def test_preprocess_job(spark, raw, tmp_path):
     out = written(tmp_path / "out", dtype=str, keep_default_na=False)
     assert len(out) == 5 and len(out.columns) == 12
     assert out.number_of_photos_clean.tolist() == ["2", "0", "1", "0", "0"]
-    assert out.message_clean[0] == "ótimo!"
+    assert out.message_clean[0] == "pão bom!"
     with pytest.raises(FileNotFoundError):
         jobs.preprocess_job(spark, str(tmp_path / "nope.csv"), str(tmp_path / "out"))
 
 
 def test_parse_job(spark, tmp_path):
-    (tmp_path / "d.txt").write_text("Ana 12 avaliações·3 fotos 4/5 bom | Bia 1 avaliação ok")
-    for large in (False, True):
-        out = tmp_path / f"out{large}"
-        jobs.parse_job(spark, str(tmp_path / "d.txt"), str(out), large_files=large)
+    text = "Ana 12 avaliações·3 fotos 4/5 bom | Bia 1 avaliação ok"
+    for encoding in ("UTF-8", "ISO-8859-1"):
+        (tmp_path / "d.txt").write_bytes(text.encode(encoding))
+        out = tmp_path / encoding
+        jobs.parse_job(spark, str(tmp_path / "d.txt"), str(out), DumpFormat(encoding=encoding))
         got = written(out, sep="|", dtype=str).fillna("").sort_values("name")
         assert got.values.tolist() == [["Ana", "4.0/5", "3", "4/5 bom  /"], ["Bia", "", "", "ok"]]
 
@@ -76,7 +78,7 @@ def test_eda_job(spark, raw, tmp_path):
     report = jobs.eda_job(spark, str(tmp_path / "raw"), str(tmp_path / "preview"))
     assert report.rows.count() == 5
     assert {r["column"]: r.nulls for r in report.null_counts.collect()}["message"] == 1
-    assert [r.rating for r in report.rating_distribution.collect()] == [100.0]
+    assert [r.rating for r in report.rating_distribution.collect()] == [98.0]
     assert sum(r["n"] for r in report.words_histogram.collect()) == 5
     assert report.words_by_rating.count() == 1
     assert [r.name for r in report.top_authors.collect()] == ["ana", "bia", "caio", "duda", "enzo"]

@@ -1,3 +1,4 @@
+import pytest
 import random
 import re
 
@@ -161,20 +162,23 @@ def test_first_per_group(spark):
 
 
 def test_dump_files_round_trip(spark, tmp_path):
-    rows = [("s1", i, f"A{i} {i} avaliações texto\n{i}") for i in range(30)] + [
+    rows = [("s1", i, f"A{i} {i} avaliações texto\n{i}") for i in range(5_000)] + [
         ("s2", 0, " B 1 avaliação x "), ("s2", 1, "  "), ("s2", 2, "resto")]
     df = spark.createDataFrame(rows, "source string, ord long, comment string")
     out = str(tmp_path / "dumps")
-    sources.write_dumps(df, out, max_comments=20)
-    files = {p.parent.name: p.read_text() for p in (tmp_path / "dumps").glob("*/*.txt")}
-    assert files["source=s2"] == "B 1 avaliação x | resto\n"
-    assert files["source=s1"].count(" | ") == 19
+    sources.write_dumps(df, out)
+    files = {p.parent.name: p.read_text() for p in (tmp_path / "dumps").glob("source=s2/*.txt")}
+    assert files == {"source=s2": " B 1 avaliação x | resto |"}
 
-    whole = parse.parse_dumps(sources.read_dumps(spark, f"{out}/*/*.txt"))
-    pieces = sources.read_dump_pieces(spark, f"{out}/*/*.txt")
-    apart = parse.parse_comments(pieces, "source_file", block="block")
-    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, apart.collect()))
-    assert whole.count() == 21
+    pieces = sources.read_dump_pieces(spark, f"{out}/*/*.txt", source="folder")
+    got = parse.parse_comments(pieces, "source_file", block="block").collect()
+    first = sorted((r.review_no, r.name, r.message) for r in got if "s1" in r.source_file)
+    last = {4_999: ""}
+    assert first == [(i + 1, f"A{i}", f"texto {i}{last.get(i, '  /')}") for i in range(5_000)]
+    assert [r.message for r in got if "s2" in r.source_file] == ["x  /  resto"]
+
+    capped = sources.dump_comments(df, max_comments=20)
+    assert capped.groupBy("source").count().orderBy("source").collect() == [("s1", 20), ("s2", 2)]
 
 
 def test_large_file_is_read_in_splits(spark, tmp_path):
@@ -198,6 +202,10 @@ def test_latin1_dump(spark, tmp_path):
     fmt = DumpFormat(encoding="ISO-8859-1")
     df = parse.parse_dumps(sources.read_dumps(spark, str(tmp_path / "d.txt"), fmt))
     assert [r.message for r in df.collect()] == ["é"]
+    pieces = sources.read_dump_pieces(spark, str(tmp_path / "d.txt"), fmt)
+    assert [r.comment for r in pieces.collect()] == ["Ana 2 avaliações é"]
+    with pytest.raises(ValueError):
+        sources.read_dump_pieces(spark, str(tmp_path / "d.txt"), DumpFormat(encoding="UTF-16"))
 
 
 def test_page_elements(spark):
@@ -208,3 +216,5 @@ def test_page_elements(spark):
     df = spark.createDataFrame([(html,), (None,)], "html string")
     got = [r[0] for r in df.select(sources.page_elements("html", "c", max_comments=2)).collect()]
     assert got == [["um dois três", "quatro"], None]
+    every = [r[0] for r in df.select(sources.page_elements("html", "c")).collect()]
+    assert every == [["um dois três", "quatro", "cinco"], None]

@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, duck
+from reviewlib.plans.oracles import ORACLES
+from reviewlib.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"train_classifier", "predict_proba", "predict_labels", "train_metrics"}
 
 
 @pytest.fixture(scope="module")
@@ -14,8 +15,8 @@ def con():
     return duck(SF)
 
 
-def test_all_but_the_classifier_have_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -23,6 +24,6 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 3
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    assert compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql().get(name)) is None
+    assert compare(spark, con, SF, name, QUERIES[name], ORACLES[name]) is None
