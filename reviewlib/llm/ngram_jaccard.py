@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlib.llm.common import id_and_text, stored
+from reviewlib.llm.common import bitmap, id_and_text, maybe_in, slices, stored
 from reviewlib.llm.components import components
 from reviewlib.llm.words import Coder, mix, shingles
 
@@ -34,6 +34,9 @@ _WAYS = 4
 _SEND = 1 << 21
 _GROUP = 1 << 20
 _TAG = 64
+# Sets of a key that are compared in one place, and how many of them with all at a time.
+_BLOCK = 2048
+_ROWS = 128
 
 
 class Bands:
@@ -67,7 +70,7 @@ class Bands:
         for band in (own, own + 1):
             low, high = self.edges[band - 1], self.edges[band] - 1
             if most >= low:
-                blocks = self.differ(2 * high) + 1 + high // 20
+                blocks = self.differ(2 * high) + 1 + high // 16
                 yield band, blocks, self.differ(n + min(most, high))
 
     def cuts(self, blocks: int) -> np.ndarray:
@@ -95,7 +98,7 @@ class Bands:
                 ways.append((mix(values + mix(place)), filled))
                 spare.append(blocks - most - int((~filled).sum()))
             if max(spare) > 0:
-                need = spare[0] if len(ways) == 1 else 1
+                need = sum(max(0, x) for x in spare)
                 yield need * _TAG + band, np.concatenate([k[filled] for k, filled in ways])
             else:
                 yield _TAG + band, np.concatenate([k for k, _ in ways])
@@ -225,27 +228,17 @@ def _shared_keys(docs: DataFrame, groups: int, width: int, percent: int) -> Data
     return sent.groupBy("group").applyInArrow(join, "key long, doc_id long, tag int, centre long")
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``u``, ``shingles`` of the documents in ``ids`` (column ``u``)."""
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents that may be in ``ids`` (a bitmap lets few others pass; the join that follows is exact)."""
+    bits = bitmap(ids, ids.columns[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder()
         for batch in batches:
-            for group in coder.groups(batch.column(1)):
-                found = list(shingles(group, width))
-                ends = np.cumsum([0, *map(len, found)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(group.lo, group.hi - group.lo),
-                        pa.ListArray.from_arrays(
-                            pa.array(ends, pa.int32()), pa.array(np.concatenate(found).view(np.int64))
-                        ),
-                    ],
-                    names=["u", "shingles"],
-                )
-
-    wanted = docs.join(ids, docs["doc_id"] == ids["u"], "left_semi")
-    return wanted.mapInArrow(run, "u long, shingles array<long>").dropDuplicates(["u"])
+            own = batch.column(0)
+            maybe = maybe_in(bits, own.fill_null(0).to_numpy()) & own.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(maybe))
+
+    return docs.mapInArrow(run, "doc_id long, text string")
 
 
 def _apart(a: Column, b: Column) -> Column:
@@ -254,61 +247,139 @@ def _apart(a: Column, b: Column) -> Column:
     return F.aggregate(bits, F.lit(0), lambda n, x: n + x)
 
 
-def _links(
-    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int
-) -> DataFrame:
-    """Those of ``pairs`` (``u``, ``v``) that are similar. Sizes and sketches reject most others; the
-    rest are checked on their whole sets."""
+def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``u``, ``v``, ``apart`` of those ``pairs`` that sizes and sketches do not rule out."""
     left = nodes.select(F.col("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
     right = nodes.select(F.col("u").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
     both = F.col("nu") + F.col("nv")
-    near = (
+    return (
         pairs.join(left, "u")
         .join(right, "v")
         .filter(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
-        .filter(_apart(F.col("su"), F.col("sv")) * (100 + percent) <= both * (100 - percent))
-        .select("u", "v")
-    )
-    near = stored(near)
-    ids = near.select("u").union(near.select("v")).distinct()
-    sets = stored(_sets_of(docs, ids, width))
-    checked = near.join(sets.withColumnRenamed("shingles", "a"), "u").join(
-        sets.select(F.col("u").alias("v"), F.col("shingles").alias("b")), "v"
+        .withColumn("apart", _apart(F.col("su"), F.col("sv")))
+        .filter(F.col("apart") * (100 + percent) <= both * (100 - percent))
+        .select("u", "v", "apart")
     )
-    common = F.size(F.array_intersect("a", "b"))
-    enough = common * 100 >= (F.size("a") + F.size("b") - common) * percent
-    return stored(checked.filter(enough).select("u", "v"))
+
+
+def _links(near: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of ``near`` (``u``, ``v``) that are similar, by their whole sets. Texts are moved and cut again,
+    since they take less room than their sets."""
+    near = near.select("u", "v")
+    left = _texts_of(docs, near.select("u").distinct()).toDF("u", "a")
+    right = _texts_of(docs, near.select("v").distinct()).toDF("v", "b")
+    pairs = near.join(left, "u").join(right, "v").select("u", "v", "a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder()
+        for batch in batches:
+            for part in slices(batch, 2):
+                sets = [
+                    [found for group in coder.groups(part.column(k)) for found in shingles(group, width)]
+                    for k in (2, 3)
+                ]
+                similar = []
+                for one, other in zip(*sets):
+                    common = len(np.intersect1d(one, other, assume_unique=True))
+                    similar.append(100 * common >= percent * (len(one) + len(other) - common))
+                yield part.select([0, 1]).filter(pa.array(similar, pa.bool_()))
+
+    return stored(pairs.mapInArrow(run, "u long, v long").distinct())
+
+
+def _compare(percent: int):
+    """Within each ``key`` and pair of blocks ``i``, ``j``: the pairs of sets in different components that
+    sizes and sketches do not rule out. Only those are given on."""
+
+    def near(u, c, n, sketch, block) -> np.ndarray:
+        found = []
+        for at in range(0, len(u), _ROWS):
+            rows = slice(at, at + _ROWS)
+            apart = np.bitwise_count(sketch[rows, None] ^ sketch[None, :]).sum(2, dtype=np.int64)
+            low, high = np.minimum(n[rows, None], n), np.maximum(n[rows, None], n)
+            fits = (low * 100 >= high * percent) & (apart * (100 + percent) <= (low + high) * (100 - percent))
+            fits &= (u[rows, None] > u) & (c[rows, None] != c)
+            if block[0] != block[-1] or (block != block[0]).any():
+                fits &= block[rows, None] != block
+            a, b = np.nonzero(fits)
+            found.append(np.stack([u[rows][a], u[b]], 1))
+        return np.concatenate(found)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending")])
+        # unsigned: numpy counts the bits of a negative number's absolute value
+        words = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64)
+        sketch = words.reshape(-1, _SKETCH_WORDS)
+        key, i, j, block, u, c, n = (
+            table[x].to_numpy() for x in ("key", "i", "j", "block", "u", "c", "n")
+        )
+        new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(key)]
+        found = [
+            near(u[a:b], c[a:b], n[a:b], sketch[a:b], block[a:b])
+            for a, b in zip(cuts[:-1], cuts[1:])
+            if b - a > 1
+        ]
+        pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
+        return pa.table({"u": pa.array(pairs[:, 0]), "v": pa.array(pairs[:, 1])})
+
+    return run
 
 
 def _open_pairs(
-    shared: DataFrame, part_of: DataFrame, tried: DataFrame
+    shared: DataFrame,
+    centred: DataFrame,
+    copies: DataFrame,
+    part_of: DataFrame,
+    nodes: DataFrame,
+    percent: int,
 ) -> DataFrame:
     """Pairs that may be similar although they are in different components.
 
     A similar pair shares at least as many keys as the tags say, and all of them join different
     components. Sets with fewer such keys are out. Of the others each needs only its
-    rarest keys: any similar pair shares one of those.
+    rarest keys: any similar pair shares one of those. The sets of a key are compared by their
+    sketches in blocks of bounded size, every two blocks of a key in a place of their own.
     """
-    rows = shared.join(part_of, "u", "left").withColumn("c", F.coalesce("c", "u"))
-    parts = rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-    unsettled = parts.filter("low < high").select("key")
-    rows = stored(rows.join(unsettled, "key", "left_semi"))
+
+    def placed(rows: DataFrame, id: str, u: str, c: str) -> DataFrame:
+        """Adds the set ``u`` and the component ``c`` of document ``id``."""
+        own = copies.select(F.col("doc_id").alias(id), F.col("u").alias("_u"))
+        rows = rows.join(own, id, "left").withColumn(u, F.coalesce("_u", id)).drop("_u")
+        part = part_of.select(F.col("u").alias(u), F.col("c").alias("_c"))
+        return rows.join(part, u, "left").withColumn(c, F.coalesce("_c", u)).drop("_c")
+
+    ends = placed(placed(centred, "doc_id", "u", "c"), "centre", "v", "d")
+    apart = stored(ends.filter("c != d").select("doc_id", "centre"))
+    unsettled = shared.join(apart, ["doc_id", "centre"], "left_semi").select("key").distinct()
+    rows = shared.join(unsettled, "key", "left_semi").select("key", "doc_id", "tag")
+    rows = stored(placed(rows, "doc_id", "u", "c").select("key", "u", "tag", "c").distinct())
     need = F.floor(F.col("tag") / _TAG)
     count = rows.groupBy("u", "tag").agg(F.count("*").alias("n"))
     able = count.filter(F.col("n") >= need)
-    frequent = rows.join(able.select("u", "tag"), ["u", "tag"], "left_semi")
+    frequent = rows.join(able, ["u", "tag"])
     sizes = frequent.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    kept = frequent.join(sizes, "key").join(able, ["u", "tag"])
-    # the keys of one set: their number is bounded by its size
+    # a window holds the keys of one set, which its size bounds
     order = Window.partitionBy("u", "tag").orderBy("size", "key")
     rare = stored(
-        kept.withColumn("nth", F.row_number().over(order))
+        frequent.join(sizes, "key")
+        .withColumn("nth", F.row_number().over(order))
         .filter(F.col("nth") <= F.col("n") - need + 1)
-        .select("key", "u", "c")
+        .select("key", "u", "c", "size")
+    )
+    tasks = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = F.ceil(F.col("size") / _BLOCK)
+    own = F.pmod(F.xxhash64("u"), blocks)
+    spread = (
+        rare.join(nodes, "u")
+        .withColumn("block", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+        .withColumn("place", F.pmod(F.xxhash64("key", "i", "j"), F.lit(4 * tasks)))
+        .select("place", "key", "i", "j", "block", "u", "c", "n", "sketch")
     )
-    other = rare.select("key", F.col("u").alias("v"), F.col("c").alias("d"))
-    pairs = rare.join(other, "key").filter("u > v AND c != d").select("u", "v").distinct()
-    return pairs.join(tried, ["u", "v"], "left_anti")
+    return spread.groupBy("place").applyInArrow(_compare(percent), "u long, v long").distinct()
 
 
 def similar_documents(
@@ -327,8 +398,9 @@ def similar_documents(
     document with all their links; a null id is linked with nothing and its component is null.
 
     1. Equal sets fall together by digest.
-    2. Every block key that two sets share links its members to its smallest one, as
-       candidates; those that are similar make components.
+    2. Every block key that two sets share makes its smallest member a candidate for the
+       others. Each set is checked against the candidate with the nearest sketch; similar
+       ones make components.
     3. A similar pair that is still in two components shares only keys that join different
        components. Those are few; all their pairs are checked.
 
@@ -358,28 +430,22 @@ def similar_documents(
     groups = max(tasks, total * 6 // 10 // _GROUP)
     shared = stored(_shared_keys(docs, groups, width, percent))
 
-    first = shared.select("doc_id", "centre").distinct()
+    centred = stored(shared.select("doc_id", "centre").distinct())
     centre = copies.select(F.col("doc_id").alias("centre"), F.col("u").alias("w"))
-    candidates = (
-        first.join(copies, "doc_id", "left")
+    pairs = (
+        centred.join(copies, "doc_id", "left")
         .join(centre, "centre", "left")
         .select(F.coalesce("u", "doc_id").alias("a"), F.coalesce("w", "centre").alias("b"))
         .filter("a != b")
-    )
-    pairs = stored(
-        candidates.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    )
-    nodes = classes.groupBy("u").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
-    links = _links(pairs, nodes, docs, width, percent)
-
-    by_set = (
-        shared.join(copies, "doc_id", "left")
-        .select("key", F.coalesce("u", "doc_id").alias("u"), "tag")
+        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    more = _links(
-        stored(_open_pairs(by_set, components(links), pairs)), nodes, docs, width, percent
-    )
+    nodes = classes.groupBy("u").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
+    near = _plausible(pairs, nodes, percent)
+    nearest = near.groupBy("u").agg(F.min_by("v", F.struct("apart", "v")).alias("v"))
+    links = _links(stored(nearest), docs, width, percent)
+    still_open = _open_pairs(shared, centred, copies, components(links), nodes, percent)
+    more = _links(stored(still_open), docs, width, percent)
     part_of = components(links.union(more))
     return (
         member.join(part_of, "u", "left")
