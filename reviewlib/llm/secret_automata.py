@@ -258,7 +258,7 @@ class Formats:
 
 def _evidence(docs: DataFrame) -> DataFrame:
     """``kind``, ``value``, ``n``: how often each credential was found and, for kind ``text``, each pair of
-    classes of neighbouring bytes occurs."""
+    classes of neighbouring bytes occurs outside what was found."""
     table = np.full(256, _OUTSIDE, np.uint8)
     for char, k in _CLASS_OF.items():
         table[ord(char)] = k
@@ -272,12 +272,17 @@ def _evidence(docs: DataFrame) -> DataFrame:
             for a, b in zip(offsets[:-1], offsets[1:]):
                 own = np.concatenate([[_OUTSIDE], table[data[a:b]], [_OUTSIDE]]).astype(np.uint8)
                 pairs += np.bincount(own[:-1] * np.uint8(size) + own[1:], minlength=size * size)
-            for pair in np.flatnonzero(pairs):
-                counts["text", str(pair)] = int(pairs[pair])
             for text in batch.column(1).fill_null("").to_pylist():
-                for _, _, kind, value in base_spans(text):
+                reached = 0
+                for start, end, kind, value in base_spans(text):
                     if len(value) <= LONGEST:
                         counts[kind, value] = counts.get((kind, value), 0) + 1
+                    own = classes(text[max(start, reached) : end])
+                    for a, b in zip(own[:-1], own[1:]):
+                        pairs[a * size + b] -= 1
+                    reached = max(reached, end)
+            for pair in np.flatnonzero(pairs):
+                counts["text", str(pair)] = int(pairs[pair])
             kinds, values = zip(*counts) if counts else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(kinds, pa.string()), pa.array(values, pa.string()), pa.array(counts.values(), pa.int64())],
