@@ -379,6 +379,18 @@ _add(
 FROM (SELECT *, {_strip("replace(text, chr(10), ' ')")} AS flat FROM documents)
 WHERE lang <> 'fr'""",
 )
+_add(
+    "read_mixed_headers",
+    f"""SELECT source AS name, '4/5' AS rating, lang AS number_of_photos,
+  {_null_tokens("flat")} AS message
+FROM (SELECT *, replace({_strip("replace(text, chr(10), ' ')")}, '|', '/') AS flat FROM documents)""",
+)
+_add(
+    "read_stray_quotes",
+    """SELECT 'a"' || source AS name, '1' AS rating, '2' AS number_of_photos, 'x"y' AS message
+FROM documents WHERE doc_id % 3 <> 0""",
+)
+_add("load_raw_with_blank_file", "SELECT source AS name, lang AS rating FROM documents")
 _add(
     "load_raw_reviews",
     """SELECT source AS name, lang AS rating, text || ', é' AS message,

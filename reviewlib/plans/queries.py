@@ -7,6 +7,7 @@ Averages are rounded to nine places or six, since summing in another order chang
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable
 from functools import cache
 
@@ -335,6 +336,53 @@ def read_irregular_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_reviews(spark, path)
 
 
+def _lines(records: Column, path: str, header: str, rows: DataFrame) -> None:
+    """Adds files of ``records`` as they are under ``header``."""
+    lines = rows.select(records.alias(header))
+    lines.write.mode("append").option("header", True).option("quote", "").option("sep", "\x01").csv(path)
+
+
+@query
+def read_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder whose files have their columns in different orders."""
+    path, documents = scratch_dir(spark), views.table(spark, sf_dir, "documents")
+    fields = {"name": F.col("source"), "rating": F.lit("4/5"), "number_of_photos": F.col("lang"),
+              "message": F.replace(R.flatten_comment("text"), F.lit("|"), F.lit("/"))}
+    for n, order in enumerate((list(fields), list(reversed(fields)))):
+        part = documents.filter((F.col("doc_id") % 2) == n)
+        message = F.replace(fields["message"], F.lit('"'), F.lit('""'))
+        cells = [F.concat(F.lit('"'), message, F.lit('"')) if c == "message" else fields[c] for c in order]
+        _lines(F.concat_ws("|", *cells), path, "|".join(order), part)
+    return sources.read_reviews(spark, path).select(*fields)
+
+
+@query
+def read_stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes inside unquoted fields are plain characters: they hide no separator, so every
+    third record is too long and skipped."""
+    path, documents = scratch_dir(spark), views.table(spark, sf_dir, "documents")
+    short = F.concat_ws("|", F.concat(F.lit('a"'), "source"), F.lit("1"), F.lit("2"), F.lit('x"y'))
+    record = F.when(F.col("doc_id") % 3 == 0, F.concat(short, F.lit('|more"|z'))).otherwise(short)
+    _lines(record, path, "name|rating|number_of_photos|message", documents)
+    return sources.read_reviews(spark, path)
+
+
+@query
+def load_raw_with_blank_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder in which one file has blank lines only: it is left out with a warning."""
+    path, documents = scratch_dir(spark), views.table(spark, sf_dir, "documents")
+    rows = documents.select(F.col("source").alias("name"), F.col("lang").alias("rating"))
+    rows.write.option("header", True).csv(path)
+    blank = documents.limit(1).select(F.lit("  ").alias("value"))
+    # a CSV file without a header or a visible character, since only *.csv files are loaded
+    blank.write.mode("append").option("quote", "").option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return sources.load_raw_reviews(spark, path).drop("__source_file")
+
+
 @query
 def load_raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder of files in UTF-8 with commas, Latin-1 with commas, UTF-8 with semicolons."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 import warnings
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
@@ -40,11 +41,12 @@ def _missing_to_null(c: str) -> Column:
 def _too_long(columns: Sequence[str], sep: str) -> Column:
     """Whether a record has more fields than the header.
 
-    The parser also reports short records; those stay, padded with nulls. A doubled quote
-    inside a quoted field looks like the end of one and the start of the next, which
-    cuts the same characters.
+    The parser also reports short records; those stay, padded with nulls. Separators count unless
+    they are in a quoted field, and only a quote at the start of a field opens one. Doubled quotes
+    stand for themselves inside such a field and say nothing elsewhere, so they go first.
     """
-    bare = F.regexp_replace(F.col(_RECORD), r'"[^"]*+"', "")
+    single = F.replace(F.col(_RECORD), F.lit('""'), F.lit(""))
+    bare = F.regexp_replace(single, rf'(^|{re.escape(sep)})"[^"]*+"', "$1")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
     # Spark refuses to read the record alone, so name a column too; this part is always true
     first = named(columns[0])
@@ -77,14 +79,27 @@ def _csv(
     )
 
 
-def _header(spark: SparkSession, path: str | Sequence[str], sep: str) -> list[str]:
+def _headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str] | str]:
+    """Which files start with each distinct header; ``path`` itself when all have the same one. A
+    file without any line that is not blank has no header and no rows.
+
+    The driver sees the distinct headers, and names of files only if there are several.
+    """
     try:
-        found = spark.read.option("header", True).option("sep", sep).csv(path).columns
+        first = _inspect(spark, path).filter("header IS NOT NULL")
+        found = [r[0] for r in first.select("header").distinct().collect()]
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(f"no input at {path}") from e
         raise
-    return [c.lstrip("﻿") for c in found]
+    if not found:
+        raise ValueError(f"no header in {path}")
+    if len(found) == 1:
+        return {found[0]: path}
+    groups: dict[str, list[str]] = defaultdict(list)
+    for f in first.collect():
+        groups[f.header].append(unquote(f.path))
+    return {h: sorted(paths) for h, paths in sorted(groups.items())}
 
 
 def _read(
@@ -96,18 +111,22 @@ def _read(
     multi_line: bool,
     error: type[Exception] = ValueError,
 ) -> DataFrame:
-    columns = _header(spark, path, sep)
-    missing = [c for c in needed if c not in columns]
-    if missing:
-        raise error(f"missing columns {missing} in {path}; found {columns}")
-    df = _csv(spark, path, columns, sep, multi_line=multi_line)
-    long = _too_long(columns, sep)
-    if long_rows == "skip":
-        df = df.filter(~long)
-    else:
-        fail = F.raise_error(F.concat(F.lit("too many fields: "), F.col(_RECORD)))
-        df = df.filter(F.when(long, fail.cast("boolean")).otherwise(F.lit(True)))
-    return df.select(*(_missing_to_null(c) for c in columns))
+    """Every file by its own header; columns that a file lacks are null."""
+    frames, needed = [], list(needed)
+    for header, paths in _headers(spark, path).items():
+        columns = _columns_of(header, sep)
+        missing = [c for c in needed if c not in columns]
+        if missing:
+            raise error(f"missing columns {missing} in {paths}; found {list(columns)}")
+        df = _csv(spark, paths, columns, sep, multi_line=multi_line)
+        long = _too_long(columns, sep)
+        if long_rows == "skip":
+            df = df.filter(~long)
+        else:
+            fail = F.raise_error(F.concat(F.lit("too many fields: "), F.col(_RECORD)))
+            df = df.filter(F.when(long, fail.cast("boolean")).otherwise(F.lit(True)))
+        frames.append(df.select(*(_missing_to_null(c) for c in columns)))
+    return _union(frames)
 
 
 def read_reviews(
@@ -116,7 +135,7 @@ def read_reviews(
     multi_line: bool = True,
     error: type[Exception] = ValueError,
 ) -> DataFrame:
-    """A piped review table, all strings.
+    """A piped review table, all strings; files of a folder may differ in their headers.
 
     A byte-order mark is dropped, records with too many fields are skipped, short ones are
     padded, and the usual tokens for "missing" become null. ``multi_line`` lets quoted
@@ -137,8 +156,9 @@ def read_labeled(
     return _read(spark, path, ",", (text_col, label_col), "fail", multi_line)
 
 
-def _inspect(spark: SparkSession, pattern: str) -> DataFrame:
-    """One row per file: whether it is UTF-8, and its first non-empty line."""
+def _inspect(spark: SparkSession, pattern: str | Sequence[str]) -> DataFrame:
+    """One row per file that is not empty: whether it is UTF-8, and its first line that is not blank,
+    null if there is none."""
     lines = spark.read.text(pattern).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -184,11 +204,17 @@ def _open(
     does when it lists them) and makes one reader per distinct header, not per file.
     """
     groups: dict[tuple, list[str]] = defaultdict(list)
+    # a scan passes over files without a byte, which Spark has listed all the same
+    listed = spark.read.text(path).inputFiles()
+    left_out = {re.sub("^file:/+", "file:/", unquote(f)) for f in listed}
     for f in _inspect(spark, path).collect():
+        if f.header is None:
+            continue
+        left_out.discard(re.sub("^file:/+", "file:/", unquote(f.path)))
         fits = encoding != "UTF-8" or f.utf8
         groups[f.header, encoding if fits else "ISO-8859-1", sep].append(unquote(f.path))
 
-    frames, left_out = [], []
+    frames = []
     while groups:
         (header, used, by), paths = groups.popitem()
         columns = _columns_of(header, by)
@@ -198,12 +224,12 @@ def _open(
         if bad and used == encoding and by != ";":
             groups[header, encoding, ";"].extend(sorted(bad))
         else:
-            left_out += sorted(bad)
+            left_out |= bad
         if good:
             frame = _csv(spark, good, columns, by, used, multi_line)
             name = F.col("_metadata.file_name").alias("__source_file")
             frames.append(frame.select(*(_missing_to_null(c) for c in columns), name))
-    return frames, left_out
+    return frames, sorted(left_out)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -233,7 +259,7 @@ def read_with_fallback(
             raise FileNotFoundError(f"no input at {path}") from e
         raise
     if left_out:
-        raise ValueError(f"records do not fit the header in {left_out}")
+        raise ValueError(f"no header, or records that do not fit it, in {left_out}")
     return _union(frames).drop("__source_file")
 
 
@@ -252,7 +278,7 @@ def load_raw_reviews(
         warnings.warn(f"no CSV files in {folder}", stacklevel=2)
         frames, left_out = [], []
     if left_out:
-        warnings.warn(f"left out, records do not fit the header: {left_out}", stacklevel=2)
+        warnings.warn(f"left out, no header or records that do not fit it: {left_out}", stacklevel=2)
     return _union(frames) if frames else spark.createDataFrame([], T.StructType([]))
 
 

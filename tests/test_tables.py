@@ -127,3 +127,38 @@ def test_preview(spark, tmp_path):
     assert not sources.write_preview(df.limit(0), str(tmp_path / "q"))
     assert not sources.write_preview(df.select("other"), str(tmp_path / "q"))
     assert not (tmp_path / "q").exists()
+
+
+def test_files_with_columns_in_other_orders(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("name|rating|number_of_photos|message\nana|1|2|oi\n")
+    (tmp_path / "b.csv").write_text("\nmessage|name|rating|number_of_photos\nhello|bia|4|1\n")
+    (tmp_path / "c.csv").write_text("\n\n")
+    rows = sources.read_reviews(spark, str(tmp_path)).orderBy("name")
+    got = rows.select("name", "rating", "number_of_photos", "message").collect()
+    assert [tuple(r) for r in got] == [("ana", "1", "2", "oi"), ("bia", "4", "1", "hello")]
+    (tmp_path / "d.csv").write_text("name|rating\nx|1\n")
+    with pytest.raises(ValueError):
+        sources.read_reviews(spark, str(tmp_path))
+
+
+def test_quotes_inside_a_field_hide_no_separator(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        'name|rating|number_of_photos|message\na"b|1|2|x"y|extra|more\nc"d|1|2|z"w\n'
+        '"e|""f"|1|2|"g ""|"" h"\n""|1|2|"i"|j\n'
+    )
+    got = sources.read_reviews(spark, str(tmp_path)).orderBy("name").collect()
+    assert [tuple(r) for r in got] == [('c"d', "1", "2", 'z"w'), ('e|"f', "1", "2", 'g "|" h')]
+
+
+def test_blank_and_empty_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("\n \n")
+    (tmp_path / "c.csv").write_text("")
+    with pytest.warns(UserWarning, match="c.csv"):
+        got = sources.load_raw_reviews(spark, str(tmp_path)).collect()
+    assert [(r.x, r.y) for r in got] == [("1", "2")]
+    for name in ("b.csv", "c.csv"):
+        with pytest.raises(ValueError):
+            sources.read_with_fallback(spark, str(tmp_path / name))
+        with pytest.raises(ValueError):
+            sources.read_reviews(spark, str(tmp_path / name))
