@@ -84,31 +84,31 @@ def _random_comment(rng):
     return "".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(1, 9)))
 
 
-def test_headers_are_those_of_a_name_first_search(spark):
-    """Against a plain search for name and rest together."""
-    rng = random.Random(3)
-    texts = ["".join(_random_comment(rng) for _ in range(rng.randint(1, 3))) for _ in range(3000)]
-    texts += [" 5 avaliações", "  5 avaliações", "\n  5 avaliações", "a\n\n 5 avaliações",
-              "a 5 avaliações 6 avaliações", "a 5 avaliações  6 avaliações", "a 1 2 avaliações"]
-    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
-    text = df.select("i", normalize_dump("s").alias("t"))
-    whole = re.compile(
-        r"([^|\n]+?)\s+(?:Local Guide·\s*)?(\d+)\s+avaliaç(?:ões|ão)(?:·(\d+)\s+fotos)?", re.I
-    )
-    found = text.select("i", "t", parse.find_headers("t").alias("h")).collect()
-    assert sum(len(r.h) for r in found) > 1000
-    for r in found:
-        want = [(m[1].strip(), m[2], m[3] or "") for m in whole.finditer(r.t)]
-        assert [tuple(h) for h in r.h] == want, r.t
+def test_headers_and_bodies(spark):
+    """Where a name can and cannot start, one case each: headers, then messages."""
+    cases = {
+        "Zé 5 avaliações bom": ([("Zé", "5", "")], ["bom"]),
+        " 5 avaliações": ([], []),
+        "  5 avaliações": ([("", "5", "")], [""]),
+        "\n  5 avaliações": ([("", "5", "")], [""]),
+        "a\n\n 5 avaliações": ([("a", "5", "")], [""]),
+        "a 5 avaliações 6 avaliações": ([("a", "5", "")], ["6 avaliações"]),
+        "a 5 avaliações  6 avaliações": ([("a", "5", ""), ("", "6", "")], ["", ""]),
+        "a 1 2 avaliações": ([("a 1", "2", "")], [""]),
+        "Rui Local Guide· 7 AVALIAÇÕES·2 fotos sim": ([("Rui", "7", "2")], ["sim"]),
+        "x | Eva 1 avaliação·1 foto não\nIvo 2 avaliações já": (
+            [("Eva", "1", ""), ("Ivo", "2", "")], ["·1 foto não", "já"]),
+        "a 1 avaliação um | dois": ([("a", "1", "")], ["um  /  dois"]),
+        "sem nada": ([], []),
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, s string")
+    text = df.select("i", normalize_dump("s").alias("dump"))
+    found = text.orderBy("i").select(parse.find_headers("dump")).collect()
+    assert [[tuple(h) for h in r[0]] for r in found] == [h for h, _ in cases.values()]
     bodies = {}
-    for r in parse.parse_dumps(text.withColumnRenamed("t", "dump")).collect():
+    for r in sorted(parse.parse_dumps(text).collect(), key=lambda r: (r.i, r.review_no)):
         bodies.setdefault(r.i, []).append(r.message)
-    for r in found:
-        ms = list(whole.finditer(r.t))
-        ends = [m.start() for m in ms[1:]] + [len(r.t)]
-        raw = [r.t[m.end() : e].lstrip(" |").strip() for m, e in zip(ms, ends)]
-        squeezed = [re.sub(r"\n{2,}", "\n", re.sub(r"[ \t]+", " ", b)).strip() for b in raw]
-        assert bodies.get(r.i, []) == [b.replace("|", " / ").strip() for b in squeezed]
+    assert [bodies.get(i, []) for i in range(len(cases))] == [b for _, b in cases.values()]
 
 
 def test_comments_parse_like_their_dump(spark):

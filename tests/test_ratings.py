@@ -9,8 +9,8 @@ from test_text import apply
 
 def test_parse_rating(spark):
     cases = {
-        "4.7/5": 4.7, "4,7/5": 4.7, "3/5": 3.0, "5/5": 5.0, "0/5": 0.0, "4.7": 4.7, "3": 3.0,
-        None: None, "": None, "20": 1.0, "100": 5.0, "87": 87 / 20.0, "1000": 5.0,
+        "1.9/5": 1.9, "2,3/5": 2.3, "4/5": 4.0, "5,0": 5.0, "0": 0.0, "3.1": 3.1, "1": 1.0,
+        None: None, "": None, "40": 2.0, "100,0": 5.0, "61": 61 / 20.0, "4321": 5.0,
         "5.5": 5.5 / 20, "10/10": 0.5, "-3": 3.0, "nota 4": 4.0, "n/d": None, "  2 ": 2.0,
     }
     assert apply(spark, R.parse_rating, cases) == list(cases.values())
@@ -18,11 +18,11 @@ def test_parse_rating(spark):
 
 def test_message_ratings(spark):
     cases = {
-        "Comida: 4,5/5 | Serviço: 3/5 | Ambiente: 5/5": [4.5, 3.0, 5.0],
-        "nota 4.7/5 e depois 4/5": [4.7, 4.0],
-        "sem notas": [],
-        "limites 5/5 e 0/5 são válidos": [5.0, 0.0],
-        "fora dos limites 6/5 deve ignorar": [],
+        "sala 2,5/5, quarto 1/5; vista 4/5": [2.5, 1.0, 4.0],
+        "de 3.3/5 para 2/5": [3.3, 2.0],
+        "nada aqui": [],
+        "0/5 antes, 5/5 agora": [0.0, 5.0],
+        "9/5 e 5,1/5": [],
         None: [],
         "": [],
         "3/50": [3.0],
