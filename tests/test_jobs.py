@@ -1,3 +1,5 @@
+import tempfile
+
 import pandas as pd
 import pytest
 
@@ -104,11 +106,23 @@ def test_eda_job_without_files(spark, tmp_path):
         assert jobs.eda_job(spark, str(tmp_path), str(tmp_path / "p")) is None
 
 
-def test_scratch_dir_is_under_the_sessions_folder(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    first, second = scratch_dir(spark), scratch_dir(spark)
-    assert first != second
-    assert first.startswith(base or spark.conf.get("spark.checkpoint.dir"))
+class Session:
+    """What ``scratch_dir`` asks a session for."""
+
+    def __init__(self, master, **settings):
+        self.conf = settings
+        self.sparkContext = self
+        self.master = master
+
+
+def test_scratch_dir_is_under_the_sessions_folder():
+    shared = {"spark.checkpoint.dir": "hdfs://x/y/"}
+    first, second = (scratch_dir(Session("yarn", **shared)) for _ in range(2))
+    assert first != second and first.startswith("hdfs://x/y/")
+    assert scratch_dir(Session("local[4]")).startswith(tempfile.gettempdir())
+    for master in ("yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError):
+            scratch_dir(Session(master))
 
 
 def test_streams_take_new_files_once(spark, tmp_path):
