@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -25,12 +26,9 @@ def scratch(spark: SparkSession) -> str:
     """
     base = spark.conf.get(_SETTING, None)
     if not base:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or (
-            "cluster" in spark.sparkContext.master
-        ):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError(f"set {_SETTING} to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="reviewlib-llm-")
-        spark.conf.set(_SETTING, base)
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
