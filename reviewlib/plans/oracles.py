@@ -24,6 +24,23 @@ _VIEWS = {
 # RE2 has no Unicode \\s: the whitespace set spelled out.
 _WS = r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
+# Ratings, links and headers, stated here once more so that a slip on either side shows.
+_DUMP_RATING = r"(\d+(?:[.,]\d+)?) */ *5\b"
+_MESSAGE_RATING = rf"(\d+(?:[.,]\d+)?)[{_WS}]*/[{_WS}]*5"
+_FIRST_NUMBER = r"(\d+(?:[.,]\d+)?)"
+_SUBRATINGS = rf"Comida:[{_WS}]*\d+(?:[.,]\d+)?[{_WS}]*/[{_WS}]*5[^\n]*\n?\z"
+_LINK = rf"http[^{_WS}]+"
+_WEB_LINK = rf"https?://[^{_WS}]+"
+# the whole header, name first, as one pattern
+_HEADER = (
+    rf"(?i)([^|\n]+?)[{_WS}]+(?:Local Guide·[{_WS}]*)?(\d+)[{_WS}]+avaliaç(?:ões|ão)"
+    rf"(?:·(\d+)[{_WS}]+fotos)?"
+)
+_NOISE = (
+    "Passe o cursor para reagir",
+    rf"Ofner[{_WS}]*-[{_WS}]*Perdizes[{_WS}]*\(proprietário\)[^\n]*",
+)
+
 
 def _q(s: str) -> str:
     return "'" + s.replace(P.WS, _WS).replace("'", "''") + "'"
@@ -46,19 +63,19 @@ def _filled(e: str) -> str:
 
 
 def _basic_clean(e: str) -> str:
-    return _strip(f"lower({_sub(_sub(_strip(_filled(e)), P.WEB_URL, ' '), P.SPACES, ' ')})")
+    return _strip(f"lower({_sub(_sub(_strip(_filled(e)), _WEB_LINK, ' '), P.SPACES, ' ')})")
 
 
 def _clean_message(e: str, emojis: bool = False) -> str:
     s = _filled(e) if emojis else _sub(_filled(e), P.EMOJI, "")
     s = _sub(s, rf"[{P.WS}]*/[{P.WS}]*", " / ")
-    s = _sub(s, P.SUBRATING_BLOCK, "", "gi")
-    s = _sub(s, P.ANY_URL, " ")
+    s = _sub(s, _SUBRATINGS, "", "gi")
+    s = _sub(s, _LINK, " ")
     return _strip(_sub(s, P.SPACES, " "))
 
 
 def _parse_rating(e: str) -> str:
-    v = _number(f"regexp_extract({_filled(e)}, {_q(P.FIRST_NUMBER)}, 1)")
+    v = _number(f"regexp_extract({_filled(e)}, {_q(_FIRST_NUMBER)}, 1)")
     return (
         f"CASE WHEN {v} <= 5 THEN {v} WHEN {v} <= 100 THEN {v} / 20.0::DOUBLE "
         f"WHEN {v} IS NOT NULL THEN 5.0::DOUBLE END"
@@ -66,7 +83,7 @@ def _parse_rating(e: str) -> str:
 
 
 def _message_ratings(e: str) -> str:
-    found = f"regexp_extract_all({_filled(e)}, {_q(P.MESSAGE_RATING)}, 1)"
+    found = f"regexp_extract_all({_filled(e)}, {_q(_MESSAGE_RATING)}, 1)"
     return (
         f"list_filter(list_transform({found}, lambda z: {_number('z')}), "
         "lambda v: v BETWEEN 0 AND 5)"
@@ -102,17 +119,12 @@ def _normalize_dump(e: str) -> str:
     return _sub(_sub(e, r"\r\n?", "\n"), rf"[{P.WS}]*\|[{P.WS}]*", " | ")
 
 
-_FORMAT = P.DumpFormat()
-# the whole header, name first, as one pattern
-_HEADER = r"(?i)([^|\n]+?)" + _FORMAT.header
-
-
 def _headers(e: str, k: int) -> str:
     return f"regexp_extract_all({e}, {_q(_HEADER)}, {k})"
 
 
 def _dump_rating(e: str) -> str:
-    found = f"regexp_extract_all({e}, {_q(P.DUMP_RATING)}, 1)"
+    found = f"regexp_extract_all({e}, {_q(_DUMP_RATING)}, 1)"
     found = f"list_transform({found}, lambda z: {_number('z')})"
     return (
         f"CASE WHEN len({found}) > 0 THEN printf('%.1f', list_sum({found}) / len({found})) "
@@ -121,7 +133,7 @@ def _dump_rating(e: str) -> str:
 
 
 def _clean_dump(e: str) -> str:
-    for pattern in _FORMAT.noise:
+    for pattern in _NOISE:
         e = _sub(e, pattern, "", "gis")
     return _strip(_sub(_sub(e, r"[ \t]+", " "), r"\n{2,}", "\n"))
 
@@ -182,7 +194,7 @@ _LABELED_RAW = _LABELED.replace("SEARCHED", "raw")
 _EDA = f"""SELECT review_id, name, rating, number_of_photos, message, rating_raw,
   {_photos("number_of_photos")} AS number_of_photos_norm,
   CAST(length(message) AS INTEGER) AS len_chars, {_words("message")} AS len_words,
-  coalesce(regexp_matches(message, {_q(P.HAS_URL)}, 'i'), false) AS has_url
+  coalesce(regexp_matches(message, {_q('https?://')}, 'i'), false) AS has_url
 FROM (SELECT review_id, {_strip(_filled("name"))} AS name, {_coerce("rating")} AS rating,
         number_of_photos, {_strip(_filled("message"))} AS message, rating AS rating_raw
       FROM reviews)"""
@@ -312,7 +324,7 @@ _add(
 _add(
     "clean_model_text",
     "SELECT review_id, "
-    + _strip(_sub(_sub(_sub("message", P.ANY_URL, " "), P.MENTION, " "), P.HASHTAG, " "))
+    + _strip(_sub(_sub(_sub("message", _LINK, " "), P.MENTION, " "), P.HASHTAG, " "))
     + " AS message FROM reviews",
 )
 _add(
