@@ -44,6 +44,11 @@ def _tokens_sql() -> str:
     return f"filter(split({bare}, r'[\\t-\\r ]+'), t -> t != '')"
 
 
+def word_cutter() -> SQLTransformer:
+    """The stage from ``_text`` to ``_tokens``."""
+    return SQLTransformer(statement=f"SELECT *, {_tokens_sql()} AS _tokens FROM __THIS__")
+
+
 def classifier_stages(cfg: TrainConfig = TrainConfig()) -> Pipeline:
     """Untrained stages over ``_tokens``, ``label_id`` and ``weight``. The vocabulary holds at
     most ``num_words - 2`` words, which bounds the model and what the driver sees of it."""
@@ -87,7 +92,7 @@ def train_classifier(
     else:
         rows = rows.withColumn("weight", F.lit(1.0))
     rows = rows.withColumn("label_id", F.col("label_id").cast("double"))
-    cut = SQLTransformer(statement=f"SELECT *, {_tokens_sql()} AS _tokens FROM __THIS__")
+    cut = word_cutter()
     words = cut.transform(rows).drop(_TEXT)
     if scratch:
         words.write.parquet(scratch)

@@ -100,7 +100,7 @@ def test_vocabulary_and_sequences(spark):
 
 def test_pipeline_words_are_the_vectorisers(spark):
     df = spark.createDataFrame([("B b, a! É 'x' [y]\\ z_w\t\n{q}~`^",), ("",)], "_text string")
-    stage = classifier.classifier_stages().getStages()[0]
+    stage = classifier.word_cutter()
     assert [r["_tokens"] for r in stage.transform(df).collect()] == [
         r[0] for r in df.select(vocabulary.tokens("_text")).collect()
     ]
