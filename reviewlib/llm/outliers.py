@@ -27,8 +27,9 @@ FLOORS = (0.25, 0.004, 0.06, 0.04)
 
 _GROUP = ("g_lang", "g_source")
 _X = tuple(f"x{i}" for i in range(len(FLOORS)))
-# Values are ranked in bins of this width, counted exactly.
-_BIN = 1 / 4096
+# Values are ranked in bins, counted exactly: so many for each time that a value grows by e. A group has
+# a few thousand bins at most, however many rows.
+_BINS = 512
 
 
 def _repeat_words(words: Column) -> Column:
@@ -117,15 +118,15 @@ def _vector() -> list[Column]:
     ]
 
 
-def _quantile(rows: DataFrame, value: str, share: float, out: str) -> DataFrame:
+def _quantile(rows: DataFrame, value: str, share: float, out: str, unit: float = 1.0) -> DataFrame:
     """Per group, the upper end of the first bin at which ``share`` of its rows is reached. Rows are
     counted per bin first, so neither the group nor its order goes through one task."""
-    bins = rows.groupBy(*_GROUP, F.floor(F.col(value) / _BIN).alias("bin")).agg(F.count("*").alias("n"))
+    bins = rows.groupBy(*_GROUP, F.floor(F.log1p(F.col(value) / unit) * _BINS).alias("bin")).agg(F.count("*").alias("n"))
     up_to = Window.partitionBy(*_GROUP).orderBy("bin")
     every = Window.partitionBy(*_GROUP)
     ranked = bins.withColumn("upto", F.sum("n").over(up_to)).withColumn("all", F.sum("n").over(every))
     reached = ranked.filter(F.col("upto") >= F.col("all") * share)
-    return reached.groupBy(*_GROUP).agg(((F.min("bin") + 1) * _BIN).alias(out))
+    return reached.groupBy(*_GROUP).agg((F.expm1((F.min("bin") + 1) / _BINS) * unit).alias(out))
 
 
 def _distance() -> Column:
@@ -180,7 +181,7 @@ def minimum_covariance(rows: DataFrame) -> DataFrame:
     """
     start = rows
     for i, x in enumerate(_X):
-        start = start.join(_quantile(rows, x, 0.5, f"q{i}"), list(_GROUP))
+        start = start.join(_quantile(rows, x, 0.5, f"q{i}", FLOORS[i]), list(_GROUP))
     away = [F.pow((F.col(x) - F.col(f"q{i}")) / FLOORS[i], 2) for i, x in enumerate(_X)]
     near = start.withColumn("d", sum(away[1:], away[0]))
     half = _quantile(near, "d", 0.5, "reach")
