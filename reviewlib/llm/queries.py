@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 
-import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,11 +63,6 @@ LEFT JOIN (SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a) AS m USING (do
 """
 
 
-def _crc32_of_ids(rows: pa.Array) -> pa.Array:
-    found = [zlib.crc32(row.values.to_numpy().astype("<u4").tobytes()) for row in rows]
-    return pa.array(np.array(found, np.int64))
-
-
 @query
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, written as files and read back: place, length and checksum of each."""
@@ -78,9 +70,8 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         tokenizer = file.read()
     path = scratch(spark)
     token_files.write(table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
-    found = token_files.read(spark, path)
-    crc = F.arrow_udf(_crc32_of_ids, "long")
-    return found.select("doc_id", "start", "n_tokens", crc("ids").alias("ids_crc32"))
+    found = token_files.read(spark, path, packed=True)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 @query

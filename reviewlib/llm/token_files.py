@@ -7,7 +7,7 @@ length of its code). ``blocks`` has a row per block of neighbouring documents, i
     part, block   number of the range of ids, and of the block in it
     doc_ids       the documents, ascending
     counts        their numbers of ids
-    n             ids in the block
+    n, earlier    ids in the block, and in the blocks before it in its part
     checkpoints   the bit at which each stretch starts: of each document in turn every
                   ``STRIDE``-th id, from its first
     data          the codes, first bit first; a document starts at a byte
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlib.llm.common import bin_of, id_and_text, scratch, slices
@@ -35,7 +35,7 @@ STRIDE = 256
 # Ids that a block gathers before it is closed; a longer document is a block of its own.
 BLOCK = 1 << 18
 # Pieces of text whose ids a task remembers.
-_CACHE = 300_000
+_CACHE = 600_000
 
 
 # -- codes -----------------------------------------------------------------------------
@@ -141,8 +141,8 @@ class Ids:
     """Ids of texts by the tokenizers library; one per task.
 
     A byte-level tokenizer cuts a text by its published pattern before it looks at its vocabulary.
-    That pattern never crosses a blank after something else than white space, nor punctuation after an
-    ASCII letter. So pieces cut there have the ids that they have in the text, and each different
+    That pattern never crosses a blank after something else than white space, punctuation after an
+    ASCII letter, or either side of a lone line end. So pieces cut there have the ids that they have in the text, and each different
     piece is encoded once and remembered. Another tokenizer gets whole texts.
     """
 
@@ -200,20 +200,32 @@ class Ids:
 
     def _learn(self, data: np.ndarray, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Pieces that start with one blank and do not end with white space can follow each other in
-        one text; its ids are told apart by the bytes they stand for."""
+        one text, and those that start with a letter can with a line end after each; the ids
+        are told apart by the bytes they stand for. Others are encoded one by one."""
         last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
-        plain = (data[starts] == 32) & (ends - starts > 2)
-        plain &= ~self.coder.space[data[np.minimum(starts + 1, len(data) - 1)]]
-        plain &= ((last < 128) & ~self.coder.space[last] & (last > 32)) | ((last >= 128) & (before == 0xC3))
-        if plain.any():
-            text = b"".join(bytes(data[a:b]) for a, b in zip(starts[plain].tolist(), ends[plain].tolist()))
-            own = text.decode()
-            if not any(t in text for t in self.added):
-                ids = self._encode([own])[0]
-                upto = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(ends[plain] - starts[plain])) + 1
-                self._keep(codes[plain].tolist(), ids, np.diff(upto, prepend=0))
-            else:
-                plain[:] = False
+        closed = ((last < 128) & (last > 32)) | ((last >= 128) & (before == 0xC3) & (ends - starts > 1))
+        blank = (data[starts] == 32) & (ends - starts > 2) & closed
+        blank &= ~self.coder.space[data[np.minimum(starts + 1, len(data) - 1)]]
+        word = self.letter[data[starts]] & closed
+        plain = blank | word
+        for kind, gap in ((blank, 0), (word, 1)):
+            if not kind.any():
+                continue
+            first, size = starts[kind], (ends - starts)[kind]
+            upto = np.cumsum(size + gap)
+            place = np.repeat(first - (upto - size - gap), size + gap) + np.arange(upto[-1])
+            text = data[np.minimum(place, len(data) - 1)]
+            if gap:
+                text[upto - 1] = 10
+            text = text.tobytes()
+            if any(t in text for t in self.added):
+                plain &= ~kind
+                continue
+            ids = self._encode([text.decode()])[0]
+            stop = np.searchsorted(np.cumsum(self.bytes[ids]), upto) + 1
+            if gap:
+                ids = np.delete(ids, stop - 1)
+            self._keep(codes[kind].tolist(), ids, np.diff(stop, prepend=0) - gap)
         rest = ~plain
         if rest.any():
             pieces = [bytes(data[a:b]).decode() for a, b in zip(starts[rest].tolist(), ends[rest].tolist())]
@@ -236,19 +248,29 @@ class Ids:
         whole = data.tobytes()
         if not any(t in whole for t in self.added):
             cut[1:-1] |= self.sign[data[1:]] & self.letter[data[:-1]]
+            solid = ~self.coder.space[data]
+            lone = np.flatnonzero((data[1:-1] == 10) & solid[:-2] & solid[2:]) + 1
+            cut[lone] = cut[lone + 1] = True
         cut[offsets] = True
         edges = np.flatnonzero(cut)
         starts, ends = edges[:-1], edges[1:]
-        values, first, back = np.unique(
-            self.coder.codes(data, starts, ends), return_index=True, return_inverse=True
-        )
+        codes = self.coder.codes(data, starts, ends)
+        order = np.argsort(codes)
+        ascending = codes[order]
+        new = np.append(True, ascending[1:] != ascending[:-1])
+        first, values = order[new], ascending[new]
+        back = np.empty(len(codes), np.int64)
+        back[order] = np.cumsum(new) - 1
         if len(self.row) > _CACHE:
             self._forget()
-        new = np.array([c not in self.row for c in values.tolist()])
-        if new.any():
-            at = first[new]
-            self._learn(data, values[new], starts[at], ends[at])
-        rows = np.array([self.row[c] for c in values.tolist()])[back]
+        known = self.row.get
+        rows = np.array([known(c, -1) for c in values.tolist()])
+        missing = rows < 0
+        if missing.any():
+            at = first[missing]
+            self._learn(data, values[missing], starts[at], ends[at])
+            rows[missing] = [self.row[c] for c in values[missing].tolist()]
+        rows = rows[back]
         wide = self.size[rows]
         total = np.cumsum(np.append(0, wide))
         place = np.repeat(self.begin[rows] - total[:-1], wide) + np.arange(total[-1])
@@ -311,7 +333,7 @@ def id_counts(packed: DataFrame, width: str) -> DataFrame:
 # -- files -----------------------------------------------------------------------------
 
 _BLOCKS = (
-    "part int, block int, doc_ids array<long>, counts array<long>, n long, "
+    "part int, block int, doc_ids array<long>, counts array<long>, n long, earlier long, "
     "checkpoints array<long>, data binary"
 )
 
@@ -351,12 +373,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ("doc_ids", pa.list_(pa.int64())),
             ("counts", pa.list_(pa.int64())),
             ("n", pa.int64()),
+            ("earlier", pa.int64()),
             ("checkpoints", pa.list_(pa.int64())),
             ("data", pa.binary()),
         ]
     )
 
-    def closed(part: int, number: int, rows: list) -> pa.RecordBatch:
+    def closed(part: int, number: int, rows: list, earlier: int) -> pa.RecordBatch:
         bases = np.cumsum([0, *(8 * len(r["data"]) for r in rows)])
         at = np.concatenate([np.array(r["checkpoints"], np.int64) + b for r, b in zip(rows, bases)])
         row = {
@@ -365,22 +388,24 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "doc_ids": [r["doc_id"] for r in rows],
             "counts": [r["n"] for r in rows],
             "n": sum(r["n"] for r in rows),
+            "earlier": earlier,
             "checkpoints": at,
             "data": b"".join(r["data"] for r in rows),
         }
         return pa.RecordBatch.from_pylist([row], schema)
 
-    part, number, rows, n = None, 0, [], 0
+    part, number, rows, n, earlier = None, 0, [], 0, 0
     for batch in batches:
         for row in batch.to_pylist():
             if rows and (row["part"] != part or n + row["n"] > BLOCK):
-                yield closed(part, number, rows)
-                number, rows, n = (number + 1 if row["part"] == part else 0), [], 0
+                yield closed(part, number, rows, earlier)
+                number, earlier = (number + 1, earlier + n) if row["part"] == part else (0, 0)
+                rows, n = [], 0
             part = row["part"]
             rows.append(row)
             n += row["n"]
     if rows:
-        yield closed(part, number, rows)
+        yield closed(part, number, rows, earlier)
 
 
 def write(
@@ -421,49 +446,39 @@ def write(
     ordered.mapInArrow(_blocks, _BLOCKS).write.parquet(f"{path}/blocks")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids`` of every document."""
-    # the book has at most the vocabulary
+def read(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
+    """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids`` of every document;
+    ``ids`` is an array or, if ``packed``, unsigned 32-bit numbers, the lowest byte first. No shuffle."""
+    # the book has at most the vocabulary, and there are as many parts as shuffle partitions
     rows = spark.read.parquet(f"{path}/book").orderBy("id").collect()
     book = Book(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64))
     blocks = spark.read.parquet(f"{path}/blocks")
+    first, seen = {}, 0
+    for part, n in blocks.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():
+        first[part], seen = seen, seen + n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                part, block, doc_ids, counts, _, checkpoints, data = (c[row] for c in batch.columns)
+                part, _, doc_ids, counts, _, earlier, checkpoints, data = (c[row] for c in batch.columns)
                 counts = counts.values.to_numpy(zero_copy_only=False)
-                sizes = np.full(len(checkpoints.values), STRIDE, np.int64)
-                ends = np.cumsum(-(-counts // STRIDE))
-                sizes[ends - 1] = counts - (-(-counts // STRIDE) - 1) * STRIDE
+                pieces = -(-counts // STRIDE)
+                sizes = np.full(int(pieces.sum()), STRIDE, np.int64)
+                sizes[np.cumsum(pieces) - 1] = counts - (pieces - 1) * STRIDE
                 at = checkpoints.values.to_numpy(zero_copy_only=False)
                 ids = book.decode(data.as_py(), at, sizes)
                 bounds = np.cumsum(np.append(0, counts))
-                n = len(counts)
+                if packed:
+                    ends = pa.array(4 * bounds, pa.int32())
+                    raw = pa.py_buffer(ids.astype("<u4").tobytes())
+                    column = pa.Array.from_buffers(pa.binary(), len(counts), [None, ends.buffers()[1], raw])
+                else:
+                    column = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
+                start = first[part.as_py()] + earlier.as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([part.as_py()] * n, pa.int32()),
-                        pa.array([block.as_py()] * n, pa.int32()),
-                        doc_ids.values,
-                        pa.array(bounds[:-1]),
-                        pa.array(counts),
-                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)),
-                    ],
-                    names=["part", "block", "doc_id", "before", "n_tokens", "ids"],
+                    [doc_ids.values, pa.array(start + bounds[:-1]), pa.array(counts), column],
+                    names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    found = blocks.mapInArrow(
-        run, "part int, block int, doc_id long, before long, n_tokens long, ids array<int>"
-    )
-    sizes = blocks.select("part", "block", "n")
-    # a row per range of ids: as many as there are shuffle partitions
-    totals = sizes.groupBy("part").agg(F.sum("n").alias("total"))
-    upto = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    first = totals.select("part", F.coalesce(F.sum("total").over(upto), F.lit(0)).alias("first"))
-    within = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("earlier", F.coalesce(F.sum("n").over(within), F.lit(0))).drop("n")
-    return (
-        found.join(starts, ["part", "block"])
-        .join(first, "part")
-        .select("doc_id", (F.col("first") + F.col("earlier") + F.col("before")).alias("start"), "n_tokens", "ids")
-    )
+    kind = "binary" if packed else "array<int>"
+    return blocks.mapInArrow(run, f"doc_id long, start long, n_tokens long, ids {kind}")
