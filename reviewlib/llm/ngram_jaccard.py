@@ -35,7 +35,7 @@ _SEND = 1 << 21
 _GROUP = 1 << 20
 _TAG = 64
 # Sets of a key that are compared in one place, and how many of them with all at a time.
-_BLOCK = 2048
+_BLOCK = 512
 _ROWS = 128
 
 
@@ -440,7 +440,10 @@ def similar_documents(
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    nodes = classes.groupBy("u").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
+    # as a table, so that joins with it start from an exchange whose hot keys Spark can split
+    nodes = stored(
+        classes.groupBy("u").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
+    )
     near = _plausible(pairs, nodes, percent)
     nearest = near.groupBy("u").agg(F.min_by("v", F.struct("apart", "v")).alias("v"))
     links = _links(stored(nearest), docs, width, percent)
