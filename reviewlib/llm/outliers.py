@@ -120,13 +120,14 @@ def _vector() -> list[Column]:
 
 def _quantile(rows: DataFrame, value: str, share: float, out: str, unit: float = 1.0) -> DataFrame:
     """Per group, the upper end of the first bin at which ``share`` of its rows is reached. Rows are
-    counted per bin first, so neither the group nor its order goes through one task."""
+    counted per bin first, so neither the group nor its order goes through one task. The result, a row
+    per group, is written, so that joins with it know its size and can split a hot group."""
     bins = rows.groupBy(*_GROUP, F.floor(F.log1p(F.col(value) / unit) * _BINS).alias("bin")).agg(F.count("*").alias("n"))
     up_to = Window.partitionBy(*_GROUP).orderBy("bin")
     every = Window.partitionBy(*_GROUP)
     ranked = bins.withColumn("upto", F.sum("n").over(up_to)).withColumn("all", F.sum("n").over(every))
     reached = ranked.filter(F.col("upto") >= F.col("all") * share)
-    return reached.groupBy(*_GROUP).agg((F.expm1((F.min("bin") + 1) / _BINS) * unit).alias(out))
+    return stored(reached.groupBy(*_GROUP).agg((F.expm1((F.min("bin") + 1) / _BINS) * unit).alias(out)))
 
 
 def _distance() -> Column:
@@ -226,7 +227,8 @@ def judge(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     fitted = stored(fitted)
     passed = fitted.filter(~F.col("base_failed"))
     large = passed.groupBy(*_GROUP).agg(F.count("*").alias("size")).filter(F.col("size") >= MIN_GROUP)
-    fit = minimum_covariance(passed.join(large.drop("size"), list(_GROUP), "left_semi"))
+    large = stored(large.drop("size"))
+    fit = stored(minimum_covariance(passed.join(large, list(_GROUP), "left_semi")))
     judged = fitted.join(fit, list(_GROUP), "left").withColumn("distance", _distance() / F.col("scale"))
     return judged.select(
         "doc_id",
