@@ -36,6 +36,11 @@ STRIDE = 256
 BLOCK = 1 << 18
 # Pieces of text whose ids a task remembers.
 _CACHE = 600_000
+# The UTF-8 bytes, as numbers, of the characters past ASCII that a pattern's \s takes.
+_SPACES = [
+    int.from_bytes(chr(c).encode())
+    for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+]
 
 
 # -- codes -----------------------------------------------------------------------------
@@ -142,8 +147,9 @@ class Ids:
 
     A byte-level tokenizer cuts a text by its published pattern before it looks at its vocabulary.
     That pattern never crosses a blank after something else than white space, punctuation after an
-    ASCII letter, or either side of a lone line end. So pieces cut there have the ids that they have in the text, and each different
-    piece is encoded once and remembered. Another tokenizer gets whole texts.
+    ASCII letter, or either side of a line end without other white space, ASCII or not, beside it. So
+    pieces cut there have the ids that they have in the text, and each different piece is encoded
+    once and remembered. Another tokenizer gets whole texts.
     """
 
     def __init__(self, tokenizer: str, end_id: int):
@@ -173,6 +179,8 @@ class Ids:
         self.sign[33:127] = True
         self.sign &= ~letters
         self.sign[48:58] = False
+        self.lead = np.zeros(256, bool)
+        self.lead[[0xC2, 0xE1, 0xE2, 0xE3]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -198,6 +206,19 @@ class Ids:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.int32) for x in found]
 
+    def _space(self, data: np.ndarray) -> np.ndarray:
+        """Which bytes are of white space as the pattern has it, that of other scripts too."""
+        space = self.coder.space[data]
+        at = np.flatnonzero(self.lead[data])
+        if len(at):
+            last = len(data) - 1
+            chars = data[np.minimum(at + np.arange(3)[:, None], last)].astype(np.int64)
+            two = np.isin((chars[0] << 8) | chars[1], _SPACES)
+            three = np.isin((chars[0] << 16) | (chars[1] << 8) | chars[2], _SPACES)
+            for k, found in enumerate((two | three, two | three, three)):
+                space[at[found] + k] = True
+        return space
+
     def _learn(self, data: np.ndarray, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Pieces that start with one blank and do not end with white space can follow each other in
         one text, and those that start with a letter can with a line end after each; the ids
@@ -244,11 +265,11 @@ class Ids:
         if not len(data):
             return np.tile(self.end, len(texts)), np.arange(len(texts) + 1)
         cut = np.zeros(len(data) + 1, bool)
-        cut[1:-1] = (data[1:] == 32) & ~self.coder.space[data[:-1]]
+        solid = ~self._space(data)
+        cut[1:-1] = (data[1:] == 32) & solid[:-1]
         whole = data.tobytes()
         if not any(t in whole for t in self.added):
             cut[1:-1] |= self.sign[data[1:]] & self.letter[data[:-1]]
-            solid = ~self.coder.space[data]
             lone = np.flatnonzero((data[1:-1] == 10) & solid[:-2] & solid[2:]) + 1
             cut[lone] = cut[lone + 1] = True
         cut[offsets] = True

@@ -37,6 +37,19 @@ def test_ids_are_the_librarys():
         assert ids[a:b].tolist() == tok.encode(text or "", add_special_tokens=False).ids + [2]
 
 
+SPACES = "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def test_ids_beside_white_space_past_ascii():
+    tok, draw = Tokenizer.from_str(JSON), np.random.default_rng(3)
+    marks = [*"\n\n  \t.!'é中", "foo", "bar", "'s", *SPACES, *"\xa0\xa0\xa0\u200b\u180e"]
+    texts = [f"foo{a}{s}{b}bar" for s in SPACES for a in ("\n", " ", "") for b in ("\n", " ", "\n ", "")]
+    texts += ["".join(draw.choice(marks, 8)) for _ in range(5_000)]
+    ids, bounds = token_files.Ids(JSON, 2)(pa.array(texts))
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
+        assert ids[a:b].tolist() == tok.encode(text, add_special_tokens=False).ids + [2], ascii(text)
+
+
 def test_ids_of_a_tokenizer_with_other_rules():
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         rules = file.read()
