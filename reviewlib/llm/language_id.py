@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,10 +15,8 @@ from reviewlib.llm.common import map_texts, quoted, stored
 from reviewlib.llm.samples import bounded_sample
 from reviewlib.llm.words import Coder
 
-# Parameters that bound the model: documents learned from per language, words and n-grams kept.
+# The parameter that bounds the model: documents learned from per language.
 SAMPLE = 5_000
-WORDS = 200_000
-GRAMS = 200_000
 SIZES = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
 # What a word or n-gram that a language has not shown counts there.
@@ -41,18 +40,22 @@ def folded(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")
 
 
-def _log_frequencies(counts, languages: list[str], key: str) -> tuple[list[str], np.ndarray]:
-    table = counts.pivot_table(index=key, columns="lang", values="n", aggfunc="sum", fill_value=0)
-    table = table.reindex(columns=languages, fill_value=0).sort_index()
-    values = table.to_numpy(np.float64) + _UNSEEN
-    return list(table.index), np.log(values / values.sum(0)).astype(np.float32)
+def _log_frequencies(counts: pa.Table, languages: list[str], key: str) -> tuple[pa.Array, np.ndarray]:
+    """Each ``key`` of ``counts`` (``lang``, ``key``, ``n``) once, ascending, and its log frequencies."""
+    names = counts[key].combine_chunks().dictionary_encode()
+    lang = pc.index_in(counts["lang"], pa.array(languages, pa.string())).to_numpy()
+    values = np.full((len(names.dictionary), len(languages)), _UNSEEN)
+    values[names.indices.to_numpy(), lang] += counts["n"].to_numpy()
+    order = pc.array_sort_indices(names.dictionary)
+    values = np.log(values / values.sum(0)).astype(np.float32)
+    return names.dictionary.take(order), values[order.to_numpy()]
 
 
 def fit(
     docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", sample: int = SAMPLE
 ) -> Model:
     """Counts words per language in at most about ``sample`` documents each, and the n-grams of the
-    counted words. The most frequent of either are kept, ties by language and word."""
+    counted words. All that were counted are kept, so no language is pushed out by the others."""
     known = docs.select(
         quoted(id).cast("long").alias("doc_id"),
         quoted(lang).cast("string").alias("lang"),
@@ -75,20 +78,17 @@ def fit(
     )
     grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
-    def most(df: DataFrame, key: str, limit: int):
-        return df.orderBy(F.desc("n"), "lang", key).limit(limit).toPandas()
-
-    word_counts, gram_counts = most(counts, "word", WORDS), most(grams, "gram", GRAMS)
-    languages = sorted(word_counts["lang"].unique())
+    # as many rows as the samples have words and n-grams, however many documents there are
+    word_counts, gram_counts = counts.toArrow(), grams.toArrow()
+    languages = sorted(pc.unique(word_counts["lang"]).to_pylist())
     if not languages:
         return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), {}, np.zeros((0, 0)))
     names, values = _log_frequencies(word_counts, languages, "word")
-    codes = np.concatenate([g.codes for g in Coder(lower=False).groups(pa.array(names))])
+    codes = np.concatenate([g.codes for g in Coder(lower=False).groups(names)])
     order = np.argsort(codes)
     grams_kept, gram_values = _log_frequencies(gram_counts, languages, "gram")
-    return Model(
-        languages, codes[order], values[order], {g: i for i, g in enumerate(grams_kept)}, gram_values
-    )
+    rows = {g: i for i, g in enumerate(grams_kept.to_pylist())}
+    return Model(languages, codes[order], values[order], rows, gram_values)
 
 
 class Scorer:

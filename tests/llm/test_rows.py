@@ -297,6 +297,18 @@ def test_languages(spark):
     assert language_id.predict(none(spark), model).collect() == []
 
 
+def test_a_small_language_is_not_pushed_out(spark):
+    letters = "abcdefghijklmnop"
+    many = ["".join(letters[n >> k & 15] for k in (0, 4, 8, 12, 16)) for n in range(210_000)]
+    texts = [" ".join(many[i::30]) for i in range(30)]
+    rows = [(i, texts[i % 30], "aa") for i in range(60)] + [(90, "zuwy wuzy tryz", "zz")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["aa", "zz"] and len(model.codes) == 210_003
+    tried = [(1, "zuwy tryz"), (2, "wuzys"), (3, many[7] + " " + many[-1])]
+    out = language_id.predict(documents(spark, tried), model).collect()
+    assert {r.doc_id: r.lang_pred for r in out} == {1: "zz", 2: "zz", 3: "aa"}
+
+
 def test_backing_off_takes_the_longest_known_grams():
     grams = np.log(np.array([[0.9, 0.1], [0.2, 0.8]]))
     model = language_id.Model(["x", "y"], np.zeros(1, np.uint64), np.zeros((1, 2), np.float32), {"abc": 0, "a": 1}, grams)
