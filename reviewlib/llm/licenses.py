@@ -5,6 +5,8 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,7 +70,7 @@ The above copyright notice and this permission notice shall be included in all c
 substantial portions of the Software."""
 _ISC_GRANT = """Permission to use, copy, modify, and/or distribute this software for any purpose with
 or without fee is hereby granted"""
-KNOWN = (
+_SHORT = (
     ("MIT", f"{_MIT_GRANT}\n{_WARRANTY}"),
     ("MIT", f"MIT License\n{_MIT_GRANT}\n{_WARRANTY}"),
     ("MIT", f"The MIT License (MIT)\n{_MIT_GRANT}\n{_WARRANTY}"),
@@ -81,6 +83,8 @@ KNOWN = (
     ("BSD-2-Clause", f"BSD 2-Clause License\n{_BSD_HEAD}\n{_BSD_WARRANTY}"),
     ("BSD-3-Clause", f"{_BSD_HEAD}\n{_BSD_THIRD}\n{_BSD_WARRANTY}"),
     ("BSD-3-Clause", f"BSD 3-Clause License\n{_BSD_HEAD}\n{_BSD_THIRD}\n{_BSD_WARRANTY}"),
+)
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -90,6 +94,27 @@ KNOWN = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
 )
+# Licence files as published, by the name of the licence.
+_FILES = Path(__file__).parent / "license_texts"
+# Long licences tell how to apply them after this line; copies often leave that out.
+_LAST = "END OF TERMS AND CONDITIONS"
+
+
+def _from_files() -> tuple[tuple[str, str], ...]:
+    """Each file whole, and up to the end of its terms."""
+    found = []
+    for path in sorted(_FILES.glob("*.txt")):
+        body = path.read_text(encoding="utf-8")
+        found.append((path.stem, body))
+        terms, last, _ = body.partition(_LAST)
+        if last:
+            found.append((path.stem, terms + last))
+            found.append((path.stem, terms))
+    return tuple(found)
+
+
+TEXTS = (*_SHORT, *_from_files())
+KNOWN = (*TEXTS, *NOTICES)
 
 # Punctuation, control characters and blanks, of lower-case text.
 _GAPS = "[\\x00-/:-`{-\\x7f“”‘’„«»–—…©®™ ]+"

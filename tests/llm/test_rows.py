@@ -353,5 +353,19 @@ def test_licences(spark):
     assert licenses.scan(none(spark), licenses.known_digests(spark)).collect() == []
 
 
+def test_every_whole_licence_file_is_found(spark):
+    files = {p.stem: p.read_text(encoding="utf-8") for p in licenses._FILES.glob("*.txt")}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0", "Unlicense", "Zlib", "BSL-1.0"} <= set(files)
+    texts, names = [], {}
+    for name, body in files.items():
+        odd = "Copyright (c) 2020 Somebody\n\n" + body.upper().replace(", ", " -- ").replace("\n", "\r\n")
+        filled = body.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2021 Somebody Else")
+        for text, want in ((body, name), (odd, name), (filled, name), (body + "\nand more", None), (body[:-200], None)):
+            texts.append((len(texts), text))
+            names[texts[-1][0]] = want
+    found = licenses.scan(documents(spark, texts), licenses.known_digests(spark)).collect()
+    assert {r.doc_id: r.license for r in found} == names
+
+
 def test_known_licences_differ(spark):
     assert licenses.known_digests(spark).count() == len({d for _, d in licenses.KNOWN})
