@@ -14,14 +14,16 @@ from reviewlib.llm import (
     histogram_shards,
     language_id,
     licenses,
+    neighbours,
     ngram_jaccard,
     outliers,
     pieces,
     quality,
     secret_automata,
+    simhash,
     token_files,
 )
-from reviewlib.llm.common import id_and_text, scratch, table
+from reviewlib.llm.common import id_and_text, scratch, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -190,4 +192,41 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
 
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of it edited: its second half replaced by the start of the
+    next document (descending ``doc_id``, cyclic); their likeness, and how many documents lie
+    within the search radius of its fingerprint (``n_near``, copies included, itself not)."""
+    docs = id_and_text(table(spark, sf_dir, "documents"))
+    order = [F.col("doc_id").isNull(), F.coalesce(F.bitwise_not("doc_id"), F.lit(0)), F.xxhash64("text")]
+    rows = neighbours.with_next(docs, order, ["text"])
+    n = F.coalesce(F.char_length("text"), F.lit(0))
+    half = F.floor(n / 2).cast("int")
+    body, following = F.coalesce("text", F.lit("")), F.coalesce("next_text", F.lit(""))
+    edited = F.concat(F.substring(body, 1, n - half), F.substring(following, 1, half))
+    made = simhash.add_fingerprints(
+        rows.select(
+            "doc_id",
+            n.cast("long").alias("n_chars"),
+            F.sha2(edited, 256).alias("edited_sha256"),
+            simhash.word_hashes(F.col("text")).alias("_t"),
+            simhash.word_hashes(edited).alias("_e"),
+            simhash.word_hashes(F.col("next_text")).alias("_n"),
+        ),
+        {"fp": "_t", "edited_fp": "_e", "next_fp": "_n"},
+    )
+    found = stored(made)
+    near = simhash.within(found.select("fp"))
+    return found.join(near, "fp").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        simhash.hex64(F.col("fp")).alias("fingerprint"),
+        simhash.hex64(F.col("edited_fp")).alias("edited_fingerprint"),
+        simhash.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        simhash.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        (F.col("n_near") + F.col("n") - 1).alias("n_near"),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
