@@ -14,6 +14,7 @@ from reviewlib.llm import (
     histogram_shards,
     language_id,
     licenses,
+    merkle,
     neighbours,
     ngram_jaccard,
     outliers,
@@ -229,4 +230,27 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot (per source), root and proof digest of every document; documents whose
+    decimal id has an even unsigned crc32 lose the line feeds of their text, and are folded
+    through their original proof, which verifies only if that changed nothing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    text = F.when(tampered, F.regexp_replace("text", "\n", "")).otherwise(F.col("text"))
+    changed = docs.withColumn("tampered_leaf", merkle.leaf(*(F.col(f) for f in fields[:-1]), text))
+    found = merkle.manifest(changed, "source", ["doc_id"], fields, carry=["doc_id", "tampered_leaf"])
+    folded = merkle.fold(F.col("tampered_leaf"), F.col("proof"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
