@@ -22,6 +22,7 @@ from reviewlib.llm import (
     quality,
     secret_automata,
     simhash,
+    spelling,
     token_files,
 )
 from reviewlib.llm.common import id_and_text, scratch, stored, table
@@ -230,6 +231,33 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of at least 7 code points seen at least twice, their near words (one edit), the
+    form they are a variant of (a near word seen ten times as often) and the root of forms."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    runs = docs.select("doc_id", F.explode(spelling.run_words(F.col("text"))).alias("run"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")))
+    n = F.char_length("run")
+    cut = (h % n).cast("int")
+    word = F.when(h % 31 == 0, F.concat(F.substring("run", 1, cut), F.substring("run", cut + 2, n))).otherwise(
+        F.col("run")
+    )
+    words = runs.select(word.alias("word")).filter(F.char_length("word") >= 7)
+    vocabulary = stored(words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= 2))
+    near = spelling.near_words(vocabulary)
+    forms = stored(
+        near.select(
+            "word",
+            "n",
+            "n_near",
+            F.when(F.col("best_n") >= 10 * F.col("n"), F.col("best")).alias("form"),
+            F.when(F.col("best_n") >= 10 * F.col("n"), F.col("best_n")).alias("form_n"),
+        )
+    )
+    return forms.join(spelling.roots(forms), "word").select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot (per source), root and proof digest of every document; documents whose
