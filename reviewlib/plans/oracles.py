@@ -291,15 +291,70 @@ _add(
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS nth FROM ({_FLAT}))
 WHERE nth <= {FLATTEN_MAX}""",
 )
-_add(
-    "page_elements",
-    f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, e AS element FROM (
-  SELECT page_id, unnest(range(1, len(es) + 1)) AS i, unnest(es) AS e FROM (
-    SELECT page_id, list_filter(list_transform(
-        regexp_extract_all(html, '(?s)<div class="ad"[^>]*>(.*?)</div>', 1),
-        lambda x: {_strip("replace(regexp_replace(x, '<[^>]*>', '', 'g'), chr(10), ' ')")}),
-      lambda x: x <> '') AS es FROM pages))""",
-)
+# Elements of pages, by a walk over tokens that carries the depth of the tag and a stack of open
+# wanted elements, one token a step (a recursive query). Stated here once more: markup white
+# space, block-level tags, entities.
+_SP = r" \t\n\x0b\x0c\r\x1c-\x1f"
+_BLOCKS = (
+    "address|article|aside|blockquote|br|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|"
+    "form|h1|h2|h3|h4|h5|h6|header|hr|li|main|nav|ol|p|pre|section|summary|table|tbody|td|tfoot|"
+    "th|thead|tr|ul"
+)
+_DECODED = "t"
+for _entity, _char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+                       ("&nbsp;", "\xa0"), ("&amp;", "&")]:
+    _DECODED = f"replace({_DECODED}, '{_entity}', '{_char.replace(chr(39), chr(39) * 2)}')"
+
+
+def _elements(tag: str, attribute: str | None = None, value: str | None = None) -> str:
+    wanted = (
+        "true"
+        if attribute is None
+        else f"""regexp_matches(t, '(?is)^<{tag}[{_SP}](.*[{_SP}])?{attribute}[{_SP}]*=[{_SP}]*("{value}"|''{value}''|{value}[{_SP}/>])')"""
+    )
+    return f"""WITH RECURSIVE tok AS (
+  SELECT page_id, unnest(toks) AS t, unnest(range(1, len(toks) + 1)) AS i, len(toks) AS n FROM (
+    SELECT page_id, regexp_extract_all(regexp_replace(coalesce(html, ''),
+      '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>', '', 'g'),
+      '<[A-Za-z/!?][^<>]*>|[^<]+|<') AS toks FROM pages)
+), kinds AS (
+  SELECT page_id, i, n,
+    regexp_matches(t, '(?is)^<{tag}([{_SP}/][^>]*)?>$') AND NOT regexp_matches(t, '/[{_SP}]*>$') AS opens,
+    regexp_matches(t, '(?is)^</{tag}[{_SP}]*>$') AS closes,
+    {wanted} AS wanted,
+    CASE WHEN regexp_matches(t, '^</?[A-Za-z][^>]*>$')
+      THEN CASE WHEN regexp_matches(t, '(?i)^</?({_BLOCKS})([{_SP}/][^>]*)?>$') THEN chr(10) ELSE '' END
+      ELSE {_DECODED} END AS piece
+  FROM tok
+), walk AS (
+  SELECT page_id, 0 AS i, 0 AS depth, []::STRUCT(s INTEGER, d INTEGER)[] AS stack, NULL::INTEGER AS closed,
+    max(n) AS n
+  FROM tok GROUP BY page_id
+  UNION ALL
+  SELECT w.page_id, k.i,
+    CASE WHEN k.opens THEN w.depth + 1 WHEN k.closes AND w.depth > 0 THEN w.depth - 1 ELSE w.depth END,
+    CASE WHEN k.opens AND k.wanted THEN list_append(w.stack, {{'s': k.i, 'd': w.depth + 1}})
+      WHEN k.closes AND len(w.stack) > 0 AND w.stack[len(w.stack)].d = w.depth THEN w.stack[1:len(w.stack) - 1]
+      ELSE w.stack END,
+    CASE WHEN k.closes AND len(w.stack) > 0 AND w.stack[len(w.stack)].d = w.depth THEN w.stack[len(w.stack)].s END,
+    w.n
+  FROM walk AS w JOIN kinds AS k ON k.page_id = w.page_id AND k.i = w.i + 1
+), spans AS (
+  SELECT page_id, closed AS s, i AS e FROM walk WHERE closed IS NOT NULL
+  UNION ALL
+  SELECT page_id, unnest(stack).s AS s, n + 1 AS e FROM walk WHERE i = n AND n > 0
+), texts AS (
+  SELECT sp.page_id, sp.s,
+    {_strip(f"regexp_replace(string_agg(k.piece, '' ORDER BY k.i), '[{_SP}]+', ' ', 'g')")} AS element
+  FROM spans AS sp LEFT JOIN kinds AS k ON k.page_id = sp.page_id AND k.i > sp.s AND k.i < sp.e
+  GROUP BY sp.page_id, sp.s, sp.e
+)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY s) - 1 AS INTEGER) AS pos, element
+FROM texts WHERE element <> ''"""
+
+
+ORACLES["page_elements"] = _elements("div", "class", "ad")
+ORACLES["page_articles"] = _elements("article")
 _add("dump_files", _parsed("source", _FLAT_DUMPS))
 _add("dump_file_pieces", _parsed("source", _FLAT_DUMPS))
 _PARSE_JOB = f"""SELECT {_null_tokens("name")} AS name, {_null_tokens("rating")} AS rating,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from reviewlib import functions as R
 from reviewlib import sources
+from reviewlib.sources.pages import elements
 from reviewlib.functions.patterns import LABELS, DumpFormat
 from reviewlib.operators import (
     classifier,
@@ -139,6 +140,15 @@ def page_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts of every ``<article>`` of every page, headings and paragraphs inside included."""
+    pages = views.table(spark, sf_dir, "pages")
+    return pages.select(
+        "page_id", F.posexplode(elements(F.col("html"), "article", None)).alias("pos", "element")
+    )
+
+
 def _dump_files(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark)
     sources.write_dumps(_comments(spark, sf_dir), path, "source", "doc_id", "comment")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewlib.functions.patterns import WS, DumpFormat, unicode
 from reviewlib.functions.text import flatten_comment
 from reviewlib.operators.ranking import first_per_group
+from reviewlib.sources.pages import elements
 
 # Fixed value: the class of a comment element.
 COMMENT_CLASS = "bwb7ce"
@@ -94,10 +95,6 @@ def page_elements(
     tag: str = "div",
     max_comments: int | None = None,
 ) -> Column:
-    """Texts of a page's ``<tag class="css_class">`` elements: tags stripped, on one line,
-    trimmed, blanks dropped, all or the first ``max_comments``. Elements must not nest."""
-    pattern = rf'(?s)<{tag}[{WS}]+class="{css_class}"[^>]*>(.*?)</{tag}>'
-    raw = F.regexp_extract_all(html, F.lit(unicode(pattern)), F.lit(1))
-    texts = F.transform(raw, lambda e: flatten_comment(F.regexp_replace(e, "<[^>]*>", "")))
-    found = F.filter(texts, lambda t: t != "")
-    return found if max_comments is None else F.slice(found, 1, max_comments)
+    """Whole texts of a page's ``<tag class="css_class">`` elements, nested ones too, on one line,
+    trimmed, blanks dropped, all or the first ``max_comments``: see :func:`pages.elements`."""
+    return elements(html, tag, "class", css_class, max_comments)
