@@ -26,12 +26,15 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Features hashed per numpy step; each takes 64 bytes of votes.
-_STEP = 1 << 18
+_STEP = 1 << 15
+# Words of the texts that one call fingerprints at most (one text at least).
+_WORDS = 1 << 17
 # Fingerprints of one key and side that one task compares at most.
 CHUNK = 4096
 RADIUS = 3
@@ -124,10 +127,19 @@ def add_fingerprints(df: DataFrame, hashes: dict[str, str]) -> DataFrame:
     sources = list(hashes.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            made = [_batch_fingerprints(batch.column(batch.schema.get_field_index(s))) for s in sources]
-            yield pa.RecordBatch.from_arrays(columns + made, names=out.names)
+        for whole in batches:
+            at = [whole.schema.get_field_index(s) for s in sources]
+            words = sum(pc.list_value_length(whole.column(i)).fill_null(0).to_numpy(zero_copy_only=False) for i in at)
+            ends = np.cumsum(words) if len(words) else np.zeros(0, np.int64)
+            lo = 0
+            while lo < whole.num_rows:
+                before = ends[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(ends, before + _WORDS, side="right")))
+                batch = whole.slice(lo, hi - lo)
+                columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
+                made = [_batch_fingerprints(batch.column(i)) for i in at]
+                yield pa.RecordBatch.from_arrays(columns + made, names=out.names)
+                lo = hi
 
     return df.mapInArrow(run, out)
 
