@@ -17,7 +17,9 @@ from reviewlib.operators import (
     parse,
     prepare,
     profile,
+    sequence,
     split,
+    vocabulary,
 )
 from reviewlib.scratch import scratch_dir
 
@@ -184,6 +186,51 @@ def train_and_evaluate(
     return spark.read.schema(metrics.schema).json(f"{out}/metrics")
 
 
+def train_and_evaluate_sequences(
+    df: DataFrame,
+    cfg: classifier.TrainConfig = classifier.TrainConfig(),
+    seq: sequence.SequenceConfig = sequence.SequenceConfig(),
+    seq_len: int = 200,
+) -> DataFrame:
+    """Split and clean as :func:`train_and_evaluate`, build the vocabulary of the training side,
+    encode every text as ids, train the recurrent classifier with early stopping on the
+    validation side, and score the test side. One row: ``epochs_trained``, ``best_epoch``,
+    ``val_loss`` (of the kept weights), ``test_loss``, ``test_acc``, ``majority`` (share of the
+    most common label on the test side), ``labels``."""
+    spark = df.sparkSession
+    table = scratch_dir(spark)
+    split_and_clean(df, cfg).write.partitionBy("split").parquet(table)
+    rows = spark.read.parquet(table).withColumnRenamed(cfg.id_col, "id")
+    train_side = rows.filter(F.col("split") == "train")
+    words = vocabulary.build_vocabulary(train_side, cfg.text_col, seq.num_words)
+    encoded = vocabulary.encode_sequences(rows, words, "id", cfg.text_col, seq_len)
+    weights = split.class_weights(train_side, cfg.label_col).select("label_id", "weight")
+    labelled = (
+        rows.select("id", "split", split.encode_label(cfg.label_col).alias("label_id"), cfg.label_col)
+        .join(encoded, "id")
+        .join(F.broadcast(weights), "label_id", "left")  # one row per label
+    )
+    encoded_table = scratch_dir(spark)
+    labelled.write.partitionBy("split").parquet(encoded_table)
+    labelled = spark.read.parquet(encoded_table)
+    side = {s: labelled.filter(F.col("split") == s) for s in ("train", "val", "test")}
+    model = sequence.train(side["train"], side["val"], scratch_dir(spark), seq)
+    scored = sequence.predict_proba(model, side["test"].select("id", "ids", cfg.label_col))
+    scored = scored.withColumn("pred", classifier.most_likely("p"))
+    scores = evaluation.accuracy_and_loss(scored, cfg.label_col)
+    counts = side["test"].groupBy(cfg.label_col).count()
+    majority = counts.agg((F.max("count") / F.sum("count")).alias("majority"))
+    return scores.join(majority, how="inner").select(
+        F.lit(model.epochs_trained).alias("epochs_trained"),
+        F.lit(model.best_epoch).alias("best_epoch"),
+        F.lit(float(min(model.history)) if model.history else None).cast("double").alias("val_loss"),
+        "test_loss",
+        "test_acc",
+        "majority",
+        F.lit(list(LABELS)).alias("labels"),
+    )
+
+
 def train_job(
     spark: SparkSession,
     labeled: str,

@@ -25,6 +25,7 @@ from reviewlib.operators import (
     parse,
     prepare,
     profile,
+    sequence,
     split,
     vocabulary,
 )
@@ -680,6 +681,16 @@ def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SEQUENCE = sequence.SequenceConfig()
+
+
+@query
+def train_sequence_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recurrent classifier trained with early stopping: epochs, losses, test accuracy and
+    the share of the most common test label beside it."""
+    return jobs.train_and_evaluate_sequences(_sentences(spark, sf_dir), _CONFIG, _SEQUENCE)
+
+
 _METRICS = (
     "test_loss double, test_acc double, epochs_trained int, class_weight map<string,double>, "
     "labels array<string>"
