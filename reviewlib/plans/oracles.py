@@ -610,6 +610,39 @@ _add(
 FROM (SELECT label, count(*) AS n FROM ({_SPLIT}) WHERE split = 'train' GROUP BY label)""",
 )
 _add("build_vocabulary", _VOCABULARY)
+
+
+def _similar(rows: str) -> str:
+    """All pairs of TF-IDF vectors of ``rows`` (``id``, ``message``) with a cosine of 0.8 or more,
+    by joining every term with every other vector that has it."""
+    return f"""SELECT a.id AS a, b.id AS b, round(sum(a.w * b.w), 9) AS cosine FROM (
+  SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS w FROM (
+    SELECT id, term, tf * (ln((n + 1.0) / (df + 1.0)) + 1) AS raw FROM (
+      SELECT id, term, count(*) AS tf FROM (
+        SELECT id, unnest({_tokens("message")}) AS term FROM ({rows}) WHERE id IS NOT NULL)
+      GROUP BY id, term) AS c
+    JOIN (SELECT term, count(DISTINCT id) AS df FROM (
+        SELECT id, unnest({_tokens("message")}) AS term FROM ({rows}) WHERE id IS NOT NULL)
+      GROUP BY term) USING (term)
+    CROSS JOIN (SELECT count(DISTINCT id) AS n FROM (
+        SELECT id, unnest({_tokens("message")}) AS term FROM ({rows}) WHERE id IS NOT NULL)))) AS a
+JOIN (
+  SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS w FROM (
+    SELECT id, term, tf * (ln((n + 1.0) / (df + 1.0)) + 1) AS raw FROM (
+      SELECT id, term, count(*) AS tf FROM (
+        SELECT id, unnest({_tokens("message")}) AS term FROM ({rows}) WHERE id IS NOT NULL)
+      GROUP BY id, term) AS c
+    JOIN (SELECT term, count(DISTINCT id) AS df FROM (
+        SELECT id, unnest({_tokens("message")}) AS term FROM ({rows}) WHERE id IS NOT NULL)
+      GROUP BY term) USING (term)
+    CROSS JOIN (SELECT count(DISTINCT id) AS n FROM (
+        SELECT id, unnest({_tokens("message")}) AS term FROM ({rows}) WHERE id IS NOT NULL)))) AS b
+  ON a.term = b.term AND a.id < b.id
+GROUP BY a.id, b.id HAVING round(sum(a.w * b.w), 9) >= 0.8"""
+
+
+_add("similar_reviews", _similar("SELECT review_id AS id, message FROM reviews"))
+_add("similar_authors", _similar(f"SELECT lower({_strip('name')}) AS id, message FROM reviews"))
 _WEIGHTS = f"""SELECT label, n, round(CAST(sum(n) OVER () AS BIGINT) / CAST(3 * n AS DOUBLE), 9) AS weight
 FROM (SELECT label, count(*) AS n FROM ({_SPLIT}) WHERE split = 'train' GROUP BY label)"""
 _add(

@@ -26,6 +26,7 @@ from reviewlib.operators import (
     prepare,
     profile,
     sequence,
+    similarity,
     split,
     vocabulary,
 )
@@ -681,6 +682,26 @@ def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SIMILAR = 0.8
+
+
+@query
+def similar_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of reviews whose TF-IDF cosine is at least 0.8: the review similarity graph."""
+    reviews = _reviews(spark, sf_dir)
+    vectors = similarity.tfidf(similarity.term_counts(reviews, "review_id", "message"))
+    return similarity.similar_pairs(vectors, SIMILAR)
+
+
+@query
+def similar_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of authors (names trimmed, in lower case) whose reviews, counted together, have a
+    TF-IDF cosine of at least 0.8: the author similarity graph."""
+    reviews = _reviews(spark, sf_dir).select(F.lower(R.strip("name")).alias("author"), "message")
+    vectors = similarity.tfidf(similarity.term_counts(reviews, "author", "message"))
+    return similarity.similar_pairs(vectors, SIMILAR)
+
+
 _SEQUENCE = sequence.SequenceConfig()
 
 
