@@ -20,6 +20,7 @@ from reviewlib.sources.pages import elements
 from reviewlib.functions.patterns import LABELS, DumpFormat
 from reviewlib.operators import (
     classifier,
+    communities,
     evaluation,
     labeling,
     parse,
@@ -702,6 +703,16 @@ def similar_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.similar_pairs(vectors, SIMILAR)
 
 
+@query
+def review_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Communities of the review similarity graph (cosine as weight) by modularity moves: every
+    review with a link, and the least review of its community."""
+    pairs = similar_reviews(spark, sf_dir)
+    edges = pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.col("cosine").alias("w"))
+    found = communities.louvain(edges)
+    return found.select(F.col("node").alias("review_id"), "community")
+
+
 _SEQUENCE = sequence.SequenceConfig()
 
 
