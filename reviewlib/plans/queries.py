@@ -21,6 +21,7 @@ from reviewlib.functions.patterns import LABELS, DumpFormat
 from reviewlib.operators import (
     classifier,
     communities,
+    embeddings,
     evaluation,
     labeling,
     parse,
@@ -713,6 +714,14 @@ def review_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("node").alias("review_id"), "community")
 
 
+@query
+def word_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings of the 5,000 most frequent review words, from positive PMI of words at most two
+    apart and block power iteration; dimensions ordered by singular value, which come beside."""
+    values, vectors = embeddings.word_vectors(_reviews(spark, sf_dir), "review_id", "message")
+    return vectors.select("token", "vector", F.lit([float(v) for v in values]).alias("singular_values"))
+
+
 _SEQUENCE = sequence.SequenceConfig()
 
 
