@@ -100,7 +100,7 @@ def test_pipeline_of_empty_tables(spark, tmp_path):
 
 def test_one_query_for_each_operator():
     names = [q for q in entry.queries() if re.match(r"op\d+_", q)]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
