@@ -643,6 +643,14 @@ GROUP BY a.id, b.id HAVING round(sum(a.w * b.w), 9) >= 0.8"""
 
 _add("similar_reviews", _similar("SELECT review_id AS id, message FROM reviews"))
 _add("similar_authors", _similar(f"SELECT lower({_strip('name')}) AS id, message FROM reviews"))
+ORACLES["nearest_vectors"] = """SELECT query, CAST(rank AS INTEGER) AS rank, id, distance FROM (
+  SELECT query, id, distance, row_number() OVER (PARTITION BY query ORDER BY distance, id) AS rank FROM (
+    SELECT q.vec_id AS query, e.vec_id AS id, round(list_sum(list_transform(range(1, len(q.embedding) + 1),
+      lambda i: (CAST(e.embedding[i] AS DOUBLE) - CAST(q.embedding[i] AS DOUBLE))
+         * (CAST(e.embedding[i] AS DOUBLE) - CAST(q.embedding[i] AS DOUBLE)))), 9) AS distance
+    FROM embeddings AS q JOIN embeddings AS e ON q.vec_id <> e.vec_id
+    WHERE q.vec_id % 100 = 0 AND q.embedding IS NOT NULL AND e.embedding IS NOT NULL))
+WHERE rank <= 10"""
 _WEIGHTS = f"""SELECT label, n, round(CAST(sum(n) OVER () AS BIGINT) / CAST(3 * n AS DOUBLE), 9) AS weight
 FROM (SELECT label, count(*) AS n FROM ({_SPLIT}) WHERE split = 'train' GROUP BY label)"""
 _add(

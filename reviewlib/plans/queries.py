@@ -30,6 +30,7 @@ from reviewlib.operators import (
     sequence,
     similarity,
     split,
+    vector_index,
     vocabulary,
 )
 from reviewlib.plans import jobs, views
@@ -722,6 +723,18 @@ def word_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.select("token", "vector", F.lit([float(v) for v in values]).alias("singular_values"))
 
 
+@query
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest embeddings (squared distance) of every embedding whose id is a multiple of
+    100, among all, by an inverted-file index with exact re-ranking."""
+    rows = views.table(spark, sf_dir, "embeddings").filter(F.col("embedding").isNotNull())
+    vectors = rows.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    dims = len(vectors.select("v").first()["v"]) if vectors.take(1) else 0
+    index = vector_index.build(vectors, dims)
+    queries = vectors.filter(F.col("id") % 100 == 0).select(F.col("id").alias("query"), "v")
+    return vector_index.search(index, queries, dims)
+
+
 _SEQUENCE = sequence.SequenceConfig()
 
 
