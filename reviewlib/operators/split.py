@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -169,3 +171,76 @@ def class_weights(
             )
         )
     return counts.select(F.inline(F.array(*rows)))
+
+
+# Small groups are placed by a histogram of this many hash buckets.
+_BUCKETS = 4096
+SIDES = ("train", "val", "test")
+
+
+def grouped_split(
+    df: DataFrame,
+    group: str,
+    label: str = "label",
+    id: str = "review_id",
+    val: float = 0.15,
+    test: float = 0.15,
+    seed: int = 42,
+    labels: Sequence[str] = LABELS,
+    large: int | None = None,
+) -> DataFrame:
+    """Rows with a known label, plus ``split``, such that all rows of a group (an author) are on one
+    side and every class comes near its quotas (``1 - val - test``, ``val``, ``test``).
+
+    Groups are counted by class first (a hot group is one row). Groups of at least ``large`` rows
+    (default: a thousandth of all rows, so at most a thousand of them) go one by one, largest first,
+    to the side where they leave the smallest squared distance to the quotas. The others are dealt
+    by a seeded hash into ``4096`` buckets; a histogram of classes per bucket gives two cut points
+    that best meet what is left of the quotas, so each class misses its quota by at most the rows of
+    a bucket plus one large group. A row with a null group is a group by itself.
+    """
+    known = df.filter(F.col(label).isin(*labels))
+    key = F.coalesce(F.col(group).cast("string"), F.concat(F.lit("\u0000row:"), F.col(id).cast("string")))
+    keyed = known.withColumn("_group", key)
+    classes = [F.count_if(F.col(label) == name).alias(f"_n{i}") for i, name in enumerate(labels)]
+    groups = keyed.groupBy("_group").agg(F.count("*").alias("_n"), *classes)
+    totals = groups.agg(*(F.sum(f"_n{i}").alias(f"t{i}") for i in range(len(labels))), F.sum("_n").alias("t")).first()
+    if totals is None or not totals["t"]:
+        return known.withColumn("split", F.lit(None).cast("string")).limit(0)
+    shares = np.array([1 - val - test, val, test])
+    target = np.outer(shares, [totals[f"t{i}"] for i in range(len(labels))]).astype(float)
+    bound = large or max(1, totals["t"] // 1000)
+    big = groups.filter(F.col("_n") >= bound).orderBy(F.desc("_n"), "_group").collect()  # at most 1000
+    taken = np.zeros_like(target)
+    placed = []
+    for row in big:
+        counts = np.array([row[f"_n{i}"] for i in range(len(labels))], float)
+        costs = [((taken + np.eye(3)[s][:, None] * counts - target) ** 2).sum() for s in range(3)]
+        side = int(np.argmin(costs))
+        taken[side] += counts
+        placed.append((row["_group"], SIDES[side]))
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "_group"), F.lit(_BUCKETS)).cast("int")
+    small = groups.filter(F.col("_n") < bound).groupBy(bucket.alias("b")).agg(
+        *(F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(labels)))
+    )
+    hist = np.zeros((_BUCKETS, len(labels)))
+    for row in small.collect():  # at most 4096 rows
+        hist[row["b"]] = [row[f"_n{i}"] for i in range(len(labels))]
+    before = np.vstack([np.zeros(len(labels)), np.cumsum(hist, axis=0)])  # rows 0..B
+    left = target - taken
+    whole = before[-1]
+    best, cuts = None, (0, 0)
+    for a in range(_BUCKETS + 1):
+        train = before[a]
+        rest = before[a:] - train  # val if cut at b >= a
+        cost = ((train - left[0]) ** 2).sum() + ((rest - left[1]) ** 2).sum(1) + ((whole - train - rest - left[2]) ** 2).sum(1)
+        b = int(np.argmin(cost))
+        if best is None or cost[b] < best:
+            best, cuts = cost[b], (a, a + b)
+    spark = df.sparkSession
+    sides = spark.createDataFrame(placed, "_group string, _side string") if placed else None
+    by_hash = (
+        F.when(bucket < cuts[0], F.lit("train")).when(bucket < cuts[1], F.lit("val")).otherwise(F.lit("test"))
+    )
+    rows = keyed.join(F.broadcast(sides), "_group", "left") if sides is not None else keyed.withColumn("_side", F.lit(None).cast("string"))
+    return rows.select(*df.columns, F.coalesce("_side", by_hash).alias("split"))

@@ -735,6 +735,20 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_index.search(index, queries, dims)
 
 
+@query
+def grouped_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled reviews split with every author (name trimmed, lower case) on one side: per side
+    and label the rows and authors, and how many authors are on more than one side (none)."""
+    reviews = _reviews(spark, sf_dir).select("review_id", F.lower(R.strip("name")).alias("author"))
+    rows = _sentences(spark, sf_dir).join(reviews, F.col("doc_id") == F.col("review_id")).drop("review_id")
+    found = split.grouped_split(rows, "author", "label", "doc_id")
+    sides = found.groupBy("author").agg(F.countDistinct("split").alias("sides"))
+    spread = sides.filter((F.col("sides") > 1) & F.col("author").isNotNull()).count()
+    return found.groupBy("split", "label").agg(
+        F.count("*").alias("rows"), F.countDistinct("author").alias("authors")
+    ).withColumn("authors_on_two_sides", F.lit(spread))
+
+
 _SEQUENCE = sequence.SequenceConfig()
 
 
