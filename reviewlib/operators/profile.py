@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from reviewlib.functions.text import named
 from reviewlib.operators.ranking import running_total
+from reviewlib.scratch import scratch_dir
 
 _QUARTILES = [0.25, 0.5, 0.75]
 
@@ -132,19 +133,22 @@ def _describe_numbers(df: DataFrame, position: dict[str, int]) -> DataFrame:
     )
 
 
-def number_summary(df: DataFrame, by: str, x: str, probabilities: list[float]) -> DataFrame:
+def number_summary(
+    df: DataFrame, by: str, x: str, probabilities: list[float], weight: str | None = None
+) -> DataFrame:
     """``count``, ``mean``, ``std``, ``min``, ``max`` and exact, linearly interpolated
     ``quantiles`` of a double column per ``by``, for few groups of any size. One pass.
 
     Spark's ``percentile`` holds every distinct value of a group in one task. Here values
     are counted, and ranked by running totals over value ranges. A sketch picks the
     ranges, of which there are more with more shuffle partitions; it only decides how even they
-    are, not the result.
+    are, not the result. With ``weight``, each row stands for that many values.
     """
+    counted = F.count("*") if weight is None else F.sum(weight)
     values = (
         df.filter(~F.isnan(x) & F.col(x).isNotNull())
         .groupBy(by, F.col(x).alias("_x"))
-        .agg(F.count("*").alias("_n"))
+        .agg(counted.alias("_n"))
     )
     ranges = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = [i / ranges for i in range(1, ranges)]
@@ -259,12 +263,16 @@ def box_statistics(df: DataFrame, by: str = "rating", column: str = "len_words")
     whiskers, the furthest values within 1.5 interquartile ranges of the box.
 
     Works on counts per distinct (``by``, ``column``), so hot ratings shrink before the
-    shuffle; quartiles are ranked as in :func:`number_summary`.
+    shuffle; quartiles are ranked as in :func:`number_summary`. The input is read once: the
+    counts are written to the scratch folder, and quartiles, whiskers and sizes come from them.
     """
     known = df.filter(F.col(by).isNotNull())
-    values = known.groupBy(by, column).agg(F.count(column).alias("n"))
-    cells = known.select(by, F.col(column).cast("double").alias("_value"))
-    boxes = number_summary(cells, by, "_value", _QUARTILES).select(
+    counted = known.groupBy(by, column).agg(F.count(column).alias("n"))
+    path = scratch_dir(df.sparkSession)
+    counted.write.parquet(path)
+    values = df.sparkSession.read.parquet(path)
+    cells = values.select(by, F.col(column).cast("double").alias("_value"), "n")
+    boxes = number_summary(cells, by, "_value", _QUARTILES, weight="n").select(
         by, *(F.get("quantiles", F.lit(i)).alias(c) for i, c in enumerate(("q1", "median", "q3")))
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
