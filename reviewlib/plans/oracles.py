@@ -651,6 +651,36 @@ ORACLES["nearest_vectors"] = """SELECT query, CAST(rank AS INTEGER) AS rank, id,
     FROM embeddings AS q JOIN embeddings AS e ON q.vec_id <> e.vec_id
     WHERE q.vec_id % 100 = 0 AND q.embedding IS NOT NULL AND e.embedding IS NOT NULL))
 WHERE rank <= 10"""
+# Function words of the profiles, stated once more.
+_FUNCTION = ("the of and to a in that it is was for on with as at by from or an be this which not but are "
+             "his her they we you i he she").split()
+
+
+def _review_delta() -> str:
+    counts = ", ".join(f"len(list_filter(t, lambda x: x = '{w}')) AS c_{w}" for w in _FUNCTION)
+    sums = ", ".join(f"sum(c_{w}) AS c_{w}" for w in _FUNCTION)
+    stats = ", ".join(
+        f"avg(c_{w} / total) AS mu_{w}, coalesce(stddev_samp(c_{w} / total), 0) AS sd_{w}" for w in _FUNCTION
+    )
+
+    def z(freq: str, w: str) -> str:
+        return f"CASE WHEN sd_{w} > 0 THEN ({freq} - mu_{w}) / sd_{w} ELSE 0 END"
+
+    delta = " + ".join(
+        f"abs({z(f'r.c_{w} / r.total', w)} - {z(f'(a.c_{w} - r.c_{w}) / (a.total - r.total)', w)})"
+        for w in _FUNCTION
+    )
+    r = f"""SELECT id, author, len(t) AS total, {counts} FROM (
+    SELECT review_id AS id, lower({_strip('name')}) AS author, {_tokens('message')} AS t FROM reviews)
+  WHERE author IS NOT NULL"""
+    a = f"SELECT author, sum(total) AS total, {sums} FROM ({r}) GROUP BY author HAVING sum(total) > 0"
+    return f"""SELECT r.id, r.author,
+  CASE WHEN a.total - r.total > 0 THEN round(({delta}) / {len(_FUNCTION)}, 9) END AS delta
+FROM ({r}) AS r JOIN ({a}) AS a USING (author) CROSS JOIN (SELECT {stats} FROM ({a})) AS s
+WHERE r.total > 0"""
+
+
+_add("review_delta", _review_delta())
 _WEIGHTS = f"""SELECT label, n, round(CAST(sum(n) OVER () AS BIGINT) / CAST(3 * n AS DOUBLE), 9) AS weight
 FROM (SELECT label, count(*) AS n FROM ({_SPLIT}) WHERE split = 'train' GROUP BY label)"""
 _add(

@@ -30,6 +30,7 @@ from reviewlib.operators import (
     sequence,
     similarity,
     split,
+    stylometry,
     vector_index,
     vocabulary,
 )
@@ -749,6 +750,14 @@ def grouped_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("authors_on_two_sides", F.lit(spread))
 
 
+@query
+def review_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Burrows' delta of every review with words against its author's function-word profile
+    without it (authors: names trimmed, lower case)."""
+    reviews = _reviews(spark, sf_dir).withColumn("author", F.lower(R.strip("name")))
+    return stylometry.leave_one_out(stylometry.review_counts(reviews, "review_id", "author", "message"))
+
+
 _SEQUENCE = sequence.SequenceConfig()
 
 
