@@ -120,7 +120,7 @@ def elements(
 ) -> Column:
     """Texts of a page's ``<tag attribute="value">`` elements (every ``tag`` element if
     ``attribute`` is None), in the order of their start tags: whole, nested ones too, on one
-    line, trimmed; blank ones dropped; all or the first ``max_elements``. A null page has none."""
+    line, trimmed; blank ones dropped; all or the first ``max_elements``. A null page gives null."""
     page = F.col(html) if isinstance(html, str) else html
     toks = tokens(page)
     pieces = F.transform(toks, _piece)
@@ -136,5 +136,5 @@ def elements(
         ),
     )
     kept = F.filter(texts, lambda t: t != "")
-    kept = F.when(page.isNull(), F.array().cast("array<string>")).otherwise(kept)
+    kept = F.when(page.isNotNull(), kept)
     return kept if max_elements is None else F.slice(kept, 1, max_elements)
