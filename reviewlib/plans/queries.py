@@ -27,6 +27,7 @@ from reviewlib.operators import (
     parse,
     prepare,
     profile,
+    raters,
     sequence,
     similarity,
     split,
@@ -758,6 +759,35 @@ def review_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stylometry.leave_one_out(stylometry.review_counts(reviews, "review_id", "author", "message"))
 
 
+@query
+def weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of three noisy raters (the rating cell, the ratings in the message, the model's
+    prediction) reconciled by expectation-maximisation: per review the likeliest label, its
+    probability, the cell's label and its probability (low: a noisy cell label, to check first)."""
+    reviews = _reviews(spark, sf_dir)
+    cell = R.rating_label(R.parse_rating("rating"))
+    message = R.rating_label(R.rating_median(R.message_ratings("message")))
+    observed = reviews.select(
+        F.col("review_id").alias("item"),
+        F.inline(F.array(
+            F.struct(F.lit("cell").alias("rater"), cell.alias("label")),
+            F.struct(F.lit("message").alias("rater"), message.alias("label")),
+        )),
+    ).unionByName(_predictions(spark, sf_dir).select(
+        F.col("doc_id").alias("item"), F.lit("model").alias("rater"), F.col("pred").alias("label")
+    ))
+    posterior, _, _ = raters.reconcile(observed)
+    cells = reviews.select(F.col("review_id").alias("item"), cell.alias("cell_label"))
+    best = F.array_position("p", F.array_max("p")).cast("int")
+    return posterior.join(cells, "item", "left").select(
+        F.col("item").alias("review_id"),
+        F.element_at(F.lit(list(LABELS)), best).alias("label"),
+        F.round(F.array_max("p"), 9).alias("p_label"),
+        "cell_label",
+        F.round(F.element_at("p", F.array_position(F.lit(list(LABELS)), F.col("cell_label")).cast("int")), 9).alias("p_cell"),
+    )
+
+
 _SEQUENCE = sequence.SequenceConfig()
 
 
