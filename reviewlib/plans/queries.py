@@ -21,6 +21,7 @@ from reviewlib.functions.patterns import LABELS, DumpFormat
 from reviewlib.operators import (
     classifier,
     communities,
+    dense,
     embeddings,
     evaluation,
     labeling,
@@ -788,6 +789,23 @@ def weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def spam_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Authors in the densest part of the graph of authors and the messages they wrote (messages
+    by SHA-256 of their trimmed text): the round each author was peeled in, whether it is in
+    the densest set, and that set's density."""
+    reviews = _reviews(spark, sf_dir)
+    text = R.strip("message")
+    edges = reviews.filter(F.col("name").isNotNull() & text.isNotNull() & (text != "")).select(
+        F.concat(F.lit("a:"), F.lower(R.strip("name"))).alias("src"),
+        F.concat(F.lit("m:"), F.sha2(text, 256)).alias("dst"),
+    )
+    found, density = dense.peel(edges)
+    return found.filter(F.col("node").startswith("a:")).select(
+        F.substring("node", 3, 1 << 30).alias("author"), "round", "dense", F.lit(density).alias("density")
+    )
+
+
 _SEQUENCE = sequence.SequenceConfig()
 
 
