@@ -11,6 +11,8 @@ import warnings
 from collections.abc import Callable
 from functools import cache
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ from reviewlib.operators import (
     similarity,
     split,
     stylometry,
+    topics,
     vector_index,
     vocabulary,
 )
@@ -806,6 +809,28 @@ def spam_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def review_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic labels of reviews: counts of the 2,000 most frequent words factorised into 8 topics
+    by multiplicative updates; each review's topic of largest weight, that weight, and the
+    topic's five heaviest words."""
+    cfg = topics.TopicConfig()
+    words, matrix = topics.term_matrix(_reviews(spark, sf_dir), "review_id", "message", cfg.num_words)
+    n = words.count()
+    if n == 0:
+        return spark.createDataFrame([], "review_id long, topic int, weight double, top_words array<string>")
+    w, h, _ = topics.factorise(matrix, n, cfg)
+    names = dict((r["t"], r["token"]) for r in words.collect())  # at most num_words rows
+    heads = [[names[t] for t in np.argsort(-h[j], kind="stable")[:5]] for j in range(cfg.k)]
+    best = (F.array_position("w", F.array_max("w")) - 1).cast("int")
+    return w.select(
+        F.col("d").alias("review_id"),
+        best.alias("topic"),
+        F.round(F.array_max("w"), 6).alias("weight"),
+        F.get(F.lit(heads), best).alias("top_words"),
+    )
+
+
 _SEQUENCE = sequence.SequenceConfig()
 
 

@@ -17,9 +17,10 @@ def con():
 
 # Iterative training and clustering, and cuts chosen by a search over a histogram, whose results SQL
 # cannot state; each is tested against a plain version or its stated bounds in its own tests
-# (test_sequence, test_communities, test_embeddings, test_grouped_split, test_raters, test_dense).
+# (test_sequence, test_communities, test_embeddings, test_grouped_split, test_raters, test_dense,
+# test_topics).
 ITERATIVE = {"train_sequence_metrics", "review_clusters", "word_embeddings", "grouped_split", "weak_labels",
-             "spam_authors"}
+             "spam_authors", "review_topics"}
 
 
 def test_every_query_has_sql():
