@@ -12,7 +12,6 @@ from collections.abc import Callable
 from functools import cache
 
 import numpy as np
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
