@@ -8,7 +8,8 @@ no text is paired with itself whole. Positive pointwise mutual information ``max
 Its leading eigenvectors come from block power iteration: the block ``Q`` (words x ``k``) is
 multiplied by the sparse matrix with a join and a sum per word, then made orthonormal by Cholesky
 QR: the ``k x k`` Gram matrix is added up in Spark, factored on the driver, and its inverse factor
-goes back to the tasks. Only ``k x k`` matrices reach the driver, one per task; numpy does the small products in the tasks. After the iterations, a
+goes back to the tasks. Only ``k x k`` matrices reach the driver, one per task; numpy does the
+small products in the tasks. After the iterations, a
 Rayleigh-Ritz step (``Q^T M Q``, again ``k x k``) gives the eigenvalues, whose absolute values are
 the singular values; a word's embedding is its row of the rotated block times the square root of
 the singular values, and a text's the mean of its words'.
@@ -16,9 +17,8 @@ the singular values, and a text's the mean of its words'.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
