@@ -84,10 +84,11 @@ def shard(
     """``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard`` of every row.
 
     A row's size is the UTF-8 bytes of its text plus 8, of a null text 8. Rows are ordered by a
-    hash of text and id, so that copies are not next to each other and a group of any size
-    is cut like all other rows; shards are ranges of that order with bytes equal within
-    the tolerance and a row's size. ``slot`` numbers a shard's rows from 0 in that order.
-    Repeated rows get slots of their own. No rows give no shards.
+    hash of id, text and the row's number in the input (taken once, when the rows are written to
+    the shared folder), so that copies are not next to each other and repeated rows, or rows
+    with null id and text, spread like all others; shards are ranges of that order with bytes
+    equal within the tolerance and a row's size. ``slot`` numbers a shard's rows from 0 in that
+    order. Repeated rows get slots of their own. No rows give no shards.
 
     A shard is never gathered: it is cut into bins, each counted, sorted and numbered by itself,
     and a bin's first slot is the number of rows in the bins before it.
@@ -99,7 +100,9 @@ def shard(
             F.col(id).cast("long").alias("doc_id"),
             (F.octet_length(body) + 8).cast("long").alias("size"),
             F.crc32(body).alias("text_crc32"),
-            F.xxhash64(F.coalesce(F.col(id).cast("string"), F.lit("")), body).alias("key"),
+            F.xxhash64(
+                F.coalesce(F.col(id).cast("string"), F.lit("")), body, F.monotonically_increasing_id()
+            ).alias("key"),
         )
     )
     cuts = splitters(rows, parts=n_shards, tolerance=tolerance)

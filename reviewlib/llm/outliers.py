@@ -17,7 +17,7 @@ SYMBOLS = "#*$%&|<>"
 # The share of a group that its location and scatter are estimated from.
 SUPPORT = 0.75
 STEPS = 4
-# Groups with fewer rows are pooled by language, and rows of a pool with fewer are kept.
+# Groups with fewer rows are pooled by language, and pools with fewer still over all languages.
 MIN_GROUP = 50
 # Quantiles of the chi-squared distribution with four degrees of freedom: 0.5 and 0.9999.
 MEDIAN, CUT = 3.3567, 23.5127
@@ -204,8 +204,10 @@ def judge(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
 
     The fixed limits come first. The statistics of the rows that pass them are compared within
     their ``lang`` and ``source`` (nulls are a group of their own): a row further from its group
-    than the cut is not kept. ``distance`` is null where no group is large enough, and
-    such rows are kept. A null or empty text has no word and fails the limits.
+    than the cut is not kept. A group of fewer than ``MIN_GROUP`` rows joins the pool of its
+    language, and a language pool still that small joins one pool of all such rows, so every row
+    that passes the limits is judged; ``distance`` is null only where the limits failed. A null or
+    empty text has no word and fails the limits.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
@@ -226,9 +228,16 @@ def judge(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     )
     fitted = stored(fitted)
     passed = fitted.filter(~F.col("base_failed"))
-    large = passed.groupBy(*_GROUP).agg(F.count("*").alias("size")).filter(F.col("size") >= MIN_GROUP)
-    large = stored(large.drop("size"))
-    fit = stored(minimum_covariance(passed.join(large, list(_GROUP), "left_semi")))
+    pools = passed.groupBy(*_GROUP).agg((F.count("*") < MIN_GROUP).alias("tiny"))
+    everyone = F.when(F.coalesce("tiny", F.lit(False)), F.lit("*"))
+    fitted = stored(
+        fitted.join(stored(pools), list(_GROUP), "left")
+        .withColumn("g_lang", F.coalesce(everyone, F.col("g_lang")))
+        .withColumn("g_source", F.coalesce(everyone, F.col("g_source")))
+        .drop("tiny")
+    )
+    passed = fitted.filter(~F.col("base_failed"))
+    fit = stored(minimum_covariance(passed))
     judged = fitted.join(fit, list(_GROUP), "left").withColumn("distance", _distance() / F.col("scale"))
     return judged.select(
         "doc_id",

@@ -240,6 +240,18 @@ def test_shards(spark):
     assert histogram_shards.shard(none(spark)).collect() == []
 
 
+def test_shards_of_repeated_and_null_rows(spark):
+    for texts in ([(7, "same text " * 20)] * 2_000 + [(i, prose(i, 1 + i % 40)) for i in range(1_000)],
+                  [(None, None)] * 3_000):
+        out = histogram_shards.shard(documents(spark, texts).repartition(4), n_shards=6).collect()
+        sizes = Counter()
+        for r in out:
+            sizes[r.shard] += r["size"]
+        largest = max(r["size"] for r in out)
+        assert len(out) == len(texts) and set(sizes) == set(range(6))
+        assert max(sizes.values()) - min(sizes.values()) <= 2 * (largest + sum(sizes.values()) / 6 * 0.002)
+
+
 # -- quality rules ---------------------------------------------------------------------
 
 
@@ -273,6 +285,16 @@ def test_outliers_of_a_group_are_not_kept(spark):
     assert all(kept[i] for i, _ in texts)
 
 
+def test_a_small_language_is_judged_in_the_pool_of_all(spark):
+    rows = [(i, prose(i, 60 + i % 40), "en" if i < 300 else "xx", "s") for i in range(1, 341)]
+    rows += [(1_000, " ".join(f"{w}####" for w in prose(3, 30).split(" ")), "xx", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in outliers.judge(docs).collect()}
+    assert all(r.distance is not None for r in got.values() if not r.base_failed)
+    assert not got[1_000].kept and got[1_000].distance is not None
+    assert sum(r.kept for r in got.values()) >= 330
+
+
 # -- languages and quality -------------------------------------------------------------
 
 LANGS = {"aa": "kala mino teru sopa neli", "bb": "strok vrumt dralk gnist plok"}
