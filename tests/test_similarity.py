@@ -64,3 +64,24 @@ def test_no_rows(spark):
     df = spark.createDataFrame([(1, None), (2, "")], "id long, message string")
     vectors = similarity.tfidf(similarity.term_counts(df, "id", "message"))
     assert similarity.similar_pairs(vectors).count() == 0
+
+
+def test_copies_are_searched_once_and_given_out_whole(spark):
+    rows = texts() + [(1000 + i, "ok") for i in range(60)] + [(2000 + i, "ok alpha alpha") for i in range(30)]
+    vectors = similarity.tfidf(similarity.term_counts(spark.createDataFrame(rows, "id long, message string"), "id", "message"))
+    members, pairs = similarity.similar_classes(vectors, 0.5, 3)
+    reps = dict(members.collect())
+    assert {reps[1000 + i] for i in range(60)} == {1000} and {reps[2000 + i] for i in range(30)} == {2000}
+    assert all(a in reps.values() and b in reps.values() for a, b, _ in pairs.collect())
+    got = [(a, b) for a, b, _ in similarity.similar_pairs(vectors, 0.5, 3).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(a, b) for a, b, _ in brute(rows, 0.5)}
+
+
+def test_vectors_cut_over_groups_of_terms_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "_BLOCK", 16)
+    monkeypatch.setattr(similarity, "_GROUP", 3)
+    monkeypatch.setattr(similarity, "_MEMBERS", 2)
+    vectors = similarity.tfidf(similarity.term_counts(spark.createDataFrame(texts(), "id long, message string"), "id", "message"))
+    got = similarity.similar_pairs(vectors).collect()
+    assert {(r.a, r.b) for r in got} == {(a, b) for a, b, _ in brute(texts(), 0.8)}
