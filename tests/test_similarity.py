@@ -85,3 +85,11 @@ def test_vectors_cut_over_groups_of_terms_and_blocks(spark, monkeypatch):
     vectors = similarity.tfidf(similarity.term_counts(spark.createDataFrame(texts(), "id long, message string"), "id", "message"))
     got = similarity.similar_pairs(vectors).collect()
     assert {(r.a, r.b) for r in got} == {(a, b) for a, b, _ in brute(texts(), 0.8)}
+
+
+def test_reach_is_a_running_sum(spark):
+    # a frame to the end of the partition is summed anew for each of an author's terms
+    rows = [(1, "t", 0.6, 2, 0.6), (1, "u", 0.8, 3, 0.8), (2, "t", 1.0, 2, 1.0)]
+    placed = spark.createDataFrame(rows, "id long, tid string, w double, df long, top double")
+    plan = similarity._candidates(placed, 0.8, 10)._jdf.queryExecution().toString().lower()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
