@@ -9,11 +9,16 @@ computed afresh, has grown. After two rounds in a row without growth, communitie
 into nodes (edge weights added up, those inside a community kept as a loop) and the next level
 starts; it ends when a level moves nothing. Only the modularity, one number, reaches the driver
 each round; every table is written to the scratch folder, so the plan of a round does not grow.
+
+Nodes with the same neighbours at the same weights (copies) may come as a class: edges are then between classes,
+and every two members of a class are linked with weight 1. All members in one community have the same best move,
+so a round counts members per (class, community) and never pairs them; it makes the moves it would make
+on the edges between all members.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlib.scratch import scratch_dir
@@ -50,73 +55,107 @@ def modularity(adj: DataFrame, nodes: DataFrame) -> float:
     return inside / total - squares / (total * total)
 
 
-def _round(adj: DataFrame, nodes: DataFrame, degree: DataFrame, total: float, parity: int, seed: int) -> DataFrame:
-    """The assignment after the moving half of the nodes each took its best move."""
-    member = nodes.select(F.col("node").alias("dst"), F.col("comm").alias("c"))
-    links = (
-        adj.filter(F.col("src") != F.col("dst")).join(member, "dst").groupBy("src", "c").agg(F.sum("w").alias("k_in"))
-    )
-    tot = nodes.join(degree, "node").groupBy("comm").agg(F.sum("k").alias("tot"))
-    me = nodes.join(degree, "node").join(tot, "comm").select(
-        F.col("node").alias("src"), F.col("comm").alias("own"), "k", F.col("tot").alias("tot_own")
+def _state(nodes: DataFrame, links: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame, float]:
+    """Of an assignment ``nodes`` (``node``, ``cls``, ``comm``): the weight from each class to each community
+    next to it (``cls``, ``c``, ``k_in``, ``n`` members there), a member's link with itself counted in;
+    the total degree of each community (``c``, ``tot``); and the modularity times the total weight."""
+    counts = _stored(nodes.groupBy("cls", F.col("comm").alias("c")).agg(F.count("*").alias("n")))
+    outer = links.join(counts.withColumnRenamed("cls", "dst"), "dst").select(
+        F.col("src").alias("cls"), "c", (F.col("w") * F.col("n")).alias("k_in"), F.lit(0).cast("long").alias("n")
     )
-    own_in = links.select("src", F.col("c").alias("own"), F.col("k_in").alias("k_own"))
-    options = (
-        links.join(tot.withColumnRenamed("comm", "c"), "c")
-        .join(me, "src")
-        .join(own_in, ["src", "own"], "left")
-        .filter(F.col("c") != F.col("own"))
+    inner = counts.join(classes, "cls").select("cls", "c", (F.col("inner") * F.col("n")).alias("k_in"), "n")
+    near = _stored(outer.unionByName(inner).groupBy("cls", "c").agg(F.sum("k_in").alias("k_in"), F.sum("n").alias("n")))
+    tot = _stored(counts.join(classes, "cls").groupBy("c").agg(F.sum(F.col("n") * F.col("k")).alias("tot")))
+    inside = near.filter(F.col("n") > 0).join(classes, "cls").agg(
+        F.sum(F.col("n") * (F.col("k_in") - F.col("inner") + F.col("loop")))
+    ).first()[0] or 0.0
+    sums = tot.agg(F.sum("tot"), F.sum(F.col("tot") * F.col("tot"))).first()
+    total = sums[0] or 0.0
+    return near, tot, (inside / total - sums[1] / (total * total) if total else 0.0)
+
+
+def _round(nodes: DataFrame, near: DataFrame, tot: DataFrame, classes: DataFrame, total: float, parity: int, seed: int) -> DataFrame:
+    """The assignment after the moving half of the nodes each took its best move."""
+    k, to = F.col("k"), near.filter("k_in > 0").join(classes, "cls").join(tot, "c")
+    worth = to.select("cls", "c", "k_in", "tot", (F.col("k_in") / total - k * F.col("tot") / (total * total)).alias("worth"))
+    # the best community of a class, and the second for members that are in it
+    rank = F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("worth"), "c"))
+    best = worth.withColumn("rank", rank).filter("rank <= 2").drop("worth")
+    own = near.filter("n > 0").join(classes, "cls").withColumnRenamed("c", "comm").select(
+        "cls", "comm", "k", (F.col("k_in") - F.col("inner")).alias("k_own")
+    ).join(tot.select(F.col("c").alias("comm"), F.col("tot").alias("tot_own")), "comm")
+    gain = 2 * (F.col("k_in") - F.col("k_own")) / total - 2 * k * (F.col("tot") - F.col("tot_own") + k) / (total * total)
+    moves = (
+        own.join(best, "cls").filter(F.col("c") != F.col("comm"))
+        .groupBy("cls", "comm").agg(F.min_by(F.struct("c", gain.alias("gain")), "rank").alias("m"))
+        .select("cls", "comm", F.col("m.c").alias("to"), F.col("m.gain").alias("gain"))
     )
-    k_own = F.coalesce("k_own", F.lit(0.0))
-    gain = 2 * (F.col("k_in") - k_own) / total - 2 * F.col("k") * (F.col("tot") - F.col("tot_own") + F.col("k")) / (
-        total * total
+    moving = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(2)) == parity
+    return nodes.join(moves, ["cls", "comm"], "left").select(
+        "node", "cls", F.when(moving & (F.col("gain") > _EPSILON), F.col("to")).otherwise(F.col("comm")).alias("comm")
     )
-    best = options.select("src", gain.alias("gain"), "c").groupBy("src").agg(
-        F.max_by("c", F.struct("gain", -F.col("c"))).alias("to"), F.max("gain").alias("gain")
+
+
+def _graph(adj: DataFrame, members: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links between different classes (``src``, ``dst``, ``w``); of each class (``cls``) the weight between
+    members (``inner``), of a member's ``loop``, and a member's degree ``k``; and each node (``node``,
+    ``cls``, ``comm``: itself). Without ``members`` (``node``, ``cls``) every node is a class."""
+    links = adj.filter(F.col("src") != F.col("dst"))
+    loops = adj.filter(F.col("src") == F.col("dst")).select(F.col("src").alias("cls"), F.col("w").alias("loop"))
+    if members is None:
+        members = adj.select(F.col("src").alias("node")).distinct().select("node", F.col("node").alias("cls"))
+    sizes = _stored(members.groupBy("cls").agg(F.count("*").alias("m")))
+    outer = links.join(sizes.withColumnRenamed("cls", "dst"), "dst").groupBy(F.col("src").alias("cls")).agg(
+        F.sum(F.col("w") * F.col("m")).alias("outer")
     )
-    moving = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(2)) == parity
-    return (
-        nodes.join(best.withColumnRenamed("src", "node"), "node", "left")
-        .select("node", F.when(moving & (F.col("gain") > _EPSILON), F.col("to")).otherwise(F.col("comm")).alias("comm"))
+    inner = F.when(F.col("m") > 1, 1.0).otherwise(0.0)
+    loop, to = F.coalesce("loop", F.lit(0.0)), F.coalesce("outer", F.lit(0.0))
+    classes = sizes.join(loops, "cls", "left").join(outer, "cls", "left").select(
+        "cls", inner.alias("inner"), loop.alias("loop"), (to + inner * (F.col("m") - 1) + loop).alias("k")
     )
+    classes = _stored(classes.filter(F.col("k") > 0))
+    nodes = members.join(classes.select("cls"), "cls", "left_semi")
+    return links, classes, _stored(nodes.select("node", "cls", F.col("node").alias("comm")))
 
 
-def louvain(edges: DataFrame, max_levels: int = 10, max_rounds: int = 50) -> DataFrame:
-    """``node``, ``community`` (the least node of it) for every node of ``edges`` (``src``,
-    ``dst``, ``w`` > 0, undirected). ``max_levels`` and ``max_rounds`` only guard against a run
-    that does not settle; a level ends as soon as two rounds in a row gain nothing."""
-    adj = _stored(adjacency(edges))
-    nodes = _stored(adj.select(F.col("src").alias("node")).distinct().select("node", F.col("node").alias("comm")))
-    membership = nodes.select(F.col("node").alias("original"), F.col("node").alias("node"))
+def louvain(
+    edges: DataFrame, max_levels: int = 10, max_rounds: int = 50, members: DataFrame | None = None
+) -> DataFrame:
+    """``node``, ``community`` (the least node of it) for every linked node of ``edges`` (``src``,
+    ``dst``, ``w`` > 0, undirected). With ``members`` (``node``, ``cls``), edges are between classes and stand for
+    one between any two members; members of one class are linked with weight 1. ``max_levels`` and
+    ``max_rounds`` only guard against a run that does not settle; a level ends as soon as two
+    rounds in a row gain nothing."""
+    links, classes, nodes = _graph(_stored(adjacency(edges)), members)
+    membership = nodes.select(F.col("node").alias("original"), "node")
     level = 0
     while level < max_levels:
-        degree = _stored(adj.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")))
-        total = degree.agg(F.sum("k")).first()[0] or 0.0
+        total = nodes.join(classes, "cls").agg(F.sum("k")).first()[0] or 0.0
         if total == 0:
             break
-        best = modularity(adj, nodes)
+        near, tot, best = _state(nodes, links, classes)
         idle, moved, rounds = 0, False, 0
         while idle < 2 and rounds < max_rounds:
-            trial = _stored(_round(adj, nodes, degree, total, rounds % 2, level * 1000 + rounds))
-            score = modularity(adj, trial)
+            trial = _stored(_round(nodes, near, tot, classes, total, rounds % 2, level * 1000 + rounds))
+            *state, score = _state(trial, links, classes)
             if score > best + _EPSILON:
-                nodes, best, idle, moved = trial, score, 0, True
+                nodes, (near, tot), best, idle, moved = trial, state, score, 0, True
             else:
                 idle += 1
             rounds += 1
         if not moved:
             break
-        # contract: communities become nodes
-        placed = nodes.select(F.col("node").alias("src"), F.col("comm").alias("cs"))
-        landed = nodes.select(F.col("node").alias("dst"), F.col("comm").alias("cd"))
-        adj = _stored(
-            adj.join(placed, "src").join(landed, "dst").groupBy(F.col("cs").alias("src"), F.col("cd").alias("dst"))
-            .agg(F.sum("w").alias("w"))
+        # contract: communities become nodes; what a member has with itself is its loop only
+        at = near.filter("n > 0").select("cls", F.col("c").alias("src"), "n")
+        outer = at.join(near.filter("k_in > 0").select("cls", F.col("c").alias("dst"), "k_in"), "cls").select(
+            "src", "dst", (F.col("n") * F.col("k_in")).alias("w")
         )
+        self_ = at.join(classes, "cls").select("src", F.col("src").alias("dst"), (F.col("n") * (F.col("loop") - F.col("inner"))).alias("w"))
+        adj = _stored(outer.unionByName(self_).groupBy("src", "dst").agg(F.sum("w").alias("w")).filter((F.col("src") == F.col("dst")) | (F.col("w") > 0)))
         membership = _stored(
             membership.join(nodes, "node").select("original", F.col("comm").alias("node"))
         )
-        nodes = _stored(adj.select(F.col("src").alias("node")).distinct().select("node", F.col("node").alias("comm")))
+        links, classes, nodes = _graph(adj)
         level += 1
     final = membership.join(nodes, "node").select(F.col("original").alias("node"), "comm")
     least = final.groupBy("comm").agg(F.min("node").alias("community"))

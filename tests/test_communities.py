@@ -56,3 +56,18 @@ def test_modularity_equals_the_plain_version(spark):
 def test_no_edges(spark):
     df = spark.createDataFrame([], "src long, dst long, w double")
     assert communities.louvain(df).count() == 0
+
+
+def test_classes_move_as_all_their_members_would(spark):
+    draw = random.Random(4)
+    sizes = {c * 10: draw.choice([1, 1, 2, 5]) for c in range(8)}
+    members = [(c + i, c) for c, m in sizes.items() for i in range(m)]
+    between = [(a, b, draw.choice([0.25, 0.5])) for a in sizes for b in sizes if a < b and draw.random() < 0.4]
+    whole = [(x, y, w) for a, b, w in between for x, cx in members for y, cy in members if (cx, cy) == (a, b)]
+    whole += [(x, y, 1.0) for x, cx in members for y, cy in members if cx == cy and x < y]
+    schema = "src long, dst long, w double"
+    plain = communities.louvain(spark.createDataFrame(whole, schema))
+    classes = communities.louvain(
+        spark.createDataFrame(between, schema), members=spark.createDataFrame(members, "node long, cls long")
+    )
+    assert sorted(classes.collect()) == sorted(plain.collect())
