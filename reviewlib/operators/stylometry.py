@@ -16,7 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlib.operators.once import compute_once
 from reviewlib.operators.vocabulary import tokens
+from reviewlib.scratch import scratch_dir
 
 # The function words of the profiles.
 FUNCTION_WORDS = (
@@ -25,20 +27,17 @@ FUNCTION_WORDS = (
 ).split()
 
 
-def _equal_to(word: str):
-    return lambda t: t == F.lit(word)
-
-
-def _counts(words: Column) -> list[Column]:
-    return [F.size(F.filter(words, _equal_to(w))).cast("long").alias(f"c_{w}") for w in FUNCTION_WORDS]
-
-
 def review_counts(df: DataFrame, id: str, author: str, text: str) -> DataFrame:
-    """``id``, ``author``, ``total`` (words) and ``c_<word>`` of every review with a known author."""
-    words = tokens(text)
-    return df.filter(F.col(author).isNotNull()).select(
-        F.col(id).alias("id"), F.col(author).alias("author"), F.size(words).cast("long").alias("total"), *_counts(words)
+    """``id``, ``author``, ``total`` (words) and ``c_<word>`` of every review with a known author. A
+    text is cut into words once, and only its function words are looked at word by word."""
+    rows = df.filter(F.col(author).isNotNull()).select(F.col(id).alias("id"), F.col(author).alias("author"), F.col(text).alias("text"))
+    cut = compute_once(rows, {"words": tokens("text")})
+    some = compute_once(
+        cut.select("id", "author", "words"), {"found": F.filter("words", lambda t: t.isin(FUNCTION_WORDS))}
     )
+    size = F.size("found")
+    counts = [(size - F.size(F.array_remove("found", w))).cast("long").alias(f"c_{w}") for w in FUNCTION_WORDS]
+    return some.select("id", "author", F.size("words").cast("long").alias("total"), *counts)
 
 
 def _z(frequency: Column, w: str, stats: dict[str, float]) -> Column:
@@ -69,7 +68,11 @@ def _delta(a: str, b: str) -> Column:
 
 def leave_one_out(reviews: DataFrame) -> DataFrame:
     """``id``, ``author``, ``delta``: each review with words against its author's profile without
-    it; null where the author has no other words. One equi-join of reviews with their author."""
+    it; null where the author has no other words. One equi-join of reviews with their author. The
+    counts are written once to the scratch folder, so texts are read once."""
+    path = scratch_dir(reviews.sparkSession)
+    reviews.write.parquet(path)
+    reviews = reviews.sparkSession.read.parquet(path)
     found, stats = profiles(reviews)
     own = found.select("author", F.col("total").alias("t_all"), *(F.col(f"c_{w}").alias(f"a_{w}") for w in FUNCTION_WORDS))
     rows = reviews.filter(F.col("total") > 0).join(own, "author")

@@ -54,3 +54,11 @@ def test_equals_plain_version_with_a_hot_author(spark):
     for i in want:
         assert (got[i] is None and want[i] is None) or abs(got[i] - want[i]) < 1e-8, i
     assert got[901] is None
+
+
+def test_a_text_is_cut_into_words_once(spark):
+    df = spark.createDataFrame([(1, "a", "The THE of, x"), (2, "a", None), (3, None, "the")], "id long, au string, m string")
+    counts = stylometry.review_counts(df, "id", "au", "m")
+    assert [(r.id, r.total, r.c_the, r.c_of, r.c_to) for r in counts.orderBy("id").collect()] == [(1, 4, 2, 1, 0), (2, 0, 0, 0, 0)]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Scan", 1)[0].count("split(") == 1
