@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+from reviewlib.functions.patterns import LABELS
 from reviewlib.operators import raters
 from reviewlib.plans.queries import QUERIES
 
@@ -75,3 +76,13 @@ def test_query_on_smallest_tables(spark):
     got = QUERIES["weak_labels"](spark, "/root/testdata/sf0.01").collect()
     assert got and all(0 <= r["p_label"] <= 1 for r in got)
     assert all(r["p_cell"] is None or r["p_cell"] <= r["p_label"] + 1e-12 for r in got)
+
+
+def test_rounds_run_over_patterns(spark, monkeypatch):
+    rows = [(i, r, LABELS[(i * k) % 3]) for i in range(300) for k, r in ((1, "x"), (2, "y"))] + [(7, "x", LABELS[0])]
+    sizes = []
+    stored = raters._stored
+    monkeypatch.setattr(raters, "_stored", lambda df: (out := stored(df), sizes.append((out.columns, out.count())))[0])
+    posterior, _, _ = raters.reconcile(spark.createDataFrame(rows, "item long, rater string, label string"), rounds=2)
+    assert posterior.count() == 300
+    assert all(n <= 4 * 3 for columns, n in sizes if "item" not in columns)
