@@ -1,8 +1,9 @@
 """Word and text embeddings learned from the corpus itself: positive PMI and block power iteration.
 
 Words of a text (the vocabulary's rule, the ``num_words`` most frequent) co-occur when at most
-``window`` positions apart; counts come from one equi-join per distance on (text, position), so
-no text is paired with itself whole. Positive pointwise mutual information ``max(0, ln(c_ij * N /
+``window`` positions apart. A text is cut into words once and kept as word ids; a task counts the pairs of a batch of texts, so what is
+shuffled are counted pairs of known words, not places. Texts that share an id are
+one text of several words a place; only those are joined by (text, place), one equi-join per distance. Positive pointwise mutual information ``max(0, ln(c_ij * N /
 (c_i * c_j)))`` makes a sparse symmetric matrix, held as rows (``i``, ``j``, ``m``).
 
 Its leading eigenvectors come from block power iteration: the block ``Q`` (words x ``k``) is
@@ -48,19 +49,21 @@ def _stored(df: DataFrame) -> DataFrame:
 
 def ppmi(df: DataFrame, id: str, text: str, cfg: EmbeddingConfig = EmbeddingConfig()) -> tuple[DataFrame, DataFrame]:
     """The words kept (``token``, ``i``) and the positive PMI matrix (``i``, ``j``, ``m``)."""
-    placed = df.filter(F.col(id).isNotNull()).select(F.col(id).alias("doc"), F.posexplode(tokens(text)).alias("pos", "token"))
-    counts = placed.groupBy("token").agg(F.count("*").alias("n"))
+    texts = _stored(df.filter(F.col(id).isNotNull()).select(F.col(id).alias("doc"), tokens(text).alias("words")))
+    counts = texts.select(F.explode("words").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     words = counts.orderBy(F.desc("n"), "token").limit(cfg.num_words)
     # at most num_words rows reach this window
     words = _stored(words.select("token", F.row_number().over(Window.orderBy(F.desc("n"), "token")).alias("i")))
-    known = _stored(placed.join(F.broadcast(words), "token").select("doc", "pos", "i"))
+    again = _stored(texts.groupBy("doc").agg(F.count("*").alias("n")).filter("n > 1").select("doc"))
+    pairs = _near(texts.join(again, "doc", "left_anti"), words, cfg.window)
+    known = texts.join(again, "doc", "left_semi").select("doc", F.posexplode("words").alias("pos", "token"))
+    known = _stored(known.join(F.broadcast(words), "token").select("doc", "pos", "i"))
     after = known.select("doc", F.col("pos").alias("p2"), F.col("i").alias("j"))
-    pairs = None
     for d in range(1, cfg.window + 1):
-        near = known.join(after, (known["doc"] == after["doc"]) & (after["p2"] == known["pos"] + d)).select("i", "j")
-        pairs = near if pairs is None else pairs.unionByName(near)
-    both = pairs.unionByName(pairs.select(F.col("j").alias("i"), F.col("i").alias("j")))
-    co = both.groupBy("i", "j").agg(F.count("*").cast("double").alias("c"))
+        near = known.join(after, (known["doc"] == after["doc"]) & (after["p2"] == known["pos"] + d))
+        pairs = pairs.unionByName(near.select("i", "j", F.lit(1).cast("long").alias("c")))
+    both = pairs.unionByName(pairs.select(F.col("j").alias("i"), F.col("i").alias("j"), "c"))
+    co = _stored(both.groupBy("i", "j").agg(F.sum("c").cast("double").alias("c")))
     marg = co.groupBy("i").agg(F.sum("c").alias("ci"))
     total = co.agg(F.sum("c")).first()[0] or 0.0
     m = (
@@ -72,6 +75,32 @@ def ppmi(df: DataFrame, id: str, text: str, cfg: EmbeddingConfig = EmbeddingConf
     return words, _stored(m)
 
 
+def _near(texts: DataFrame, words: DataFrame, window: int) -> DataFrame:
+    """``i``, ``j``, ``c``: how often word ``j`` comes at most ``window`` places after word ``i`` in
+    ``texts`` (``words``: array), counted in parts. ``words`` has at most ``num_words`` rows."""
+    rows = words.select("token", "i").collect()
+    table, ids = pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            column = batch.column(0)
+            flat = ids.take(pc.index_in(column.flatten(), value_set=table)).fill_null(0).to_numpy()
+            of = np.repeat(np.arange(len(column)), pc.list_value_length(column).fill_null(0).to_numpy())
+            found = []
+            for d in range(1, window + 1):
+                met = (flat[d:] > 0) & (flat[:-d] > 0) & (of[d:] == of[:-d])
+                found.append(flat[:-d][met] << 32 | flat[d:][met])
+            codes, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes >> 32), pa.array(codes & 0xFFFFFFFF), pa.array(n.astype(np.int64))], names=["i", "j", "c"]
+            )
+
+    found = texts.select("words").mapInArrow(run, "i long, j long, c long")
+    return found.groupBy(F.col("i").cast("int").alias("i"), F.col("j").cast("int").alias("j")).agg(F.sum("c").alias("c"))
+
+
 def _block(spark, rows: np.ndarray, ids: np.ndarray) -> DataFrame:
     return spark.createDataFrame([(int(i), r.tolist()) for i, r in zip(ids, rows)], "i long, q array<double>")
 

@@ -64,3 +64,10 @@ def test_no_words(spark):
     df = spark.createDataFrame([(1, None), (2, "")], "id long, text string")
     values, vectors = embeddings.word_vectors(df, "id", "text", CFG)
     assert len(values) == 0 and vectors.count() == 0
+
+
+def test_pairs_are_counted_within_tasks(spark):
+    texts = spark.createDataFrame([(["a", "x", "b", "a"],), ([],), (["b"],), (["a", "b"],)], "words array<string>")
+    words = spark.createDataFrame([("a", 1), ("b", 2)], "token string, i int")
+    found = {(r.i, r.j): r.c for r in embeddings._near(texts, words, 2).collect()}
+    assert found == {(1, 2): 2, (2, 1): 1}
