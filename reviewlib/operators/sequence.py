@@ -100,13 +100,25 @@ def loss_and_gradient(
     w: dict[str, np.ndarray], ids: np.ndarray, y: np.ndarray, weight: np.ndarray
 ) -> tuple[float, dict[str, np.ndarray]]:
     """Summed weighted cross entropy of the rows, and its gradient (back-propagation in time)."""
+    loss, g, touched, rows = _gradient(w, ids, y, weight)
+    g["E"] = np.zeros_like(w["E"])
+    g["E"][touched] = rows
+    return loss, g
+
+
+def _gradient(
+    w: dict[str, np.ndarray], ids: np.ndarray, y: np.ndarray, weight: np.ndarray
+) -> tuple[float, dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """As :func:`loss_and_gradient`, the embedding's gradient as the ids touched and their rows, so that the cost is that
+    of the words of the rows and not of the vocabulary."""
     p, (ids, mask, x, states, news, top, pooled) = forward(w, ids)
     rows = np.arange(len(y))
     loss = float(-(weight * np.log(np.maximum(p[rows, y], 1e-300))).sum())
     dz = p.copy()
     dz[rows, y] -= 1
     dz *= weight[:, None]
-    g = {k: np.zeros_like(v) for k, v in w.items()}
+    g = {k: np.zeros_like(v) for k, v in w.items() if k != "E"}
+    back = np.zeros((*ids.shape, w["W"].shape[1]))
     g["V"] = pooled.T @ dz
     g["c"] = dz.sum(axis=0)
     dpool = dz @ w["V"].T
@@ -117,30 +129,32 @@ def loss_and_gradient(
         g["W"] += x[:, t].T @ da
         g["U"] += states[t].T @ da
         g["b"] += da.sum(axis=0)
-        np.add.at(g["E"], ids[:, t], da @ w["W"].T)
+        back[:, t] = da
         dh = da @ w["U"].T + dh * ~m
-    return loss, g
+    flat = ids.ravel()
+    order = np.argsort(flat, kind="stable")
+    touched, first = np.unique(flat[order], return_index=True)
+    sums = np.add.reduceat(back.reshape(len(flat), -1)[order], first, axis=0) if len(flat) else np.zeros((0, w["W"].shape[1]))
+    return loss, g, touched, sums @ w["W"].T
+
+
+def _matrix(ids: pa.Array) -> np.ndarray:
+    """Lists of ids as rows padded with 0 to the longest; nulls count as 0."""
+    import pyarrow.compute as pc
+
+    sizes = pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False)
+    out = np.zeros((len(ids), max(1, int(sizes.max(initial=0)))), np.int64)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = ids.flatten().fill_null(0).to_numpy(zero_copy_only=False)
+    return out
 
 
 def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ids = batch.column("ids")
-    width = max(1, int(pc_max_len(ids)))
-    out = np.zeros((batch.num_rows, width), np.int64)
-    for i, row in enumerate(ids.to_pylist()):
-        if row:
-            out[i, : len(row)] = [v or 0 for v in row]
+    out = _matrix(batch.column("ids"))
     y = batch.column("label_id").to_numpy(zero_copy_only=False).astype(np.int64)
     weight = batch.column("weight").to_numpy(zero_copy_only=False).astype(np.float64)
     return out, y, weight
 
 
-def pc_max_len(ids: pa.Array) -> int:
-    import pyarrow.compute as pc
-
-    lengths = pc.list_value_length(ids).fill_null(0)
-    return int(pc.max(lengths).as_py() or 0) if len(lengths) else 0
-
-
 def _gradient_rows(weights: dict[str, np.ndarray], width: int, with_gradient: bool):
     """A function for ``mapInArrow``: the summed loss, weight and gradient of a task's rows, as
     rows (``key``, ``g0`` ... ``g{width-1}``): key -1 holds loss and weight, keys from 0 the
@@ -155,9 +169,10 @@ def _gradient_rows(weights: dict[str, np.ndarray], width: int, with_gradient: bo
             for lo in range(0, batch.num_rows, _BATCH):
                 ids, y, weight = _columns(batch.slice(lo, _BATCH))
                 if with_gradient:
-                    loss, part = loss_and_gradient(weights, ids, y, weight)
-                    for k in g:
+                    loss, part, near, rows = _gradient(weights, ids, y, weight)
+                    for k in part:
                         g[k] += part[k]
+                    g["E"][near] += rows
                 else:
                     p, _ = forward(weights, ids)
                     loss = float(-(weight * np.log(np.maximum(p[np.arange(len(y)), y], 1e-300))).sum())
@@ -262,13 +277,7 @@ def predict_proba(model: SequenceModel, rows: DataFrame, ids: str = "ids") -> Da
         for batch in batches:
             for lo in range(0, batch.num_rows, _BATCH):
                 part = batch.slice(lo, _BATCH)
-                column = part.column(ids)
-                width = max(1, pc_max_len(column))
-                matrix = np.zeros((part.num_rows, width), np.int64)
-                for i, row in enumerate(column.to_pylist()):
-                    if row:
-                        matrix[i, : len(row)] = [v or 0 for v in row]
-                p, _ = forward(weights, matrix)
+                p, _ = forward(weights, _matrix(part.column(ids)))
                 cols = [part.column(c) for c in kept] + [pa.array(list(p), pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(cols, names=out.names)
 

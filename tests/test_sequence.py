@@ -1,6 +1,7 @@
 """The recurrent classifier: gradients by finite differences, Spark sums against numpy, training."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from reviewlib.operators import sequence
@@ -76,3 +77,12 @@ def test_query_runs_on_the_smallest_tables(spark):
     (row,) = QUERIES["train_sequence_metrics"](spark, "/root/testdata/sf0.001").collect()
     assert 1 <= row["epochs_trained"] <= 20 and 1 <= row["best_epoch"] <= row["epochs_trained"]
     assert 0 <= row["test_acc"] <= 1 and np.isfinite(row["test_loss"]) and row["labels"] == ["negative", "neutral", "positive"]
+
+
+def test_gradient_of_touched_words_only():
+    cfg = sequence.SequenceConfig(num_words=1_000, embed=4, hidden=4)
+    w = sequence.initial_weights(cfg)
+    ids = np.array([[5, 9, 5, 0], [7, 0, 0, 0]])
+    _, g, touched, rows = sequence._gradient(w, ids, np.array([0, 2]), np.ones(2))
+    assert "E" not in g and touched.tolist() == [0, 5, 7, 9] and rows.shape == (4, 4)
+    assert sequence._matrix(pa.array([[3, None], None, [1, 2, 4]])).tolist() == [[3, 0, 0], [0, 0, 0], [1, 2, 4]]
