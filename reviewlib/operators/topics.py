@@ -1,12 +1,12 @@
 """Topic labels by non-negative matrix factorisation with multiplicative updates.
 
 The matrix is rows (``d``, ``t``, ``v``): documents by words of a capped vocabulary. It is
-approximated by ``W`` (a row of ``k`` weights per document, kept in Spark) times ``H`` (``k``
+approximated by ``W`` (``k`` weights per document, kept in Spark) times ``H`` (``k``
 weights per word, at most ``num_words x k`` numbers, on the driver). One round updates ``H`` from
-``W^T V`` (a join of the matrix with ``W`` and a sum per word) and ``W^T W`` (``k x k``), then ``W``
-from ``V H^T`` (a join with ``H``, which the tasks get as a small table, and a sum per document) and
-``H H^T``. The squared error comes with it, from ``||V||^2 - 2 tr(W^T V H^T) + tr(W^T W H H^T)``;
-multiplicative updates never raise it. ``W`` is written to the scratch folder each round.
+``W^T V`` and ``W^T W`` (``k x k``), which every task adds up for its documents in numpy, then ``W``
+from ``V H^T`` and ``H H^T``, document by document. The matrix is kept as one row per document (its words, counts and
+weights as lists), so no round joins or shuffles it: only sums per word and task move. The squared error comes with it, from ``||V||^2 - 2 tr(W^T V H^T) + tr(W^T W H H^T)``;
+multiplicative updates never raise it. The rows are written to the scratch folder each round.
 """
 
 from __future__ import annotations
@@ -45,22 +45,40 @@ def start_w(d: np.ndarray, k: int) -> np.ndarray:
     return 0.5 + ((d[:, None] * 7919 + j[None, :] * 104729) % 1000) / 2000.0
 
 
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, value and row in the batch of every entry."""
+    ts, vs = batch.column("ts"), batch.column("vs")
+    sizes = np.diff(ts.offsets.to_numpy())
+    flat = [c.flatten().to_numpy(zero_copy_only=False) for c in (ts, vs)]
+    return *flat, np.repeat(np.arange(len(sizes)), sizes)
+
+
 def _rows(column: pa.Array, k: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return column.values.to_numpy(zero_copy_only=False).reshape(-1, k) if len(column) else np.zeros((0, k))
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k) if len(column) else np.zeros((0, k))
+
 
+def _products(state: DataFrame, k: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """``W^T V`` (``k x words``) and ``W^T W``. Each task gives a row per word and ``k`` for its own
+    ``W^T W`` (``t`` from ``words``), and rows of one ``t`` are added up."""
 
-def _gram(w: DataFrame, k: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = np.zeros((k, k))
+        sums = np.zeros((words + k, k))
         for batch in batches:
-            x = _rows(batch.column("w"), k)
-            g += x.T @ x
-        yield pa.RecordBatch.from_arrays([pa.array([g.ravel().tolist()], pa.list_(pa.float64()))], names=["g"])
+            w, (ts, vs, of) = _rows(batch.column("w"), k), _entries(batch)
+            for j in range(k):
+                sums[:words, j] += np.bincount(ts, vs * w[of, j], minlength=words)
+            sums[words:] += w.T @ w
+        some = np.flatnonzero(sums.any(axis=1))
+        columns = [pa.array(some)] + [pa.array(sums[some, j]) for j in range(k)]
+        yield pa.RecordBatch.from_arrays(columns, names=["t"] + [f"s{j}" for j in range(k)])
 
-    parts = w.select("w").mapInArrow(run, "g array<double>").collect()  # one row per task
-    return sum((np.array(r["g"]).reshape(k, k) for r in parts), np.zeros((k, k)))
+    parts = state.mapInArrow(run, "t long, " + ", ".join(f"s{j} double" for j in range(k)))
+    out = np.zeros((words + k, k))
+    for row in parts.groupBy("t").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(k))).collect():  # capped vocabulary
+        out[row["t"]] = [row[f"s{j}"] for j in range(k)]
+    return out[:words].T, out[words:]
 
 
 def factorise(matrix: DataFrame, words: int, cfg: TopicConfig = TopicConfig()) -> tuple[DataFrame, np.ndarray, list[float]]:
@@ -68,47 +86,41 @@ def factorise(matrix: DataFrame, words: int, cfg: TopicConfig = TopicConfig()) -
     ``t``) and the squared error before each round and after the last."""
     spark = matrix.sparkSession
     k = cfg.k
-    matrix = _stored(matrix.select(F.col("d").cast("long"), F.col("t").cast("int"), F.col("v").cast("double")))
-    norm = matrix.agg(F.sum(F.col("v") * F.col("v"))).first()[0] or 0.0
-    docs = matrix.select("d").distinct()
+    matrix = matrix.select(F.col("d").cast("long"), F.col("t").cast("int"), F.col("v").cast("double"))
+    # at most words entries a document
+    entries = matrix.groupBy("d", "t").agg(F.sum("v").alias("v")).groupBy("d").agg(F.collect_list(F.struct("t", "v")).alias("x"))
+    docs = entries.select("d", F.col("x.t").alias("ts"), F.col("x.v").alias("vs"))
+    schema = "d long, ts array<int>, vs array<double>, w array<double>"
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = batch.column("d").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([batch.column("d"), pa.array(list(start_w(d, k)), pa.list_(pa.float64()))], names=["d", "w"])
+            w = start_w(batch.column("d").to_numpy(zero_copy_only=False), k)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(w), pa.list_(pa.float64()))], names=["d", "ts", "vs", "w"])
 
-    w = _stored(docs.mapInArrow(first, "d long, w array<double>"))
+    state = _stored(docs.filter("d IS NOT NULL").mapInArrow(first, schema))
+    norm = state.select(F.sum(F.aggregate("vs", F.lit(0.0), lambda a, v: a + v * v))).first()[0] or 0.0
     h = np.random.default_rng(cfg.seed).uniform(0.5, 1.0, (k, words))
     losses = []
     for _ in range(cfg.rounds + 1):
         # H from W^T V and W^T W
-        wtv = matrix.join(w, "d").groupBy("t").agg(
-            *(F.sum(F.col("v") * F.col("w")[j]).alias(f"s{j}") for j in range(k))
-        )
-        numer = np.zeros((k, words))
-        for row in wtv.collect():  # one row per word of the capped vocabulary
-            numer[:, row["t"]] = [row[f"s{j}"] for j in range(k)]
-        wtw = _gram(w, k)
+        numer, wtw = _products(state, k, words)
         loss = norm - 2 * float((numer * h).sum()) + float(np.trace(wtw @ (h @ h.T)))
         losses.append(loss)
         if len(losses) > cfg.rounds:
             break
         h = h * numer / (wtw @ h + _TINY)
-        # W from V H^T and H H^T
-        table = spark.createDataFrame([(int(t), h[:, t].tolist()) for t in range(words)], "t int, h array<double>")
-        vht = matrix.join(F.broadcast(table), "t").groupBy("d").agg(
-            *(F.sum(F.col("v") * F.col("h")[j]).alias(f"s{j}") for j in range(k))
-        )
-        hht = h @ h.T
 
-        def update(batches: Iterator[pa.RecordBatch], hht=hht) -> Iterator[pa.RecordBatch]:
+        # W from V H^T and H H^T
+        def update(batches: Iterator[pa.RecordBatch], h=h, hht=h @ h.T) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x = _rows(batch.column("w"), k)
-                num = np.column_stack([batch.column(f"s{j}").to_numpy(zero_copy_only=False) for j in range(k)]) if batch.num_rows else np.zeros((0, k))
+                x, (ts, vs, of) = _rows(batch.column("w"), k), _entries(batch)
+                num = np.column_stack([np.bincount(of, vs * h[j, ts], minlength=len(x)) for j in range(k)])
                 new = x * num / (x @ hht + _TINY)
-                yield pa.RecordBatch.from_arrays([batch.column("d"), pa.array(list(new), pa.list_(pa.float64()))], names=["d", "w"])
+                columns = [batch.column(c) for c in ("d", "ts", "vs")] + [pa.array(list(new), pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["d", "ts", "vs", "w"])
 
-        w = _stored(w.join(vht, "d").select("d", "w", *(f"s{j}" for j in range(k))).mapInArrow(update, "d long, w array<double>"))
+        state = _stored(state.mapInArrow(update, schema))
+    w = state.select("d", "w")
     return w, h, losses
 
 

@@ -41,3 +41,13 @@ def test_equals_numpy_and_error_falls(spark):
 def test_query(spark):
     got = QUERIES["review_topics"](spark, "/root/testdata/sf0.001").collect()
     assert got and all(0 <= r["topic"] < 8 and len(r["top_words"]) == 5 for r in got)
+
+
+def test_rounds_shuffle_no_entries(spark):
+    rows = [(d, t, float(1 + (d + t) % 3)) for d in range(40) for t in range(6)]
+    w, h, _ = topics.factorise(spark.createDataFrame(rows, "d long, t int, v double"), 6, topics.TopicConfig(k=2, rounds=1))
+    assert w.columns == ["d", "w"] and w.count() == 40
+    state = spark.createDataFrame([(1, [0, 2], [1.0, 3.0], [0.5, 2.0])], "d long, ts array<int>, vs array<double>, w array<double>")
+    wtv, wtw = topics._products(state, 2, 3)
+    assert wtv.tolist() == [[0.5, 0.0, 1.5], [2.0, 0.0, 6.0]]
+    assert wtw.tolist() == [[0.25, 1.0], [1.0, 4.0]]
