@@ -22,6 +22,7 @@ task gets, for two blocks and a group, those parts of vectors that some candidat
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlib.operators.vocabulary import tokens
+from reviewlib.functions.patterns import PUNCTUATION
 from reviewlib.scratch import scratch_dir
 
 HOT = 10_000
@@ -42,6 +43,8 @@ SAME = 11
 SLACK = 0.05
 # Ids of a block and terms of one vector in a group that a scoring task takes, about.
 _BLOCK, _GROUP = 512, 4096
+# Bytes of text that a task cuts into words and counts at a time, about.
+_SLICE = 1 << 23
 # Members of a class that one bucket of its expansion takes, about.
 _MEMBERS = 1_000
 
@@ -54,9 +57,41 @@ def _stored(df: DataFrame) -> DataFrame:
 
 def term_counts(df: DataFrame, id: str, text: str) -> DataFrame:
     """``id``, ``term``, ``tf``: words of the text by the vocabulary's rule, counted. Rows with a
-    null id or no words give nothing."""
-    words = df.filter(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.explode(tokens(text)).alias("term"))
-    return words.groupBy("id", "term").agg(F.count("*").alias("tf"))
+    null id or no words give nothing.
+
+    Tasks split the texts at white space and count, and apply the rest of the rule, which works
+    character by character, to each different word of some megabytes once."""
+    rows = df.filter(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+    out = T.StructType([rows.schema["id"], T.StructField("term", T.StringType()), T.StructField("tf", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            ends = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            lo = 0
+            while lo < len(ends):
+                before = ends[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(ends, before + _SLICE)))
+                part = batch.slice(lo, hi - lo)
+                lo = hi
+                words = pc.ascii_split_whitespace(part.column(1).cast(pa.large_string()))
+                each = words.flatten().dictionary_encode()
+                own = part.column(0).dictionary_encode()
+                of = np.repeat(
+                    own.indices.to_numpy().astype(np.int64),
+                    pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False),
+                )
+                wide = max(1, len(each.dictionary))
+                codes, n = np.unique(of * wide + each.indices.to_numpy(), return_counts=True)
+                bare = pc.replace_substring_regex(pc.ascii_lower(each.dictionary), PUNCTUATION, "")
+                term = bare.take(pa.array(codes % wide)).cast(pa.string())
+                found = pa.RecordBatch.from_arrays(
+                    [own.dictionary.take(pa.array(codes // wide)), term, pa.array(n.astype(np.int64))], names=out.names
+                )
+                yield found.filter(pc.not_equal(term, ""))
+
+    return rows.mapInArrow(run, out).groupBy("id", "term").agg(F.sum("tf").alias("tf"))
 
 
 def tfidf(counts: DataFrame) -> DataFrame:

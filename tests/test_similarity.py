@@ -93,3 +93,23 @@ def test_reach_is_a_running_sum(spark):
     placed = spark.createDataFrame(rows, "id long, tid string, w double, df long, top double")
     plan = similarity._candidates(placed, 0.8, 10)._jdf.queryExecution().toString().lower()
     assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+
+
+def test_terms_of_a_repeated_id_follow_the_vocabulary_rule(spark):
+    """Words are cut from whole texts in tasks and counted there; what is left of them is the rule's."""
+    from pyspark.sql import functions as F
+
+    from reviewlib.operators.vocabulary import tokens
+
+    rows = [
+        ("a", "It's ÀÉ it_s\u00a0x ITS\x0b--\ta,b\r\n."), ("a", "its ... İ ß\x1cq\x85r"), ("b", "!!"), ("b", " \t"),
+        (None, "its"), ("c", None), ("d", "x" * 9_000_000 + " y Y"), ("a", "Its"), ("b", "é -É- ~"),
+    ]
+    df = spark.createDataFrame(rows, "who string, message string").coalesce(1)
+    words = df.filter("who IS NOT NULL").select("who", F.explode(tokens("message")).alias("term"))
+    want = {tuple(r) for r in words.groupBy("who", "term").count().collect()}
+    counts = similarity.term_counts(df, "who", "message")
+    assert {tuple(r) for r in counts.collect()} == want
+    assert {("a", "its", 4), ("a", "its\u00a0x", 1), ("a", "ÀÉ", 1), ("d", "y", 2)} <= want
+    # no row per word reaches the shuffle
+    assert "Generate" not in counts._jdf.queryExecution().executedPlan().toString()
