@@ -1,8 +1,13 @@
-"""Quality of documents: random-indexing word vectors, pooled, into a small network."""
+"""Quality of documents: random-indexing word vectors, pooled, into a small network.
+
+Every labelled document counts at every step of learning: words, contexts, scaling, network and temperature. The network
+is trained in shards of bounded size, which tasks carry on for some epochs from the same weights; the weights, and
+the optimiser's running means, are then averaged by rows. The driver sees sums only.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,13 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlib.llm.common import map_texts, quoted, stored
-from reviewlib.llm.samples import bounded_sample
+from reviewlib.llm.common import bitmap, map_texts, maybe_in, quoted, stored
 from reviewlib.llm.words import Coder, mix
 
-# Parameters that bound the model: labelled documents learned from, words whose contexts are learned,
-# and the vectors' size.
-SAMPLE = 8_000
+# Parameters that bound the model: words whose contexts are learned, and the vectors' size.
 WORDS = 20_000
 SIZE = 32
 NEIGHBOURS = 2
@@ -29,7 +31,10 @@ _PRIOR = 8
 HIDDEN = 32
 EPOCHS = 60
 BATCH = 128
-CALIBRATE = 0.2  # share of the sample that sets the temperature
+# Labelled documents, about, on which one place trains, and epochs between two averages.
+SHARD = 8_000
+ROUND = 5
+CALIBRATE = 0.2  # share of the labelled documents that sets the temperature
 THRESHOLD = 0.3
 
 
@@ -103,6 +108,7 @@ def _contexts(texts: DataFrame, codes: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, table = Coder(lower=False, split=True), index_table()
+        total, met = np.zeros((len(codes), SIZE)), np.zeros(len(codes), bool)
         for batch in batches:
             for group in coder.groups(batch.column(0)):
                 shapes = _shape_codes(_shapes(group))
@@ -121,16 +127,11 @@ def _contexts(texts: DataFrame, codes: np.ndarray) -> DataFrame:
                 order = np.argsort(at[there], kind="stable")
                 rows, first = np.unique(at[there][order], return_index=True)
                 near = np.concatenate([near, near])[there][order]
-                sums = np.add.reduceat(near, first, axis=0, dtype=np.float64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rows.astype(np.int64)),
-                        pa.FixedSizeListArray.from_arrays(pa.array(sums.ravel()), SIZE).cast(
-                            pa.list_(pa.float64())
-                        ),
-                    ],
-                    names=["row", "sums"],
-                )
+                total[rows] += np.add.reduceat(near, first, axis=0, dtype=np.float64)
+                met[rows] = True
+        rows = np.flatnonzero(met)
+        sums = pa.FixedSizeListArray.from_arrays(pa.array(total[rows].ravel()), SIZE)
+        yield pa.RecordBatch.from_arrays([pa.array(rows), sums.cast(pa.list_(pa.float64()))], names=["row", "sums"])
 
     parts = texts.mapInArrow(run, "row long, sums array<double>")
     return parts.groupBy("row").agg(*(F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(SIZE)))
@@ -201,19 +202,33 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def _train(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-    """Two layers fitted by Adam on the cross-entropy."""
+def _start(width: int) -> list[np.ndarray]:
     draw = np.random.default_rng(1)
-    layers = [
-        draw.normal(0, (2 / x.shape[1]) ** 0.5, (x.shape[1], HIDDEN)),
+    return [
+        draw.normal(0, (2 / width) ** 0.5, (width, HIDDEN)),
         np.zeros(HIDDEN),
         draw.normal(0, (1 / HIDDEN) ** 0.5, HIDDEN),
         np.zeros(()),
     ]
-    first, second = [np.zeros_like(p) for p in layers], [np.zeros_like(p) for p in layers]
-    step = 0
-    for epoch in range(EPOCHS):
-        order = draw.permutation(len(x))
+
+
+def _flat(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([p.ravel() for p in parts])
+
+
+def _shaped(flat: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
+    ends = np.cumsum([p.size for p in like])
+    return [flat[e - p.size : e].reshape(p.shape).copy() for e, p in zip(ends, like)]
+
+
+def _epochs(state: np.ndarray, x: np.ndarray, y: np.ndarray, begin: int, end: int) -> np.ndarray:
+    """``state`` (layers, first and second running means, one after the other) after the epochs from ``begin``
+    to ``end`` of Adam on the cross-entropy."""
+    like = _start(x.shape[1])
+    layers, first, second = (_shaped(part, like) for part in np.split(state, 3))
+    step = begin * -(-len(x) // BATCH)
+    for epoch in range(begin, end):
+        order = np.random.default_rng((1, epoch)).permutation(len(x))
         for at in range(0, len(x), BATCH):
             some, known = x[order[at : at + BATCH]], y[order[at : at + BATCH]]
             step += 1
@@ -227,34 +242,112 @@ def _train(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
                 second[i] = 0.999 * second[i] + 0.001 * slope**2
                 move = first[i] / (1 - 0.9**step)
                 layers[i] = layers[i] - rate * move / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
-    return layers
+    return _flat([*layers, *first, *second])
+
+
+def _shards(rows: DataFrame) -> DataFrame:
+    """``rows`` (``doc_id``, ``y``, ``x``) dealt by hash into shards of about ``SHARD``, a row for each: ``x``, ``y``
+    and ``held`` (whether a document is kept for the temperature), packed, in an order of their own."""
+    shards = max(1, -(-rows.count() // SHARD))
+    held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(1000)) < int(1000 * CALIBRATE)
+    # equal ids may repeat, so their vectors deal them too
+    dealt = rows.select("doc_id", "y", "x", held.alias("held"), F.pmod(F.xxhash64("doc_id", "x"), F.lit(shards)).alias("shard"))
+
+    def run(table: pa.Table) -> pa.Table:
+        x = table["x"].combine_chunks().flatten().to_numpy().reshape(-1, SIZE + 2)
+        y = table["y"].to_numpy().astype(np.float64)
+        order = np.lexsort((*x.T[::-1], y, table["doc_id"].to_numpy()))
+        packed = x[order], y[order], table["held"].to_numpy()[order]
+        return pa.table({name: pa.array([part.tobytes()], pa.binary()) for name, part in zip(("x", "y", "held"), packed)})
 
+    return stored(dealt.groupBy("shard").applyInArrow(run, "x binary, y binary, held binary"))
 
-def _temperature(z: np.ndarray, y: np.ndarray) -> float:
-    """What logits are divided by so that probabilities fit the labels best."""
-    if not len(y):
-        return 1.0
+
+def _added(shards: DataFrame, size: int, function: Callable[..., np.ndarray]) -> np.ndarray:
+    """The sum over all shards of ``function(x, y, held)``, an array of ``size`` numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for x, y, held in zip(*(column.to_pylist() for column in batch.columns)):
+                total += function(np.frombuffer(x).reshape(-1, SIZE + 2), np.frombuffer(y), np.frombuffer(held, bool))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["at", "value"])
+
+    parts = shards.mapInArrow(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+    out = np.zeros(size)
+    out[parts["at"].to_numpy()] = parts["value"].to_numpy()
+    return out
+
+
+def _scales(shards: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of the pooled vectors."""
+    wide = SIZE + 1
+    found = _added(shards, wide + 1, lambda x, y, held: np.append(x[:, :wide].sum(0), len(x)))
+    n = found[-1]
+    if not n:
+        return np.zeros(wide), np.ones(wide)
+    mean = found[:-1] / n
+    return mean, (_added(shards, wide, lambda x, y, held: ((x[:, :wide] - mean) ** 2).sum(0)) / n) ** 0.5 + 1e-3
+
+
+def _train(shards: DataFrame, mean: np.ndarray, spread: np.ndarray) -> list[np.ndarray]:
+    """Two layers fitted on all that is not held. Shards train side by side and are averaged every ``ROUND`` epochs."""
+    like = _start(SIZE + 2)
+    state = _flat([*like, *(np.zeros_like(p) for p in like + like)])
+    for begin in range(0, EPOCHS, ROUND):
+
+        def carried(x, y, held, begin=begin, state=state):
+            n = len(x) - int(held.sum())
+            if not n:
+                return np.zeros(len(state) + 1)
+            after = _epochs(state, _features(x[~held], mean, spread), y[~held], begin, min(EPOCHS, begin + ROUND))
+            return np.append(n * after, n)
+
+        found = _added(shards, len(state) + 1, carried)
+        if not found[-1]:
+            break
+        state = found[:-1] / found[-1]
+    return _shaped(state[: len(state) // 3], like)
+
+
+def _temperature(shards: DataFrame, layers: list[np.ndarray], mean: np.ndarray, spread: np.ndarray) -> float:
+    """What logits are divided by so that probabilities fit the held labels best."""
     tried = np.exp(np.linspace(np.log(0.2), np.log(20), 200))
-    loss = [np.mean(np.logaddexp(0, -np.where(y == 1, z, -z) / t)) for t in tried]
-    return float(tried[int(np.argmin(loss))])
+
+    def loss(x, y, held):
+        z = _logit(layers, _features(x[held], mean, spread))
+        sure = np.where(y[held] == 1, z, -z)
+        return np.append([np.logaddexp(0, -sure / t).sum() for t in tried], held.sum())
+
+    found = _added(shards, len(tried) + 1, loss)
+    return float(tried[int(np.argmin(found[:-1]))]) if found[-1] else 1.0
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learns from the rows of ``labels`` (``doc_id``, ``quality``) whose text ``docs`` has: about
-    ``sample`` documents at most. Their words are counted, given vectors and pooled by
-    tasks; the driver sees the counts and sums of at most ``WORDS`` words and a vector for each
-    document of the sample, and fits the network."""
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id``, ``y``, ``t``: the texts of ``docs`` with each of their labels. A bitmap of ids lets few other
+    texts into the join, which is exact."""
     marked = labels.select(
         quoted("doc_id").cast("long").alias("doc_id"), quoted("quality").cast("int").alias("y")
     ).filter("y IN (0, 1) AND doc_id IS NOT NULL")
-    chosen = bounded_sample(
-        marked.distinct().withColumn("all", F.lit(1)), "all", "doc_id", sample
-    ).drop("all")
+    marked = stored(marked.distinct())
     texts = docs.select(
         quoted("doc_id").cast("long").alias("doc_id"), quoted("text").cast("string").alias("t")
-    ).filter("t IS NOT NULL")
-    # no more rows than the sample parameter allows, so no text is shuffled
-    rows = stored(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "t"))
+    ).filter("t IS NOT NULL AND doc_id IS NOT NULL")
+    bits = bitmap(marked, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(maybe_in(bits, batch.column(0).to_numpy())))
+
+    # a merge join at every size: labels grow with the documents, so they are not broadcast
+    return stored(texts.mapInArrow(run, texts.schema).join(marked.hint("merge"), "doc_id").select("doc_id", "y", "t"))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Learns from all rows of ``labels`` (``doc_id``, ``quality``) whose text ``docs`` has. Their words are
+    counted, given vectors and pooled by tasks, which also train the network; the driver sees
+    the counts and sums of at most ``WORDS`` words, and sums over the documents."""
+    rows = _labelled(docs, labels)
     counts = _word_counts(rows.select("t")).orderBy(F.desc("n"), "code").limit(WORDS)
     codes = np.sort(np.array([r[0] for r in counts.select("code").collect()], np.int64).view(np.uint64))
     vectors = np.zeros((len(codes), SIZE), np.float32)
@@ -266,15 +359,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     pooled = map_texts(
         rows, "t", T.StructType([T.StructField("x", T.ArrayType(T.DoubleType()))]), _pool(codes, vectors)
     )
-    table = pooled.select("doc_id", "y", "x").orderBy("doc_id", "y").toPandas()
-    x = np.array(table["x"].tolist(), np.float64).reshape(len(table), SIZE + 2)
-    y = table["y"].to_numpy(np.float64)
-    mean = x[:, : SIZE + 1].mean(0) if len(x) else np.zeros(SIZE + 1)
-    spread = x[:, : SIZE + 1].std(0) + 1e-3 if len(x) else np.ones(SIZE + 1)
-    x = _features(x, mean, spread)
-    held = np.random.default_rng(2).random(len(x)) < CALIBRATE
-    layers = _train(x[~held], y[~held])
-    return Model(codes, vectors, mean, spread, layers, _temperature(_logit(layers, x[held]), y[held]))
+    shards = _shards(stored(pooled.select("doc_id", "y", "x")))
+    mean, spread = _scales(shards)
+    layers = _train(shards, mean, spread)
+    return Model(codes, vectors, mean, spread, layers, _temperature(shards, layers, mean, spread))
 
 
 def _pool(codes: np.ndarray, vectors: np.ndarray):

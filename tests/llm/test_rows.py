@@ -22,6 +22,7 @@ from reviewlib.llm import (
     secret_automata,
     token_files,
 )
+from reviewlib.llm.words import Coder
 
 # -- token files -----------------------------------------------------------------------
 
@@ -356,6 +357,35 @@ def test_quality(spark):
     assert quality.score(none(spark), model, out="s").collect() == []
 
 
+def test_quality_learns_from_every_labelled_document(spark, monkeypatch):
+    """Every labelled text counts, however many there are, and shards trained apart agree."""
+    own = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(8_400)]
+    rows = [(i, f"{w} good fine" if i % 3 else f"{w} ### ###") for i, w in enumerate(own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 3 > 0) quality").unionByName(
+        spark.createDataFrame([(3, 0), (5, 1), (5, 1)], "doc_id long, quality int")
+    )
+    monkeypatch.setattr(quality, "ROUND", 20)
+    monkeypatch.setattr(quality, "SHARD", 2_000)
+    model = quality.fit(docs, labels)
+    group = next(Coder(lower=False, split=True).groups(pa.array([" ".join(own)])))
+    assert np.isin(group.codes, model.codes).all()
+    out = {r.doc_id: r.s for r in quality.score(docs, model, out="s").collect()}
+    assert all((s > 0.5) == (i % 3 > 0) for i, s in out.items())
+
+
+def test_quality_shards_hold_every_row_once(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SHARD", 7)
+    rows = [(i % 40, i % 2, [float(i + k) for k in range(quality.SIZE + 2)]) for i in range(60)]
+    shards = quality._shards(spark.createDataFrame(rows, "doc_id long, y int, x array<double>"))
+    assert shards.count() > 4
+    got = quality._added(shards, 3, lambda x, y, held: np.array([len(x), y.sum(), x[:, 0].sum()]))
+    assert got.tolist() == [60, 30, sum(range(60))]
+    mean, spread = quality._scales(shards)
+    x = np.array([r[2] for r in rows])[:, : quality.SIZE + 1]
+    assert np.allclose(mean, x.mean(0)) and np.allclose(spread, x.std(0) + 1e-3)
+
+
 # -- licences --------------------------------------------------------------------------
 
 
