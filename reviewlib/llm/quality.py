@@ -227,8 +227,12 @@ def _epochs(state: np.ndarray, x: np.ndarray, y: np.ndarray, begin: int, end: in
     like = _start(x.shape[1])
     layers, first, second = (_shaped(part, like) for part in np.split(state, 3))
     step = begin * -(-len(x) // BATCH)
+    draw = np.random.default_rng(1)
+    draw.normal(size=like[0].size + like[2].size)  # the draws of the start, then those of earlier epochs
+    for _ in range(begin):
+        draw.permutation(len(x))
     for epoch in range(begin, end):
-        order = np.random.default_rng((1, epoch)).permutation(len(x))
+        order = draw.permutation(len(x))
         for at in range(0, len(x), BATCH):
             some, known = x[order[at : at + BATCH]], y[order[at : at + BATCH]]
             step += 1
@@ -249,15 +253,14 @@ def _shards(rows: DataFrame) -> DataFrame:
     """``rows`` (``doc_id``, ``y``, ``x``) dealt by hash into shards of about ``SHARD``, a row for each: ``x``, ``y``
     and ``held`` (whether a document is kept for the temperature), packed, in an order of their own."""
     shards = max(1, -(-rows.count() // SHARD))
-    held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(1000)) < int(1000 * CALIBRATE)
     # equal ids may repeat, so their vectors deal them too
-    dealt = rows.select("doc_id", "y", "x", held.alias("held"), F.pmod(F.xxhash64("doc_id", "x"), F.lit(shards)).alias("shard"))
+    dealt = rows.select("doc_id", "y", "x", F.pmod(F.xxhash64("doc_id", "x"), F.lit(shards)).alias("shard"))
 
     def run(table: pa.Table) -> pa.Table:
         x = table["x"].combine_chunks().flatten().to_numpy().reshape(-1, SIZE + 2)
         y = table["y"].to_numpy().astype(np.float64)
         order = np.lexsort((*x.T[::-1], y, table["doc_id"].to_numpy()))
-        packed = x[order], y[order], table["held"].to_numpy()[order]
+        packed = x[order], y[order], np.random.default_rng(2).random(len(x)) < CALIBRATE
         return pa.table({name: pa.array([part.tobytes()], pa.binary()) for name, part in zip(("x", "y", "held"), packed)})
 
     return stored(dealt.groupBy("shard").applyInArrow(run, "x binary, y binary, held binary"))

@@ -386,6 +386,17 @@ def test_quality_shards_hold_every_row_once(spark, monkeypatch):
     assert np.allclose(mean, x.mean(0)) and np.allclose(spread, x.std(0) + 1e-3)
 
 
+def test_quality_training_carried_on_is_training_in_one_go():
+    draw = np.random.default_rng(5)
+    x, y = draw.normal(size=(300, quality.SIZE + 2)), draw.integers(0, 2, 300).astype(float)
+    like = quality._start(quality.SIZE + 2)
+    state = quality._flat([*like, *(np.zeros_like(p) for p in like + like)])
+    parts = state
+    for begin, end in ((0, 5), (5, 7), (7, 12)):
+        parts = quality._epochs(parts, x, y, begin, end)
+    assert np.array_equal(parts, quality._epochs(state, x, y, 0, 12)) and not np.array_equal(parts, state)
+
+
 # -- licences --------------------------------------------------------------------------
 
 
