@@ -32,11 +32,12 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, codec: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, lineage cut, and safe
-    when executors are lost."""
+    when executors are lost. ``codec`` compresses it otherwise than the session says."""
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    write = df.write.option("compression", codec) if codec else df.write
+    write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

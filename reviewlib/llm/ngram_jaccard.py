@@ -37,6 +37,8 @@ _TAG = 64
 # Sets of a key that are compared in one place, and how many of them with all at a time.
 _BLOCK = 512
 _ROWS = 128
+# Tables of keys are the most that waits on disk, so they are compressed harder.
+_CODEC = "zstd"
 
 
 class Bands:
@@ -350,10 +352,10 @@ def _open_pairs(
         return rows.join(part, u, "left").withColumn(c, F.coalesce("_c", u)).drop("_c")
 
     ends = placed(placed(centred, "doc_id", "u", "c"), "centre", "v", "d")
-    apart = stored(ends.filter("c != d").select("doc_id", "centre"))
+    apart = stored(ends.filter("c != d").select("doc_id", "centre"), _CODEC)
     unsettled = shared.join(apart, ["doc_id", "centre"], "left_semi").select("key").distinct()
     rows = shared.join(unsettled, "key", "left_semi").select("key", "doc_id", "tag")
-    rows = stored(placed(rows, "doc_id", "u", "c").select("key", "u", "tag", "c").distinct())
+    rows = stored(placed(rows, "doc_id", "u", "c").select("key", "u", "tag", "c").distinct(), _CODEC)
     need = F.floor(F.col("tag") / _TAG)
     count = rows.groupBy("u", "tag").agg(F.count("*").alias("n"))
     able = count.filter(F.col("n") >= need)
@@ -365,7 +367,8 @@ def _open_pairs(
         frequent.join(sizes, "key")
         .withColumn("nth", F.row_number().over(order))
         .filter(F.col("nth") <= F.col("n") - need + 1)
-        .select("key", "u", "c", "size")
+        .select("key", "u", "c", "size"),
+        _CODEC,
     )
     tasks = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.ceil(F.col("size") / _BLOCK)
@@ -428,9 +431,9 @@ def similar_documents(
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = max(tasks, total * 6 // 10 // _GROUP)
-    shared = stored(_shared_keys(docs, groups, width, percent))
+    shared = stored(_shared_keys(docs, groups, width, percent), _CODEC)
 
-    centred = stored(shared.select("doc_id", "centre").distinct())
+    centred = stored(shared.select("doc_id", "centre").distinct(), _CODEC)
     centre = copies.select(F.col("doc_id").alias("centre"), F.col("u").alias("w"))
     pairs = (
         centred.join(copies, "doc_id", "left")
