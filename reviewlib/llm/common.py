@@ -105,10 +105,10 @@ def check_columns(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def bitmap(df: DataFrame, column: str) -> np.ndarray:
-    """Bits set for the values of a long column, at least sixteen to a value up to a bound of
+    """Bits set for the values of a long column, at least 128 to a value up to a bound of
     16 MB. It may go to all tasks: when it is full it only lets more rows pass."""
     count = df.count()
-    bits = min(27, max(16, (16 * count).bit_length()))
+    bits = min(27, max(16, (128 * count).bit_length()))
     folded = F.col(column).bitwiseXOR(F.shiftrightunsigned(column, _FOLD))
     slot = folded.bitwiseAND(F.lit((1 << bits) - 1))
     words = df.select(

@@ -37,6 +37,9 @@ _TAG = 64
 # Sets of a key that are compared in one place, and how many of them with all at a time.
 _BLOCK = 512
 _ROWS = 128
+# Members of a key that one row of the table of shared keys holds, and rows looked at at a time.
+_MEMBERS = 128
+_LOOK = 512
 # Tables of keys are the most that waits on disk, so they are compressed harder.
 _CODEC = "zstd"
 
@@ -153,31 +156,51 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, digest binary, sketch array<long>")
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Small whole numbers, compressed byte by byte: the lowest byte of each, then the next."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return pa.compress(planes.tobytes(), _CODEC, asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    raw = pa.decompress(data, n * width, _CODEC, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).view(kind).ravel()
+
+
 def _sent(keys: list, ids: list, tags: list, groups: int) -> pa.RecordBatch:
     """A row per group with its keys, their documents (as steps from one to the next, which
-    compress well) and their tags."""
+    compress well) and their tags.
+
+    32 bits of a key go along: with the about ``_GROUP`` keys of a group they make a key in some
+    thousand seem shared that is not, which only adds a candidate.
+    """
     key, id, tag = (np.concatenate(x) for x in (keys, ids, tags))
     group = (key % np.uint64(groups)).astype(np.int64)
     order = np.argsort(group, kind="stable")
     present, first = np.unique(group[order], return_index=True)
-    id = id[order]
+    id, tag = id[order], tag[order]
+    short = (key[order] // np.uint64(groups)).astype(np.uint32)
     steps = np.diff(id, prepend=0)
     steps[first] = id[first]
-    ends = pa.array(np.append(first, len(order)), pa.int32())
+    ends = np.append(first, len(order)).tolist()
+    rows = [slice(*x) for x in zip(ends[:-1], ends[1:])]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(present),
-            pa.ListArray.from_arrays(ends, pa.array(key[order].view(np.int64))),
-            pa.ListArray.from_arrays(ends, pa.array(steps)),
-            pa.ListArray.from_arrays(ends, pa.array(tag[order])),
+            pa.array([short[x].tobytes() for x in rows], pa.binary()),
+            pa.array([_packed(steps[x]) for x in rows], pa.binary()),
+            pa.array([_packed(tag[x]) for x in rows], pa.binary()),
         ],
         names=["group", "keys", "steps", "tags"],
     )
 
 
 def _shared_keys(docs: DataFrame, groups: int, width: int, percent: int) -> DataFrame:
-    """``key``, ``doc_id``, ``tag``, ``centre`` of the block keys that more than one set has; the centre
-    is the smallest document with the key. A task sends on each of its sets once."""
+    """``key``, ``centre``, ``split``, ``ids``, ``tags`` of the block keys that more than one set has:
+    the centre is the smallest document with the key, the ids and tags are those of all sets that
+    have it, the centre's first. A key of many sets is ``split`` over rows.
+    A task sends on each of its sets once."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, bands = Coder(), Bands(percent)
@@ -203,10 +226,11 @@ def _shared_keys(docs: DataFrame, groups: int, width: int, percent: int) -> Data
             yield _sent(keys, ids, tags, groups)
 
     def join(table: pa.Table) -> pa.Table:
-        key = table["keys"].combine_chunks().flatten().to_numpy()
-        tag = table["tags"].combine_chunks().flatten().to_numpy()
-        ids = [np.cumsum(row.values.to_numpy(zero_copy_only=False)) for row in table["steps"]]
-        id = np.concatenate(ids)
+        keys = [np.frombuffer(x.as_py(), np.uint32) for x in table["keys"]]
+        steps = [_unpacked(x.as_py(), len(k), np.int64) for x, k in zip(table["steps"], keys)]
+        tags = [_unpacked(x.as_py(), len(k), np.int32) for x, k in zip(table["tags"], keys)]
+        key, tag = np.concatenate(keys), np.concatenate(tags)
+        id = np.concatenate([np.cumsum(x) for x in steps])
         order = np.lexsort((id, key))
         key, id, tag = key[order], id[order], tag[order]
         new = np.append(True, key[1:] != key[:-1])
@@ -214,20 +238,85 @@ def _shared_keys(docs: DataFrame, groups: int, width: int, percent: int) -> Data
         size = np.diff(np.append(first, len(key)))
         run = np.cumsum(new) - 1
         keep = size[run] > 1
+        run, nth = run[keep], (np.arange(len(key)) - first[run])[keep]
+        begin = np.flatnonzero(nth % _MEMBERS == 0)
+        ends = pa.array(np.append(begin, len(run)), pa.int32())
         number = table["group"][0].as_py() << 32
         return pa.table(
             {
-                "key": pa.array(number + run[keep]),
-                "doc_id": pa.array(id[keep]),
-                "tag": pa.array(tag[keep]),
-                "centre": pa.array(id[first][run[keep]]),
+                "key": pa.array(number + run[begin]),
+                "centre": pa.array(id[first][run[begin]]),
+                "split": pa.array(size[run[begin]] > _MEMBERS),
+                "ids": pa.ListArray.from_arrays(ends, pa.array(id[keep])),
+                "tags": pa.ListArray.from_arrays(ends, pa.array(tag[keep])),
             }
         )
 
-    sent = docs.mapInArrow(
-        send, "group long, keys array<long>, steps array<long>, tags array<int>"
+    sent = docs.mapInArrow(send, "group long, keys binary, steps binary, tags binary")
+    return sent.groupBy("group").applyInArrow(
+        join, "key long, centre long, split boolean, ids array<long>, tags array<int>"
     )
-    return sent.groupBy("group").applyInArrow(join, "key long, doc_id long, tag int, centre long")
+
+
+def _looks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows, since each may hold many documents."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _LOOK):
+            yield batch.slice(at, _LOOK)
+
+
+def _members(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The documents of all rows of shared keys, and the centre of each."""
+    ids = batch.column("ids")
+    sizes = np.diff(ids.offsets.to_numpy())
+    return ids.flatten().to_numpy(), np.repeat(batch.column("centre").to_numpy(), sizes)
+
+
+def _centred(shared: DataFrame) -> DataFrame:
+    """``doc_id``, ``centre`` of all keys, each pair of them once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _looks(batches):
+            id, centre = _members(batch)
+            order = np.lexsort((id, centre))
+            id, centre = id[order], centre[order]
+            new = np.append(True, (id[1:] != id[:-1]) | (centre[1:] != centre[:-1]))[: len(id)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(id[new]), pa.array(centre[new])], names=["doc_id", "centre"]
+            )
+
+    return shared.select("centre", "ids").mapInArrow(run, "doc_id long, centre long").distinct()
+
+
+def _pair_code(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return mix(mix(one.view(np.uint64)) + other.view(np.uint64)).view(np.int64)
+
+
+def _unsettled(shared: DataFrame, apart: DataFrame) -> DataFrame:
+    """``key``, ``doc_id``, ``tag`` of the keys with a document ``apart`` from its centre. A bitmap lets a few
+    other keys pass, which only add candidates; keys of many sets are told by all their rows."""
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = _pair_code(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(code)], names=["code"])
+
+    bits = bitmap(apart.select("doc_id", "centre").mapInArrow(coded, "code long"), "code")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _looks(batches):
+            hit = np.append(0, np.cumsum(maybe_in(bits, _pair_code(*_members(batch)))))
+            ends = batch.column("ids").offsets.to_numpy()
+            hit = np.diff(hit[ends - ends[0]]) > 0
+            batch = batch.append_column("hit", pa.array(hit))
+            yield batch.filter(pa.array(hit | batch.column("split").to_numpy(zero_copy_only=False)))
+
+    schema = "key long, centre long, split boolean, ids array<long>, tags array<int>, hit boolean"
+    rows = stored(shared.mapInArrow(run, schema), _CODEC)
+    many = rows.filter("split")
+    many = many.join(many.filter("hit").select("key").distinct(), "key", "left_semi")
+    rows = rows.filter("NOT split").select("key", "ids", "tags").union(many.select("key", "ids", "tags"))
+    return rows.select("key", F.inline(F.arrays_zip("ids", "tags"))).toDF("key", "doc_id", "tag")
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -353,9 +442,8 @@ def _open_pairs(
 
     ends = placed(placed(centred, "doc_id", "u", "c"), "centre", "v", "d")
     apart = stored(ends.filter("c != d").select("doc_id", "centre"), _CODEC)
-    unsettled = shared.join(apart, ["doc_id", "centre"], "left_semi").select("key").distinct()
-    rows = shared.join(unsettled, "key", "left_semi").select("key", "doc_id", "tag")
-    rows = stored(placed(rows, "doc_id", "u", "c").select("key", "u", "tag", "c").distinct(), _CODEC)
+    rows = placed(_unsettled(shared, apart), "doc_id", "u", "c")
+    rows = stored(rows.select("key", "u", "tag", "c").distinct(), _CODEC)
     need = F.floor(F.col("tag") / _TAG)
     count = rows.groupBy("u", "tag").agg(F.count("*").alias("n"))
     able = count.filter(F.col("n") >= need)
@@ -433,7 +521,7 @@ def similar_documents(
     groups = max(tasks, total * 6 // 10 // _GROUP)
     shared = stored(_shared_keys(docs, groups, width, percent), _CODEC)
 
-    centred = stored(shared.select("doc_id", "centre").distinct(), _CODEC)
+    centred = stored(_centred(shared), _CODEC)
     centre = copies.select(F.col("doc_id").alias("centre"), F.col("u").alias("w"))
     pairs = (
         centred.join(copies, "doc_id", "left")

@@ -104,6 +104,33 @@ def test_many_near_copies_in_small_blocks(spark, monkeypatch):
     assert found(ngram_jaccard.similar_documents(documents(spark, texts))) == linked(texts)
 
 
+def test_keys_of_many_documents_over_rows(spark, monkeypatch):
+    """A key of more documents than a row holds, some of them in other components."""
+    monkeypatch.setattr(ngram_jaccard, "_MEMBERS", 3)
+    draw = np.random.default_rng(6)
+    base = prose(501, 90)
+    texts = [(i, changed(base, draw.choice(90, 5, replace=False).tolist())) for i in range(50)]
+    assert found(ngram_jaccard.similar_documents(documents(spark, texts))) == linked(texts)
+
+
+@pytest.mark.parametrize("groups", [3, 900])
+def test_keys_are_sent_in_few_bytes(groups):
+    draw = np.random.default_rng(groups)
+    keys = [draw.integers(0, 2**64, 100, dtype=np.uint64) for _ in range(4_000)]
+    ids = [np.full(100, 3 * i + 10**12) for i in range(4_000)]
+    tags = [np.full(100, 64 * (i % 5) + 7, np.int32) for i in range(4_000)]
+    sent = ngram_jaccard._sent(keys, ids, tags, groups)
+    assert sent.nbytes < 6 * 400_000
+    seen = set()
+    for row in sent.to_pylist():
+        key = np.frombuffer(row["keys"], np.uint32)
+        id = np.cumsum(ngram_jaccard._unpacked(row["steps"], len(key), np.int64))
+        tag = ngram_jaccard._unpacked(row["tags"], len(key), np.int32)
+        seen |= {(row["group"], *x) for x in zip(key.tolist(), id.tolist(), tag.tolist())}
+    expected = zip(*(np.concatenate(x).tolist() for x in (keys, ids, tags)))
+    assert seen == {(k % groups, k // groups % 2**32, i, t) for k, i, t in expected}
+
+
 @pytest.mark.parametrize("n", [1, 4, 5, 9, 20, 63, 64, 65, 200, 2_000])
 def test_similar_sets_share_as_many_keys_as_the_tag_says(n):
     draw, bands = np.random.default_rng(n), ngram_jaccard.Bands(80)
