@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,8 @@ MAX_BITS = 18
 STRIDE = 256
 # Ids that a block gathers before it is closed; a longer document is a block of its own.
 BLOCK = 1 << 18
-# Pieces of text whose ids a task remembers.
-_CACHE = 600_000
+# Pieces of text whose ids a Python worker remembers, for its next tasks too.
+_CACHE = 1_000_000
 # The UTF-8 bytes, as numbers, of the characters past ASCII that a pattern's \s takes.
 _SPACES = [
     int.from_bytes(chr(c).encode())
@@ -143,7 +144,7 @@ class Book:
 
 
 class Ids:
-    """Ids of texts by the tokenizers library; one per task.
+    """Ids of texts by the tokenizers library.
 
     A byte-level tokenizer cuts a text by its published pattern before it looks at its vocabulary.
     That pattern never crosses a blank after something else than white space, punctuation after an
@@ -184,13 +185,15 @@ class Ids:
         self._forget()
 
     def _forget(self) -> None:
-        self.row: dict[int, int] = {}
+        # codes of the known pieces, ascending, and the row of each
+        self.known, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.begin = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
         self.flat = np.zeros(1 << 18, np.int32)
         self.used = 0
 
-    def _keep(self, codes: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _keep(self, codes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Remembers pieces, whose ``codes`` ascend."""
         n, m = len(self.row), len(codes)
         while n + m > len(self.begin):
             self.begin, self.size = (np.append(x, np.zeros_like(x)) for x in (self.begin, self.size))
@@ -200,7 +203,16 @@ class Ids:
         self.size[n : n + m] = sizes
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        self.row.update(zip(codes, range(n, n + m)))
+        at = np.searchsorted(self.known, codes)
+        self.known = np.insert(self.known, at, codes)
+        self.row = np.insert(self.row, at, np.arange(n, n + m))
+
+    def _rows(self, codes: np.ndarray) -> np.ndarray:
+        """The rows of pieces, -1 for those not known."""
+        if not len(self.known):
+            return np.full(len(codes), -1)
+        at = np.minimum(np.searchsorted(self.known, codes), len(self.known) - 1)
+        return np.where(self.known[at] == codes, self.row[at], -1)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -246,12 +258,12 @@ class Ids:
             stop = np.searchsorted(np.cumsum(self.bytes[ids]), upto) + 1
             if gap:
                 ids = np.delete(ids, stop - 1)
-            self._keep(codes[kind].tolist(), ids, np.diff(stop, prepend=0) - gap)
+            self._keep(codes[kind], ids, np.diff(stop, prepend=0) - gap)
         rest = ~plain
         if rest.any():
             pieces = [bytes(data[a:b]).decode() for a, b in zip(starts[rest].tolist(), ends[rest].tolist())]
             found = self._encode(pieces)
-            self._keep(codes[rest].tolist(), np.concatenate(found), np.array([len(x) for x in found]))
+            self._keep(codes[rest], np.concatenate(found), np.array([len(x) for x in found]))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each ended by the end id, and where the texts' ids start and end."""
@@ -284,13 +296,12 @@ class Ids:
         back[order] = np.cumsum(new) - 1
         if len(self.row) > _CACHE:
             self._forget()
-        known = self.row.get
-        rows = np.array([known(c, -1) for c in values.tolist()])
+        rows = self._rows(values)
         missing = rows < 0
         if missing.any():
             at = first[missing]
             self._learn(data, values[missing], starts[at], ends[at])
-            rows[missing] = [self.row[c] for c in values[missing].tolist()]
+            rows[missing] = self._rows(values[missing])
         rows = rows[back]
         wide = self.size[rows]
         total = np.cumsum(np.append(0, wide))
@@ -300,6 +311,12 @@ class Ids:
         return ids, bounds + np.arange(len(bounds))
 
 
+@lru_cache(maxsize=1)
+def _ids(tokenizer: str, end_id: int) -> Ids:
+    """One for all tasks of a Python worker, so that each takes over what those before it have learned."""
+    return Ids(tokenizer, end_id)
+
+
 def _by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of about a megabyte of text (the second column)."""
     for batch in batches:
@@ -319,7 +336,7 @@ def encode_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     width = _width(tokenizer, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Ids(tokenizer, end_id)
+        encode = _ids(tokenizer, end_id)
         for batch in _by_text(batches):
             ids, bounds = encode(batch.column(1))
             data, bounds = ids.astype(width).tobytes(), bounds * np.dtype(width).itemsize

@@ -51,6 +51,26 @@ def test_ids_beside_white_space_past_ascii():
         assert ids[a:b].tolist() == tok.encode(text, add_special_tokens=False).ids + [2], ascii(text)
 
 
+def test_the_next_task_of_a_worker_encodes_only_new_pieces(monkeypatch):
+    tok, texts = Tokenizer.from_str(JSON), ODD + [t for _, t in TEXTS]
+    token_files._ids(JSON, 2)(pa.array(texts))
+    sent, encode = [], token_files.Ids._encode
+    monkeypatch.setattr(token_files.Ids, "_encode", lambda self, x: sent.extend(x) or encode(self, x))
+    ids, bounds = token_files._ids(JSON, 2)(pa.array([*texts[::-1], "brandnewword"]))
+    assert sent == ["brandnewword\n"]
+    for text, a, b in zip([*texts[::-1], "brandnewword"], bounds[:-1], bounds[1:]):
+        assert ids[a:b].tolist() == tok.encode(text or "", add_special_tokens=False).ids + [2]
+
+
+def test_forgotten_pieces_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(token_files, "_CACHE", 10)
+    tok, encode = Tokenizer.from_str(JSON), token_files.Ids(JSON, 2)
+    for _, text in TEXTS * 2:
+        ids, _ = encode(pa.array([text]))
+        assert ids.tolist() == tok.encode(text or "", add_special_tokens=False).ids + [2]
+        assert len(encode.row) == len(encode.known) and (np.diff(encode.known.astype(float)) >= 0).all()
+
+
 def test_ids_of_a_tokenizer_with_other_rules():
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         rules = file.read()
