@@ -172,7 +172,8 @@ def within(fps: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFram
         "fp", "n", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("t", "key")
     )
     sizes = keyed.groupBy("t", "key").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
-    keyed = keyed.join(sizes, ["t", "key"])
+    # Spark takes rows of an array for no larger than their input, so it would broadcast these tables
+    keyed = keyed.join(sizes.hint("merge"), ["t", "key"])
     left = keyed.select("t", "key", "fp", (F.abs(F.xxhash64("fp")) % F.col("parts")).cast("int").alias("part"))
     right = keyed.select(
         "t", "key", F.col("fp").alias("other"), F.col("n").alias("n_other"),
@@ -183,7 +184,7 @@ def within(fps: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFram
         same = F.col("fp").bitwiseAND(F.lit(m)) == F.col("other").bitwiseAND(F.lit(m))
         earlier.append(F.when(F.col("t") > i, same).otherwise(F.lit(False)))
     first = ~F.greatest(*earlier)
-    pairs = left.join(right, ["t", "key", "part"]).filter(
+    pairs = left.join(right.hint("merge"), ["t", "key", "part"]).filter(
         (F.col("fp") != F.col("other")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= radius) & first
     )
     near = pairs.groupBy("fp").agg(F.sum("n_other").alias("n_near"))

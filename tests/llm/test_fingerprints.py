@@ -103,6 +103,15 @@ def test_within_is_the_brute_force_count(spark):
         assert got[f] == (n, near)
 
 
+def test_block_tables_are_never_broadcast(spark):
+    # sized as their input before the array of keys is cut into rows, they would pass for small
+    near = simhash.within(spark.range(50).select(F.xxhash64("id").alias("fp")))
+    assert near.count() == 50
+    plan = near._jdf.queryExecution().executedPlan().toString().split("\n")
+    joins = [line for line in plan if "Join [t#" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_query_on_awkward_rows(spark, tmp_path):
     import __spark_entry__ as entry
 
