@@ -47,6 +47,8 @@ _BLOCK, _GROUP = 512, 4096
 _SLICE = 1 << 23
 # Members of a class that one bucket of its expansion takes, about.
 _MEMBERS = 1_000
+# Pairs that a task gives out, about.
+_PAIRS = 4_000_000
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -114,8 +116,13 @@ def _members(vectors: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("term", w)).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(1), "term", w)).alias("y"),
     )
+    return classes_of(marks)
+
+
+def classes_of(marks: DataFrame, *carry: str) -> DataFrame:
+    """``id``, ``rep`` and the columns ``carry`` of rows whose marks ``n``, ``x`` and ``y`` are equal for equal vectors."""
     least = marks.groupBy("n", "x", "y").agg(F.min("id").alias("rep"))
-    return marks.join(least, ["n", "x", "y"]).select("id", "rep")
+    return marks.join(least, ["n", "x", "y"]).select("id", "rep", *carry)
 
 
 def _candidates(placed: DataFrame, least: float, hot: int) -> DataFrame:
@@ -206,7 +213,11 @@ def similar_pairs(vectors: DataFrame, threshold: float = 0.8, hot: int = HOT) ->
     ``vectors`` whose rounded cosine is at least ``threshold``: the classes of
     :func:`similar_classes`, every member of one with every member of the other. Members of a large
     class are dealt over buckets, and those they are paired with copied to each."""
-    members, pairs = similar_classes(vectors, threshold, hot)
+    return expanded(*similar_classes(vectors, threshold, hot), threshold)
+
+
+def expanded(members: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of ids of classes (:func:`similar_classes`). What is joined is dealt over tasks by the pairs that come of it."""
     within = members.groupBy("rep").agg(F.count("*").alias("m"))
     linked = pairs.unionByName(
         within.filter((F.col("m") > 1) & F.lit(threshold <= 1)).select(F.col("rep").alias("a"), F.col("rep").alias("b"), F.lit(1.0).alias("cosine"))
@@ -216,7 +227,8 @@ def similar_pairs(vectors: DataFrame, threshold: float = 0.8, hot: int = HOT) ->
     left = dealt.select(F.col("rep").alias("a"), F.col("id").alias("x"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("bucket"))
     right = members.select(F.col("rep").alias("b"), F.col("id").alias("y"))
     buckets = within.select(F.col("rep").alias("a"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("bucket"))
+    many = (within.agg(F.sum(F.col("m").cast("double") * F.col("m")) / 2).first()[0] or 0) + pairs.count()
     # every member of b once for each bucket of a
-    asked = linked.join(buckets, "a").join(right, "b")
+    asked = linked.join(buckets, "a").join(right, "b").repartition(min(2_000, ceil(many / _PAIRS) + 1), "a", "bucket")
     joined = asked.join(left, ["a", "bucket"]).filter((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")))
     return joined.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "cosine")

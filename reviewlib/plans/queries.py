@@ -31,6 +31,7 @@ from reviewlib.operators import (
     profile,
     raters,
     sequence,
+    similar_texts,
     similarity,
     split,
     stylometry,
@@ -693,15 +694,11 @@ def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 SIMILAR = 0.8
 
 
-def _review_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviews = _reviews(spark, sf_dir)
-    return similarity.tfidf(similarity.term_counts(reviews, "review_id", "message"))
-
-
 @query
 def similar_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of reviews whose TF-IDF cosine is at least 0.8: the review similarity graph."""
-    return similarity.similar_pairs(_review_vectors(spark, sf_dir), SIMILAR)
+    classes = similar_texts.similar_classes(_reviews(spark, sf_dir), "review_id", "message", SIMILAR)
+    return similarity.expanded(*classes, SIMILAR)
 
 
 @query
@@ -717,7 +714,7 @@ def similar_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def review_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Communities of the review similarity graph (cosine as weight) by modularity moves: every
     review with a link, and the least review of its community."""
-    members, pairs = similarity.similar_classes(_review_vectors(spark, sf_dir), SIMILAR)
+    members, pairs = similar_texts.similar_classes(_reviews(spark, sf_dir), "review_id", "message", SIMILAR)
     edges = pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.col("cosine").alias("w"))
     found = communities.louvain(edges, members=members.select(F.col("id").alias("node"), F.col("rep").alias("cls")))
     return found.select(F.col("node").alias("review_id"), "community")
