@@ -41,13 +41,13 @@ _PARTS = 32
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _packed(a: np.ndarray, kind: str = "<u4") -> bytes:
+def packed(a: np.ndarray, kind: str = "<u4") -> bytes:
     """Numbers byte by byte, the like bytes of all together."""
     a = a.astype(kind)
     return pa.compress(a.view(np.uint8).reshape(len(a), -1).T.tobytes(), codec="zstd", asbytes=True) if len(a) else b""
 
 
-def _unpacked(data: bytes, n: int, kind: str = "<u4") -> np.ndarray:
+def unpacked(data: bytes, n: int, kind: str = "<u4") -> np.ndarray:
     width = np.dtype(kind).itemsize
     if not n:
         return np.zeros(0, kind)
@@ -85,7 +85,7 @@ def _counted(part: pa.RecordBatch) -> tuple | None:
     return kept, sizes, codes, tfs, terms.dictionary.take(pa.array(used)), np.bincount(codes)
 
 
-def _chunks(df: DataFrame, id: str, text: str) -> DataFrame:
+def chunks_of(df: DataFrame, id: str, text: str) -> DataFrame:
     """Rows of texts with their ``ids`` (with a term), how many terms each has, the places of these in the chunk's ``terms``,
     their counts, and how many ids have each term (``dfs``). Texts of a repeated id are counted together first."""
     rows = df.filter(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
@@ -115,7 +115,7 @@ def _chunks(df: DataFrame, id: str, text: str) -> DataFrame:
                     ids = part.column(0).take(pa.array(kept))
                     lists = [ids, pa.array(sizes, pa.int32()), terms.cast(pa.string()), pa.array(dfs, pa.int32())]
                     ids, sizes, terms, dfs = (pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists)
-                    columns = [pa.array([chunk]), ids, sizes, pa.array([_packed(codes)]), pa.array([_packed(tfs)]), terms, dfs]
+                    columns = [pa.array([chunk]), ids, sizes, pa.array([packed(codes)]), pa.array([packed(tfs)]), terms, dfs]
                     yield pa.RecordBatch.from_arrays(columns, names=out.names)
                     chunk += 1
 
@@ -127,7 +127,7 @@ def _vectors(row: dict, total: int) -> tuple:
     other id), counts, ``df`` and weights of its entries, and the lengths before scaling."""
     sizes = row["sizes"].values.to_numpy().astype(np.int64)
     at = np.concatenate([[0], np.cumsum(sizes)])
-    codes, tfs = (_unpacked(row[c].as_py(), int(at[-1])).astype(np.int64) for c in ("codes", "tfs"))
+    codes, tfs = (unpacked(row[c].as_py(), int(at[-1])).astype(np.int64) for c in ("codes", "tfs"))
     tids, dfs = np.full(codes.max() + 1, -1), np.ones(codes.max() + 1, np.int64)
     if row["v"].is_valid:
         v = row["v"].values
@@ -143,7 +143,7 @@ def _vectors(row: dict, total: int) -> tuple:
 
 def _placed(df: DataFrame, id: str, text: str) -> tuple[DataFrame, int]:
     """The chunks with the number and ``df`` of each term that several ids have, and the number of ids."""
-    chunks = _chunks(df, id, text)
+    chunks = chunks_of(df, id, text)
     total = int(chunks.select(F.sum(F.size("ids"))).first()[0] or 0)
     words = chunks.select("chunk", F.posexplode(F.arrays_zip("terms", "dfs")).alias("pos", "x"))
     # a term has at most a place in each chunk
@@ -212,7 +212,7 @@ def _blocks(placed: DataFrame, kept: DataFrame, total: int, parts: int) -> DataF
                         continue  # these texts share no term with another
                     mass = np.bincount(codes, w[pick] ** 2)
                     most = np.argsort(-mass, kind="stable")[: _MANY[1]]
-                    binary = (_packed(sizes), norms[some].astype("<f8").tobytes(), _packed(known, "<u8"), _packed(dfs[pick][index]), _packed(codes), _packed(tfs[pick]))
+                    binary = (packed(sizes), norms[some].astype("<f8").tobytes(), packed(known, "<u8"), packed(dfs[pick][index]), packed(codes), packed(tfs[pick]))
                     lists = [row["ids"].values.take(pa.array(some)), pa.array(known[most]), pa.array(mass[most])]
                     ids, heavy, mass = (pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists)
                     columns = [pa.array([block]), ids, pa.array([len(known)], pa.int32()), *(pa.array([b], pa.binary()) for b in binary), heavy, mass]
@@ -229,11 +229,11 @@ class _Block:
     def __init__(self, row: dict, total: int, heavy: np.ndarray):
         self.ids = row["ids"].values
         n, v = len(self.ids), row["terms"].as_py()
-        sizes = _unpacked(row["sizes"].as_py(), n).astype(np.int64)
+        sizes = unpacked(row["sizes"].as_py(), n).astype(np.int64)
         self.at = np.concatenate([[0], np.cumsum(sizes)])
-        self.codes, tfs = (_unpacked(row[c].as_py(), int(self.at[-1])).astype(np.int64) for c in ("codes", "tfs"))
-        self.tids = _unpacked(row["tids"].as_py(), v, "<u8").view(np.int64)
-        dfs = _unpacked(row["dfs"].as_py(), v)
+        self.codes, tfs = (unpacked(row[c].as_py(), int(self.at[-1])).astype(np.int64) for c in ("codes", "tfs"))
+        self.tids = unpacked(row["tids"].as_py(), v, "<u8").view(np.int64)
+        dfs = unpacked(row["dfs"].as_py(), v)
         of = np.repeat(np.arange(n), sizes)
         self.w = tfs * (np.log((total + 1) / (dfs + 1.0)) + 1)[self.codes] / np.frombuffer(row["norms"].as_py(), "<f8")[of]
         rank = np.full(v, _MANY[1])

@@ -51,3 +51,41 @@ def test_rounds_shuffle_no_entries(spark):
     wtv, wtw = topics._products(state, 2, 3)
     assert wtv.tolist() == [[0.5, 0.0, 1.5], [2.0, 0.0, 6.0]]
     assert wtw.tolist() == [[0.25, 1.0], [1.0, 4.0]]
+
+
+def test_blocks_of_few_documents_give_the_same(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    v = draw.poisson(0.9, (40, 9)).astype(float) + np.eye(40, 9)
+    rows = [(d, t, float(v[d, t])) for d in range(40) for t in range(9) if v[d, t] > 0]
+    keep = [d for d in range(40) if v[d].any()]
+    monkeypatch.setattr(topics, "_DOCS", 3)
+    cfg = topics.TopicConfig(k=2, rounds=5)
+    w, h, losses = topics.factorise(spark.createDataFrame(rows, "d long, t int, v double").repartition(4), 9, cfg)
+    want_w, want_h, want_losses = numpy_nmf(v[keep], keep, cfg)
+    np.testing.assert_allclose(h, want_h, rtol=1e-9)
+    np.testing.assert_allclose(losses, want_losses, rtol=1e-9)
+    got = {r["d"]: r["w"] for r in w.collect()}
+    np.testing.assert_allclose([got[d] for d in keep], want_w, rtol=1e-9)
+
+
+def test_words_and_counts_follow_the_vocabulary_rule(spark):
+    rows = [(1, "b a a, C!"), (2, "A b..."), (2, "b b"), (3, ""), (4, None), (None, "a a a a"), (5, "d"), (6, "c -")]
+    words, docs = topics.term_matrix(spark.createDataFrame(rows, "id long, message string"), "id", "message", 3)
+    assert sorted(words.collect()) == [("a", 1), ("b", 0), ("c", 2)]
+    got = {r["d"]: dict(zip(r["ts"], r["vs"])) for r in docs.collect()}
+    assert got == {1: {0: 1.0, 1: 2.0, 2: 1.0}, 2: {0: 3.0, 1: 1.0}, 6: {2: 1.0}}
+
+
+def test_rounds_write_blocks_not_documents(spark, monkeypatch):
+    seen = []
+    plain = topics._stored
+
+    def stored(df):
+        out = plain(df)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(topics, "_stored", stored)
+    rows = [(d, t, 1.0) for d in range(60) for t in range(3)]
+    topics.factorise(spark.createDataFrame(rows, "d long, t int, v double").coalesce(1), 3, topics.TopicConfig(k=2, rounds=2))
+    assert len(seen) == 3 and max(seen) <= 2 * 8  # a block and a row of sums a task
