@@ -35,10 +35,11 @@ def _stored(df: DataFrame) -> DataFrame:
 
 def adjacency(edges: DataFrame) -> DataFrame:
     """Both directions of every edge (``src``, ``dst``, ``w``), weights of equal pairs added;
-    a loop once, with twice its weight. Null ends and non-positive weights are left out."""
+    a loop once, with twice its weight. Null ends and non-positive weights are left out. Rows of one ``src`` lie together,
+    so that a task that adds up by ``src`` sends on its sums only."""
     kept = edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("w") > 0))
     both = kept.select("src", "dst", "w").unionByName(kept.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
-    return both.groupBy("src", "dst").agg(F.sum("w").alias("w"))
+    return both.repartition("src").groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
 def modularity(adj: DataFrame, nodes: DataFrame) -> float:

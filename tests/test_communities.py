@@ -71,3 +71,11 @@ def test_classes_move_as_all_their_members_would(spark):
         spark.createDataFrame(between, schema), members=spark.createDataFrame(members, "node long, cls long")
     )
     assert sorted(classes.collect()) == sorted(plain.collect())
+
+
+def test_rows_of_a_node_lie_together(spark):
+    # sums by node and community are then whole in their task, and only these are shuffled each round
+    adj = communities.adjacency(spark.createDataFrame([(1, 2, 1.0), (2, 1, 0.5), (3, 3, 1.0)], "src long, dst long, w double"))
+    assert sorted(adj.collect()) == [(1, 2, 1.5), (2, 1, 1.5), (3, 3, 2.0)]
+    dealt = [line for line in adj._jdf.queryExecution().executedPlan().toString().split("\n") if "hashpartitioning(" in line]
+    assert dealt and all("dst" not in line.split("hashpartitioning(")[1].split("),")[0] for line in dealt)
